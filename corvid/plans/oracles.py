@@ -137,3 +137,200 @@ ORACLES["heatmap_pivot"] = _with(LOG_CTE) + (
     + ", ".join(f"SUM(CASE WHEN day = {d} THEN 1 END) AS d{d}" for d in range(1, 32))
     + " FROM clog GROUP BY country, hour"
 )
+
+
+# ---------------------------------------------------------------- sampling
+
+CLAIMS_CTE = """
+claims AS (
+  SELECT o.o_orderkey, l.ClaimNb, CAST(l.ClaimNb >= 3 AS INTEGER) AS hasClaim, l.Exposure,
+         o.o_totalprice, c.c_acctbal, o.o_orderpriority, o.o_orderstatus, c.c_mktsegment
+  FROM orders o
+  JOIN (SELECT l_orderkey,
+               CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS ClaimNb,
+               round(SUM(l_quantity) / 500.0, 4) AS Exposure
+        FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+)
+"""
+
+RATINGS_CTE = """
+ratings AS (
+  SELECT CAST(o.o_custkey AS INTEGER) AS userId,
+         CAST(l.l_partkey AS INTEGER) AS movieId,
+         CAST(0.5 * (1 + floor((l.l_quantity - 1) / 5)) AS DOUBLE) AS rating,
+         CAST(epoch(o.o_orderdate) AS BIGINT) AS timestamp
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)
+"""
+
+SEED = 23788
+M32 = 1 << 32
+
+
+def hash_sql(key: str, seed: int | None = SEED) -> str:
+    k = f"CAST({key} AS VARCHAR)"
+    if seed is not None:
+        k = f"'{seed}|' || {k}"
+    return f"CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT)"
+
+
+def _t(f: float) -> int:
+    return int(min(max(f, 0.0), 1.0) * M32)
+
+
+ORACLES["claims_label"] = _with(CLAIMS_CTE) + "SELECT o_orderkey, ClaimNb, hasClaim FROM claims"
+
+ORACLES["class_counts"] = _with(CLAIMS_CTE) + "SELECT hasClaim, COUNT(*) AS n FROM claims GROUP BY hasClaim"
+
+ORACLES["class_proportions"] = _with(CLAIMS_CTE) + """
+SELECT hasClaim, n, round(n / SUM(n) OVER (), 6) AS share
+FROM (SELECT hasClaim, COUNT(*) AS n FROM claims GROUP BY hasClaim)
+"""
+
+ORACLES["class_weights"] = _with(CLAIMS_CTE) + """
+, w AS (
+  SELECT hasClaim, SUM(n) OVER () / (COUNT(*) OVER () * n) AS classWeights
+  FROM (SELECT hasClaim, COUNT(*) AS n FROM claims GROUP BY hasClaim)
+)
+SELECT c.hasClaim, c.o_orderkey, round(w.classWeights, 6) AS classWeights
+FROM claims c LEFT JOIN w USING (hasClaim)
+"""
+
+ORACLES["hash_split"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim,
+       CASE WHEN {hash_sql('o_orderkey')} < {_t(0.7)} THEN 'train' ELSE 'test' END AS split
+FROM claims
+"""
+
+ORACLES["hash_sample"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim FROM claims WHERE {hash_sql('o_orderkey')} < {_t(0.1)}
+"""
+
+ORACLES["stratified_sample"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim FROM claims
+WHERE {hash_sql('o_orderkey')} < CASE hasClaim WHEN 0 THEN {_t(0.2)} WHEN 1 THEN {_t(0.5)} ELSE 0 END
+"""
+
+ORACLES["stratified_split"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim,
+       CASE WHEN rn <= floor(CAST(0.7 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split
+FROM (
+  SELECT o_orderkey, hasClaim,
+         row_number() OVER (PARTITION BY hasClaim ORDER BY {hash_sql('o_orderkey')}, o_orderkey) AS rn,
+         COUNT(*) OVER (PARTITION BY hasClaim) AS n
+  FROM claims
+)
+"""
+
+ORACLES["kfold_assign"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim, CAST({hash_sql('o_orderkey')} % 5 AS INTEGER) AS fold FROM claims
+"""
+
+ORACLES["union_strata"] = _with(CLAIMS_CTE) + f"""
+SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 1 AND {hash_sql('o_orderkey')} < {_t(0.5)}
+UNION ALL
+SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 0 AND {hash_sql('o_orderkey')} < {_t(0.2)}
+"""
+
+_RANKED = """
+, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp, userId, movieId, rating) AS rn, COUNT(*) OVER () AS n
+  FROM ratings
+)
+"""
+
+ORACLES["chrono_split"] = _with(RATINGS_CTE) + _RANKED + """
+SELECT userId, movieId, rating, timestamp,
+       rn <= floor(CAST(0.4 AS DOUBLE) * n) AS train_40,
+       rn <= floor(CAST(0.6 AS DOUBLE) * n) AS train_60,
+       rn <= floor(CAST(0.8 AS DOUBLE) * n) AS train_80
+FROM ranked
+"""
+
+ORACLES["except_distinct"] = _with(RATINGS_CTE) + _RANKED + """
+SELECT userId, movieId, rating, timestamp FROM ratings
+EXCEPT
+SELECT userId, movieId, rating, timestamp FROM ranked WHERE rn <= floor(CAST(0.4 AS DOUBLE) * n)
+"""
+
+ORACLES["distinct_rows"] = _with(RATINGS_CTE) + "SELECT DISTINCT userId, movieId, rating, timestamp FROM ratings"
+
+ORACLES["epoch_to_ts"] = _with(RATINGS_CTE) + """
+SELECT userId, movieId, timestamp, make_timestamp(timestamp * 1000000) AS ts FROM ratings
+"""
+
+# ----------------------------------------------------------------- metrics
+
+_BASELINE = """
+, scored AS (
+  SELECT r.*, m.movie_mean, u.user_mean FROM ratings r
+  JOIN (SELECT movieId, avg(rating) AS movie_mean FROM ratings GROUP BY movieId) m USING (movieId)
+  JOIN (SELECT userId, avg(rating) AS user_mean FROM ratings GROUP BY userId) u USING (userId)
+)
+"""
+
+
+def _reg(pred: str, setting: str | None = None) -> str:
+    sel = f"'{setting}' AS setting, " if setting else ""
+    return f"""
+SELECT {sel}COUNT(*) AS n,
+       round(sqrt(avg(({pred} - rating) * ({pred} - rating))), 8) AS rmse,
+       round(avg(({pred} - rating) * ({pred} - rating)), 8) AS mse,
+       round(avg(abs({pred} - rating)), 8) AS mae
+FROM scored"""
+
+
+ORACLES["regression_metrics"] = _with(RATINGS_CTE) + _BASELINE + _reg("movie_mean")
+
+_REPORT = _reg("movie_mean", "movie_mean") + "\nUNION ALL" + _reg("user_mean", "user_mean")
+ORACLES["metric_report"] = _with(RATINGS_CTE) + _BASELINE + _REPORT
+
+ORACLES["metric_pivot"] = _with(RATINGS_CTE) + _BASELINE + f"""
+, rep AS ({_REPORT})
+SELECT metric,
+       max(CASE WHEN setting = 'movie_mean' THEN value END) AS movie_mean,
+       max(CASE WHEN setting = 'user_mean' THEN value END) AS user_mean
+FROM (
+  SELECT setting, 'rmse' AS metric, rmse AS value FROM rep
+  UNION ALL SELECT setting, 'mse', mse FROM rep
+  UNION ALL SELECT setting, 'mae', mae FROM rep
+) GROUP BY metric
+"""
+
+SCORES_CTE = """
+scores AS (
+  SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS label, CAST(l_quantity AS DOUBLE) AS score FROM lineitem
+)
+"""
+
+ORACLES["auc_exact"] = _with(SCORES_CTE) + """
+, s AS (
+  SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg FROM scores GROUP BY score
+), c AS (
+  SELECT *, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before
+  FROM s
+)
+SELECT round(SUM(pos * (neg_before + 0.5 * neg)) / (SUM(pos) * SUM(neg)), 9) AS auc,
+       CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
+FROM c
+"""
+
+_HARD = """
+, hp AS (SELECT label, CAST(score > 25 AS DOUBLE) AS prediction FROM scores),
+cm AS (
+  SELECT CAST(SUM(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(SUM(CASE WHEN label <> 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(SUM(CASE WHEN label <> 1 AND prediction <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+         CAST(SUM(CASE WHEN label = 1 AND prediction <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+  FROM hp
+)
+"""
+
+ORACLES["balanced_accuracy"] = _with(SCORES_CTE) + _HARD + """
+SELECT tp, fp, tn, fn, round(0.5 * (tp / (tp + fn) + tn / (tn + fp)), 9) AS balanced_accuracy FROM cm
+"""
+
+ORACLES["accuracy"] = _with(SCORES_CTE) + _HARD + """
+SELECT COUNT(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM hp
+"""

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.operators import logs
+from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
+from corvid.operators import logs, metrics, sampling
 from corvid.session import scratch_path
 from corvid.sources import fixtures
 from corvid.sources.readers import read_text_lines
@@ -114,3 +115,164 @@ def q_heatmap_dense(spark, sf_dir):
 def q_heatmap_pivot(spark, sf_dir):
     grid = logs.heatmap(_parsed_log(spark, sf_dir), by="country")
     return logs.pivot_grid(grid, ["country", "hour"], "day", range(1, 32))
+
+
+# ---------------------------------------------------------------- sampling
+
+SEED = 23788  # fixed value: the seed used throughout the reference jobs
+
+
+def _claims(spark, sf_dir):
+    return fixtures.claims(spark, sf_dir)
+
+
+@register("claims_label")
+def q_claims_label(spark, sf_dir):
+    return _claims(spark, sf_dir).select("o_orderkey", "ClaimNb", "hasClaim")
+
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    return sampling.class_counts(_claims(spark, sf_dir), "hasClaim")
+
+
+@register("class_proportions")
+def q_class_proportions(spark, sf_dir):
+    p = sampling.class_proportions(_claims(spark, sf_dir), "hasClaim")
+    return p.withColumn("share", round6("share"))
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    w = sampling.class_weights(_claims(spark, sf_dir).select("o_orderkey", "hasClaim"), "hasClaim")
+    return w.withColumn("classWeights", round6("classWeights"))
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    return sampling.hash_split(c, "o_orderkey", [0.7, 0.3], seed=SEED)
+
+
+@register("hash_sample")
+def q_hash_sample(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    return sampling.hash_sample(c, "o_orderkey", 0.1, seed=SEED)
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    return sampling.stratified_sample(c, "o_orderkey", "hasClaim", {0: 0.2, 1: 0.5}, seed=SEED)
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    return sampling.stratified_split(c, "o_orderkey", "hasClaim", [0.7, 0.3], seed=SEED, exact=True)
+
+
+@register("kfold_assign")
+def q_kfold_assign(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    return sampling.kfold(c, "o_orderkey", 5, seed=SEED)
+
+
+@register("union_strata")
+def q_union_strata(spark, sf_dir):
+    c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
+    pos = sampling.hash_sample(c.filter(F.col("hasClaim") == 1), "o_orderkey", 0.5, seed=SEED)
+    neg = sampling.hash_sample(c.filter(F.col("hasClaim") == 0), "o_orderkey", 0.2, seed=SEED)
+    return sampling.union_parts([pos, neg])
+
+
+RATING_ORDER = ["timestamp", "userId", "movieId", "rating"]
+
+
+def _ratings(spark, sf_dir):
+    return fixtures.ratings(spark, sf_dir)
+
+
+@register("chrono_split")
+def q_chrono_split(spark, sf_dir):
+    return sampling.chrono_split(_ratings(spark, sf_dir), RATING_ORDER, [0.4, 0.6, 0.8])
+
+
+@register("except_distinct")
+def q_except_distinct(spark, sf_dir):
+    r = _ratings(spark, sf_dir)
+    marked = sampling.chrono_split(r, RATING_ORDER, [0.4])
+    train = marked.filter("train_40").drop("train_40")
+    return sampling.except_distinct(r, train)
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark, sf_dir):
+    return _ratings(spark, sf_dir).distinct()
+
+
+@register("epoch_to_ts")
+def q_epoch_to_ts(spark, sf_dir):
+    r = _ratings(spark, sf_dir)
+    return r.select("userId", "movieId", "timestamp", epoch_to_ts("timestamp").alias("ts"))
+
+
+# ----------------------------------------------------------------- metrics
+
+
+def _baseline_predictions(spark, sf_dir):
+    """Ratings scored by two deterministic baselines: movie mean and user mean."""
+    r = _ratings(spark, sf_dir)
+    movie = r.groupBy("movieId").agg(F.avg("rating").alias("movie_mean"))
+    user = r.groupBy("userId").agg(F.avg("rating").alias("user_mean"))
+    return r.join(movie, "movieId").join(user, "userId")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    p = _baseline_predictions(spark, sf_dir)
+    m = metrics.regression_metrics(p, "rating", "movie_mean")
+    return m.select("n", *[clean_round(c, 8).alias(c) for c in ("rmse", "mse", "mae")])
+
+
+def _metric_report(spark, sf_dir):
+    p = _baseline_predictions(spark, sf_dir)
+    stacked = p.select("rating", F.lit("movie_mean").alias("setting"), F.col("movie_mean").alias("prediction")).unionByName(
+        p.select("rating", F.lit("user_mean").alias("setting"), F.col("user_mean").alias("prediction"))
+    )
+    m = metrics.regression_metrics(stacked, "rating", "prediction", group_by=["setting"])
+    return m.select("setting", "n", *[clean_round(c, 8).alias(c) for c in ("rmse", "mse", "mae")])
+
+
+@register("metric_report")
+def q_metric_report(spark, sf_dir):
+    return _metric_report(spark, sf_dir)
+
+
+@register("metric_pivot")
+def q_metric_pivot(spark, sf_dir):
+    long = metrics.metric_long(_metric_report(spark, sf_dir), ["setting"], ["rmse", "mse", "mae"])
+    return long.groupBy("metric").pivot("setting", ["movie_mean", "user_mean"]).agg(F.first("value"))
+
+
+@register("auc_exact")
+def q_auc_exact(spark, sf_dir):
+    a = metrics.auc_exact(fixtures.lineitem_scores(spark, sf_dir), "label", "score")
+    return a.select(clean_round("auc", 9).alias("auc"), "positives", "negatives")
+
+
+def _hard_predictions(spark, sf_dir):
+    s = fixtures.lineitem_scores(spark, sf_dir)
+    return s.withColumn("prediction", (F.col("score") > 25).cast("double"))
+
+
+@register("balanced_accuracy")
+def q_balanced_accuracy(spark, sf_dir):
+    b = metrics.balanced_accuracy(_hard_predictions(spark, sf_dir))
+    return b.withColumn("balanced_accuracy", clean_round("balanced_accuracy", 9))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    a = metrics.accuracy(_hard_predictions(spark, sf_dir))
+    return a.withColumn("accuracy", clean_round("accuracy", 9))
