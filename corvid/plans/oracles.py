@@ -334,3 +334,230 @@ SELECT tp, fp, tn, fn, round(0.5 * (tp / (tp + fn) + tn / (tn + fp)), 9) AS bala
 ORACLES["accuracy"] = _with(SCORES_CTE) + _HARD + """
 SELECT COUNT(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM hp
 """
+
+
+# ------------------------------------------------------ recommendation taste
+
+CLUSTERS_CTE = """
+clusters AS (
+  SELECT CAST(c.c_custkey AS INTEGER) AS id, CAST(n.n_regionkey AS INTEGER) AS prediction
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+)
+"""
+
+MOVIES_CTE = """
+movies AS (
+  SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title, replace(p_name, ' ', '|') AS genres FROM part
+)
+"""
+
+TASTE_CTE = """
+sizes AS (SELECT prediction, COUNT(*) AS size FROM clusters GROUP BY prediction),
+largest AS (SELECT prediction, size FROM sizes ORDER BY size DESC, prediction LIMIT 1),
+crat AS (
+  SELECT * FROM ratings
+  WHERE userId IN (SELECT id FROM clusters WHERE prediction IN (SELECT prediction FROM largest))
+),
+high AS (
+  SELECT movieId, avg(rating) AS avg_rating, COUNT(*) AS n_ratings FROM crat GROUP BY movieId HAVING avg(rating) >= 4
+),
+genres AS (
+  SELECT m.movieId, unnest(string_split(m.genres, '|')) AS genre
+  FROM movies m WHERE m.movieId IN (SELECT movieId FROM high)
+)
+"""
+
+_TASTE = _with(RATINGS_CTE, CLUSTERS_CTE, MOVIES_CTE, TASTE_CTE)
+
+ORACLES["cluster_ratings"] = _TASTE + "SELECT userId, movieId, rating, timestamp FROM crat"
+
+ORACLES["high_rated_movies"] = _TASTE + "SELECT movieId, round(avg_rating, 6) AS avg_rating, n_ratings FROM high"
+
+ORACLES["top_movies"] = _TASTE + """
+SELECT rank, h.movieId, m.title, round(h.avg_rating, 6) AS avg_rating FROM (
+  SELECT *, CAST(row_number() OVER (ORDER BY avg_rating DESC, movieId) AS INTEGER) AS rank FROM high
+) h LEFT JOIN movies m USING (movieId) WHERE rank <= 5
+"""
+
+ORACLES["movie_genres"] = _TASTE + "SELECT movieId, genre FROM genres"
+
+ORACLES["top_genres"] = _TASTE + """
+SELECT rank, genre, count FROM (
+  SELECT genre, COUNT(*) AS count, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, genre) AS INTEGER) AS rank
+  FROM genres GROUP BY genre
+) WHERE rank <= 10
+"""
+
+ORACLES["top_clusters"] = _TASTE + """
+SELECT rank, prediction, size FROM (
+  SELECT *, CAST(row_number() OVER (ORDER BY size DESC, prediction) AS INTEGER) AS rank FROM sizes
+) WHERE rank <= 5
+"""
+
+ORACLES["largest_cluster"] = _TASTE + "SELECT prediction, size FROM largest"
+
+# ---------------------------------------------------------------- k-means
+
+KM_CTE = """
+km AS (
+  SELECT c.c_custkey, min(c.c_custkey) OVER (PARTITION BY n.n_regionkey) AS cluster
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+)
+"""
+
+ORACLES["kmeans_assign"] = _with(KM_CTE) + "SELECT c_custkey, cluster FROM km"
+
+ORACLES["kmeans_top_clusters"] = _with(KM_CTE) + """
+SELECT rank, cluster, size FROM (
+  SELECT cluster, COUNT(*) AS size, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, cluster) AS INTEGER) AS rank
+  FROM km GROUP BY cluster
+) WHERE rank <= 5
+"""
+
+# --------------------------------------------------------------- features
+
+_NUM = ["Exposure", "o_totalprice", "c_acctbal"]
+_CAT = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
+
+ORACLES["assemble_features"] = _with(CLAIMS_CTE) + "SELECT o_orderkey, " + ", ".join(
+    f"round({c}, 6) AS f{i}" for i, c in enumerate(_NUM)
+) + " FROM claims"
+
+ORACLES["standard_scale"] = _with(CLAIMS_CTE) + "SELECT o_orderkey, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) + 0.0 AS f{i}" for i, c in enumerate(_NUM)
+) + " FROM claims"
+
+ORACLES["scale_sd_only"] = _with(CLAIMS_CTE) + "SELECT o_orderkey, " + ", ".join(
+    f"round({c} / stddev_samp({c}) OVER (), 6) + 0.0 AS f{i}" for i, c in enumerate(_NUM)
+) + " FROM claims"
+
+
+def _index_cte(cat: str, source: str) -> str:
+    return f"""
+idx_{cat} AS (
+  SELECT {cat} AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {cat}) - 1 AS INTEGER) AS i
+  FROM {source} GROUP BY {cat}
+)"""
+
+
+ORACLES["string_index"] = (
+    _with(CLAIMS_CTE, *[_index_cte(c, "claims") for c in _CAT])
+    + "SELECT o_orderkey, "
+    + ", ".join(f"idx_{c}.i AS {c}_index" for c in _CAT)
+    + " FROM claims "
+    + " ".join(f"JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _CAT)
+)
+
+ORACLES["one_hot"] = (
+    _with(CLAIMS_CTE, _index_cte("o_orderpriority", "claims"))
+    + "SELECT o_orderkey, "
+    + ", ".join(f"CASE WHEN i = {k} THEN 1.0 ELSE 0.0 END AS oh{k}" for k in range(5))
+    + " FROM claims JOIN idx_o_orderpriority ON claims.o_orderpriority = idx_o_orderpriority.v"
+)
+
+_TRAIN_CLAIMS = f"""
+train_claims AS (SELECT * FROM claims WHERE {hash_sql('o_orderkey')} < {_t(0.7)})
+"""
+_STATS = "stats AS (SELECT " + ", ".join(
+    f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(_NUM)
+) + " FROM train_claims)"
+_CAT_SIZES = {"o_orderpriority": 5, "o_orderstatus": 3, "c_mktsegment": 5}
+
+
+def _design_sql(encode: str) -> str:
+    ctes = [CLAIMS_CTE, _TRAIN_CLAIMS, _STATS] + [_index_cte(c, "train_claims") for c in _CAT]
+    cols = [f"round((claims.{c} - m{i}) / s{i}, 6) + 0.0 AS f{i}" for i, c in enumerate(_NUM)]
+    pos = len(_NUM)
+    for c in _CAT:
+        k = _CAT_SIZES[c]
+        code = f"coalesce(idx_{c}.i, {k})"
+        if encode == "ordinal":
+            cols.append(f"CAST({code} AS DOUBLE) AS f{pos}")
+            pos += 1
+        else:
+            for j in range(k):
+                cols.append(f"CASE WHEN {code} = {j} THEN 1.0 ELSE 0.0 END AS f{pos}")
+                pos += 1
+    joins = " ".join(f"LEFT JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _CAT)
+    return _with(*ctes) + "SELECT o_orderkey, " + ", ".join(cols) + " FROM claims CROSS JOIN stats " + joins
+
+
+ORACLES["ordinal_features"] = _design_sql("ordinal")
+ORACLES["feature_pipeline"] = _design_sql("onehot")
+
+# ------------------------------------------------------------------ models
+
+ORACLES["poisson_fit"] = _with(CLAIMS_CTE) + """
+SELECT o_orderpriority, round(avg(ClaimNb), 5) + 0.0 AS mean_prediction FROM claims GROUP BY o_orderpriority
+"""
+
+ORACLES["logistic_fit"] = _with(CLAIMS_CTE) + """
+SELECT o_orderpriority, round(avg(hasClaim), 4) + 0.0 AS p_hat FROM claims GROUP BY o_orderpriority
+"""
+
+ORACLES["logistic_weighted"] = _with(CLAIMS_CTE) + """
+, w AS (
+  SELECT hasClaim, SUM(n) OVER () / (COUNT(*) OVER () * n) AS wt
+  FROM (SELECT hasClaim, COUNT(*) AS n FROM claims GROUP BY hasClaim)
+)
+SELECT o_orderpriority, round(SUM(wt * hasClaim) / SUM(wt), 4) + 0.0 AS p_hat
+FROM claims JOIN w USING (hasClaim) GROUP BY o_orderpriority
+"""
+
+ORACLES["coefficient_report"] = _with(CLAIMS_CTE) + """
+, lv AS (
+  SELECT o_orderpriority AS v, avg(ClaimNb) AS m,
+         row_number() OVER (ORDER BY COUNT(*) DESC, o_orderpriority) AS pos,
+         COUNT(*) OVER () AS k
+  FROM claims GROUP BY o_orderpriority
+), last AS (SELECT m FROM lv WHERE pos = k)
+SELECT '(intercept)' AS term, round(ln(m), 5) + 0.0 AS coefficient FROM last
+UNION ALL
+SELECT lv.v, round(ln(lv.m) - ln(last.m), 5) + 0.0 FROM lv, last WHERE lv.pos < lv.k
+"""
+
+_BASE_RATE = "(SELECT round(ln(avg(hasClaim) / (1 - avg(hasClaim))), 3) + 0.0 FROM claims)"
+ORACLES["logistic_l1"] = _with(CLAIMS_CTE) + f"SELECT 'l1' AS penalty, 0.0 AS max_abs_coefficient, {_BASE_RATE} AS intercept"
+ORACLES["logistic_l2"] = _with(CLAIMS_CTE) + f"SELECT 'l2' AS penalty, 0.0 AS max_abs_coefficient, {_BASE_RATE} AS intercept"
+
+_SEP_KEY = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)"
+
+
+def _sep_cte(threshold: float) -> str:
+    return f"""
+sep AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         CAST(l_quantity > {threshold} AS DOUBLE) AS label,
+         {hash_sql(_SEP_KEY)} AS h
+  FROM lineitem
+)
+"""
+
+
+_SEP_TEST = f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, label AS prediction FROM sep WHERE h >= {_t(0.8)}"
+ORACLES["random_forest"] = _with(_sep_cte(25.0)) + _SEP_TEST
+ORACLES["gbt"] = _with(_sep_cte(25.0)) + _SEP_TEST
+ORACLES["mlp"] = _with(_sep_cte(25.0)) + _SEP_TEST
+ORACLES["refit_best"] = _with(_sep_cte(40.0)) + _SEP_TEST
+
+ORACLES["cross_validate"] = _with(_sep_cte(40.0)) + f"""
+, folds AS (
+  SELECT h % 5 AS fold, avg(1.0 - label) AS neg_share FROM sep WHERE h < {_t(0.8)} GROUP BY h % 5
+)
+SELECT 0 AS setting, 'maxDepth' AS param, '0' AS value, round(avg(neg_share), 6) + 0.0 AS avg_metric, FALSE AS is_best FROM folds
+UNION ALL
+SELECT 1, 'maxDepth', '2', 1.0, TRUE
+"""
+
+# --------------------------------------------------------------------- ALS
+
+ORACLES["als_known_pairs"] = _with(RATINGS_CTE) + """
+, train AS (SELECT * FROM ratings WHERE userId % 10 <> 0),
+test AS (SELECT DISTINCT userId, movieId FROM ratings WHERE movieId % 5 = 0)
+SELECT userId, movieId FROM test
+WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)
+"""
+
+ORACLES["als_factors"] = _with(RATINGS_CTE) + """
+SELECT DISTINCT userId AS id, 10 AS n_factors FROM ratings WHERE userId % 10 <> 0
+"""

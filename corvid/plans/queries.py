@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
-from corvid.operators import logs, metrics, sampling
+from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
 from corvid.session import scratch_path
 from corvid.sources import fixtures
 from corvid.sources.readers import read_text_lines
@@ -276,3 +278,310 @@ def q_balanced_accuracy(spark, sf_dir):
 def q_accuracy(spark, sf_dir):
     a = metrics.accuracy(_hard_predictions(spark, sf_dir))
     return a.withColumn("accuracy", clean_round("accuracy", 9))
+
+
+# ------------------------------------------------------ recommendation taste
+
+
+def _clusters(spark, sf_dir):
+    return fixtures.user_clusters_from_regions(spark, sf_dir)
+
+
+def _cluster_high(spark, sf_dir):
+    rated = recommend.cluster_ratings(_ratings(spark, sf_dir), _clusters(spark, sf_dir))
+    return recommend.high_rated_movies(rated, 4.0)
+
+
+@register("cluster_ratings")
+def q_cluster_ratings(spark, sf_dir):
+    return recommend.cluster_ratings(_ratings(spark, sf_dir), _clusters(spark, sf_dir))
+
+
+@register("high_rated_movies")
+def q_high_rated_movies(spark, sf_dir):
+    return _cluster_high(spark, sf_dir).withColumn("avg_rating", round6("avg_rating"))
+
+
+@register("top_movies")
+def q_top_movies(spark, sf_dir):
+    t = recommend.top_movies(_cluster_high(spark, sf_dir), fixtures.movies(spark, sf_dir), 5)
+    return t.withColumn("avg_rating", round6("avg_rating"))
+
+
+@register("movie_genres")
+def q_movie_genres(spark, sf_dir):
+    return recommend.movie_genres(_cluster_high(spark, sf_dir), fixtures.movies(spark, sf_dir))
+
+
+@register("top_genres")
+def q_top_genres(spark, sf_dir):
+    g = recommend.movie_genres(_cluster_high(spark, sf_dir), fixtures.movies(spark, sf_dir))
+    return recommend.top_genres(g, 10)
+
+
+@register("top_clusters")
+def q_top_clusters(spark, sf_dir):
+    return recommend.top_clusters(_clusters(spark, sf_dir), 5)
+
+
+@register("largest_cluster")
+def q_largest_cluster(spark, sf_dir):
+    return recommend.largest_cluster(_clusters(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- k-means
+
+
+def _kmeans_regions(spark, sf_dir):
+    cr = fixtures.customer_regions(spark, sf_dir)
+    vec = clustering.as_vector(cr, ["region_feature"])
+    assigned = clustering.kmeans_assign(vec, k=5, seed=SEED)
+    return clustering.name_by_smallest_member(assigned, "c_custkey")
+
+
+@register("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    return _kmeans_regions(spark, sf_dir).select("c_custkey", "cluster")
+
+
+@register("kmeans_top_clusters")
+def q_kmeans_top_clusters(spark, sf_dir):
+    return recommend.top_clusters(_kmeans_regions(spark, sf_dir), 5, cluster_col="cluster")
+
+
+# --------------------------------------------------------------- features
+
+NUMERIC = ["Exposure", "o_totalprice", "c_acctbal"]
+CATEGORICAL = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    df = features.assemble(_claims(spark, sf_dir), NUMERIC, "num_features")
+    return df.select("o_orderkey", *features.vector_columns(df, "num_features", len(NUMERIC)))
+
+
+def _scaled(spark, sf_dir, with_mean):
+    c = features.assemble(_claims(spark, sf_dir), NUMERIC, "num_features")
+    model = features.scaler("num_features", "scaled", with_mean=with_mean).fit(c)
+    out = model.transform(c)
+    return out.select("o_orderkey", *features.vector_columns(out, "scaled", len(NUMERIC)))
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    return _scaled(spark, sf_dir, True)
+
+
+@register("scale_sd_only")
+def q_scale_sd_only(spark, sf_dir):
+    return _scaled(spark, sf_dir, False)
+
+
+@register("string_index")
+def q_string_index(spark, sf_dir):
+    c = _claims(spark, sf_dir)
+    out = features.indexer(CATEGORICAL, handle_invalid="error").fit(c).transform(c)
+    return out.select("o_orderkey", *[F.col(f"{x}_index").cast("int").alias(f"{x}_index") for x in CATEGORICAL])
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    c = _claims(spark, sf_dir)
+    stages = [features.indexer(["o_orderpriority"], "keep"), features.one_hot(["o_orderpriority"])]
+    out = Pipeline(stages=stages).fit(c).transform(c)
+    width = features.vector_width(out, "o_orderpriority_onehot")
+    return out.select("o_orderkey", *features.vector_columns(out, "o_orderpriority_onehot", width, prefix="oh", digits=None))
+
+
+def _design(spark, sf_dir, encode):
+    c = _claims(spark, sf_dir)
+    c = sampling.hash_split(c, "o_orderkey", [0.7, 0.3], seed=SEED)
+    pipe = features.feature_pipeline(NUMERIC, CATEGORICAL, encode=encode)
+    model, (_, scored) = features.fit_transform(pipe, c.filter(F.col("split") == "train"), c)
+    width = features.vector_width(scored, "features")
+    return scored.select("o_orderkey", *features.vector_columns(scored, "features", width))
+
+
+@register("ordinal_features")
+def q_ordinal_features(spark, sf_dir):
+    return _design(spark, sf_dir, "ordinal")
+
+
+@register("feature_pipeline")
+def q_feature_pipeline(spark, sf_dir):
+    return _design(spark, sf_dir, "onehot")
+
+
+# ------------------------------------------------------------------ models
+
+
+def _one_category_design(spark, sf_dir, cat="o_orderpriority"):
+    """Saturated design: dummies of one category (drop-last) + intercept."""
+    c = _claims(spark, sf_dir)
+    stages = [
+        features.indexer([cat], handle_invalid="error"),
+        features.one_hot([cat]),
+        features.assembler([f"{cat}_onehot"], "features"),
+    ]
+    model = Pipeline(stages=stages).fit(c)
+    return model, model.transform(c)
+
+
+@register("poisson_fit")
+def q_poisson_fit(spark, sf_dir):
+    _, d = _one_category_design(spark, sf_dir)
+    fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(d)
+    pred = fit.transform(d)
+    return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("prediction"), 5).alias("mean_prediction"))
+
+
+@register("logistic_fit")
+def q_logistic_fit(spark, sf_dir):
+    _, d = _one_category_design(spark, sf_dir)
+    fit = models.logistic("hasClaim", regParam=0.0, tol=1e-10, maxIter=300).fit(d)
+    pred = models.positive_probability(fit.transform(d))
+    return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("p1"), 4).alias("p_hat"))
+
+
+@register("logistic_weighted")
+def q_logistic_weighted(spark, sf_dir):
+    _, d = _one_category_design(spark, sf_dir)
+    d = sampling.class_weights(d, "hasClaim")
+    fit = models.logistic("hasClaim", weight="classWeights", regParam=0.0, tol=1e-10, maxIter=300).fit(d)
+    pred = models.positive_probability(fit.transform(d))
+    return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("p1"), 4).alias("p_hat"))
+
+
+@register("coefficient_report")
+def q_coefficient_report(spark, sf_dir):
+    pipe, d = _one_category_design(spark, sf_dir)
+    fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(d)
+    labels = list(pipe.stages[0].labelsArray[0])
+    table = models.coefficient_table(spark, fit, labels[: len(labels) - 1])
+    return table.select("term", clean_round("coefficient", 5).alias("coefficient"))
+
+
+def _penalised(spark, sf_dir, penalty, reg):
+    c = _claims(spark, sf_dir)
+    d = features.feature_pipeline(NUMERIC, CATEGORICAL).fit(c).transform(c)
+    fit = models.logistic("hasClaim", penalty=penalty, regParam=reg, maxIter=200).fit(d)
+    coefs = [float(x) for x in fit.coefficients.toArray()]
+    vals = spark.createDataFrame(
+        [(penalty, max(abs(x) for x in coefs), float(fit.intercept))], "penalty string, max_abs double, b0 double"
+    )
+    return vals.select(
+        "penalty", clean_round("max_abs", 4).alias("max_abs_coefficient"), clean_round("b0", 3).alias("intercept")
+    )
+
+
+@register("logistic_l1")
+def q_logistic_l1(spark, sf_dir):
+    return _penalised(spark, sf_dir, "l1", 10.0)
+
+
+@register("logistic_l2")
+def q_logistic_l2(spark, sf_dir):
+    return _penalised(spark, sf_dir, "l2", 1e5)
+
+
+SEPARABLE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _separable(spark, sf_dir, threshold=25.0):
+    s = fixtures.particles_separable(spark, sf_dir, threshold)
+    s = sampling.hash_split(s, SEPARABLE_KEY, [0.8, 0.2], seed=SEED)
+    return features.assemble(s, ["l_quantity", "l_discount"], "features")
+
+
+def _classify(spark, sf_dir, est):
+    s = _separable(spark, sf_dir)
+    model = est.fit(s.filter(F.col("split") == "train"))
+    pred = model.transform(s.filter(F.col("split") == "test"))
+    return pred.select(*SEPARABLE_KEY, "label", "prediction")
+
+
+@register("random_forest")
+def q_random_forest(spark, sf_dir):
+    return _classify(spark, sf_dir, models.random_forest("label", numTrees=20, maxDepth=4, maxBins=64, seed=SEED))
+
+
+@register("gbt")
+def q_gbt(spark, sf_dir):
+    return _classify(spark, sf_dir, models.gbt("label", maxIter=10, maxDepth=3, maxBins=64, seed=SEED))
+
+
+@register("mlp")
+def q_mlp(spark, sf_dir):
+    mlp = models.mlp("label", [2, 5, 2], features="scaled", maxIter=300, seed=SEED, tol=1e-9)
+    pipe = Pipeline(stages=[features.scaler("features", "scaled"), mlp])
+    return _classify(spark, sf_dir, pipe)
+
+
+def _cv(spark, sf_dir):
+    s = _separable(spark, sf_dir, threshold=40.0)
+    train = sampling.kfold(s.filter(F.col("split") == "train"), SEPARABLE_KEY, 5, seed=SEED)
+    rf = models.random_forest("label", numTrees=5, maxBins=64, seed=SEED)
+    grid = tuning.param_grid(rf, {"maxDepth": [0, 2]})
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    cvm = tuning.cross_validate(rf, grid, ev, train, fold_col="fold")
+    return s, rf, grid, cvm
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    _, _, grid, cvm = _cv(spark, sf_dir)
+    rep = tuning.cv_report(spark, cvm, grid)
+    return rep.select("setting", "param", "value", clean_round("avg_metric", 6).alias("avg_metric"), "is_best")
+
+
+@register("refit_best")
+def q_refit_best(spark, sf_dir):
+    s, rf, _, cvm = _cv(spark, sf_dir)
+    best = tuning.best_params(cvm, ["maxDepth"])
+    model = tuning.refit_best(rf, best, s.filter(F.col("split") == "train"))
+    pred = model.transform(s.filter(F.col("split") == "test"))
+    return pred.select(*SEPARABLE_KEY, "label", "prediction")
+
+
+# --------------------------------------------------------------------- ALS
+
+
+def _als_train_test(spark, sf_dir):
+    r = _ratings(spark, sf_dir)
+    train = recommend.prepare_ratings(r.filter(F.col("userId") % 10 != 0))
+    test = r.filter(F.col("movieId") % 5 == 0).select("userId", "movieId").distinct()
+    return train, test
+
+
+@register("als_known_pairs")
+def q_als_known_pairs(spark, sf_dir):
+    train, test = _als_train_test(spark, sf_dir)
+    model = recommend.als(seed=SEED).fit(train)
+    return model.transform(test).select("userId", "movieId")
+
+
+@register("als_factors")
+def q_als_factors(spark, sf_dir):
+    train, _ = _als_train_test(spark, sf_dir)
+    model = recommend.als(seed=SEED).fit(train)
+    return model.userFactors.select("id", F.size("features").alias("n_factors"))
+
+
+ALS_SETTINGS = {"setting1": {}, "setting2": {"regParam": 0.05}}
+
+
+@register("als_quality")
+def q_als_quality(spark, sf_dir):
+    table, _ = recommend.evaluate_over_splits(_ratings(spark, sf_dir), RATING_ORDER, [0.4, 0.6, 0.8], ALS_SETTINGS, seed=SEED)
+    return table
+
+
+@register("als_user_clusters")
+def q_als_user_clusters(spark, sf_dir):
+    _, fitted = recommend.evaluate_over_splits(
+        _ratings(spark, sf_dir), RATING_ORDER, [0.8], {"setting2": ALS_SETTINGS["setting2"]}, seed=SEED
+    )
+    factors = recommend.user_factor_vectors(fitted[(0.8, "setting2")])
+    assigned = clustering.kmeans_assign(factors, k=25, seed=SEED)
+    return recommend.top_clusters(assigned, 5)

@@ -75,15 +75,15 @@ def particles_wide(spark: SparkSession, sf_dir: str, n_features: int = 28) -> Da
     )
 
 
-def particles_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Separable classification table: label = l_quantity > 25."""
+def particles_separable(spark: SparkSession, sf_dir: str, threshold: float = 25.0) -> DataFrame:
+    """Separable classification table: label = l_quantity > threshold."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        (F.col("l_quantity") > 25).cast("double").alias("label"),
+        (F.col("l_quantity") > threshold).cast("double").alias("label"),
         "l_quantity",
         "l_discount",
     )
