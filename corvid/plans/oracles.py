@@ -561,3 +561,11 @@ WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM t
 ORACLES["als_factors"] = _with(RATINGS_CTE) + """
 SELECT DISTINCT userId AS id, 10 AS n_factors FROM ratings WHERE userId % 10 <> 0
 """
+
+# ------------------------------------------------------------------- scans
+
+ORACLES["csv_headerless_scan"] = "SELECT CAST(label % 2 AS DOUBLE) AS label, " + ", ".join(
+    f"round(CAST(embedding[{i}] AS DOUBLE), 5) + 0.0 AS feature{i}" for i in range(1, 29)
+) + " FROM embeddings"
+
+ORACLES["csv_header_scan"] = _with(RATINGS_CTE) + "SELECT userId, movieId, rating, timestamp FROM ratings"

@@ -18,7 +18,7 @@ from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
 from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
 from corvid.session import scratch_path
 from corvid.sources import fixtures
-from corvid.sources.readers import read_text_lines
+from corvid.sources.readers import PARTICLE_FEATURES, PARTICLES_SCHEMA, RATINGS_SCHEMA, read_csv, read_text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -585,3 +585,23 @@ def q_als_user_clusters(spark, sf_dir):
     factors = recommend.user_factor_vectors(fitted[(0.8, "setting2")])
     assigned = clustering.kmeans_assign(factors, k=25, seed=SEED)
     return recommend.top_clusters(assigned, 5)
+
+
+# ------------------------------------------------------------------- scans
+
+
+@register("csv_headerless_scan")
+def q_csv_headerless_scan(spark, sf_dir):
+    """S2 + P3: particles written as headerless CSV in the shared scratch folder, read back by schema."""
+    path = scratch_path(spark, "particles-csv")
+    fixtures.particles_wide(spark, sf_dir).drop("vec_id").write.option("header", False).csv(path)
+    df = read_csv(spark, path, PARTICLES_SCHEMA, header=False)
+    return df.select("label", *[clean_round(c, 5).alias(c) for c in PARTICLE_FEATURES])
+
+
+@register("csv_header_scan")
+def q_csv_header_scan(spark, sf_dir):
+    """S3: ratings written as CSV with a header, read back with a fixed schema."""
+    path = scratch_path(spark, "ratings-csv")
+    _ratings(spark, sf_dir).write.option("header", True).csv(path)
+    return read_csv(spark, path, RATINGS_SCHEMA, header=True)
