@@ -18,6 +18,10 @@ CLF_PATTERN = (
 )
 _G = {"host": 1, "ts_text": 4, "day": 5, "month": 6, "year": 7, "hour": 8, "request": 12, "status": 13, "bytes": 14}
 
+# Anchored prefix up to the hour: day and hour need no match of the rest of
+# the line (cheaper, and a damaged request does not lose the visit time).
+TS_PREFIX = r"^\S+ \S+ \S+ \[(\d{2})/(\w{3})/(\d{4}):(\d{2}):"
+
 
 
 def _field(value: Column, name: str) -> Column:
@@ -38,8 +42,8 @@ def clf_columns(value: str | Column = "value") -> list[Column]:
     return [
         _nullif_empty(host).alias("host"),
         _nullif_empty(_field(v, "ts_text")).alias("ts_text"),
-        _field(v, "day").try_cast("int").alias("day"),
-        _field(v, "hour").try_cast("int").alias("hour"),
+        F.regexp_extract(v, TS_PREFIX, 1).try_cast("int").alias("day"),
+        F.regexp_extract(v, TS_PREFIX, 4).try_cast("int").alias("hour"),
         _nullif_empty(_field(v, "request")).alias("request"),
         _field(v, "status").try_cast("int").alias("status"),
         _field(v, "bytes").try_cast("int").alias("bytes"),

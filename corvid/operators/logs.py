@@ -33,14 +33,32 @@ def parse_positional(lines: DataFrame, value: str = "value") -> DataFrame:
     return parsed.withColumn("country", host_country("host"))
 
 
+def _n(counts_col: str | None):
+    """Row count, or the sum of a count column when the input is pre-aggregated."""
+    return F.sum(counts_col) if counts_col else F.count(F.lit(1))
+
+
+def hourly_counts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+    """(country, host, day, hour, requests): the one aggregate every report can reuse.
+
+    Pass it with ``counts_col="requests"`` to the reports below; its size is
+    bounded by hosts x days x 24, not by the number of log lines.
+    """
+    return by_country(parsed, countries).groupBy("country", "host", "day", "hour").agg(
+        F.count(F.lit(1)).alias("requests")
+    )
+
+
 def by_country(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
     """Rows whose host ends in one of the country labels (classified once)."""
     return parsed.filter(F.col("country").isin(list(countries)))
 
 
-def country_requests(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+def country_requests(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, counts_col: str | None = None
+) -> DataFrame:
     """(country, requests): one aggregate instead of one count per country."""
-    return by_country(parsed, countries).groupBy("country").agg(F.count(F.lit(1)).alias("requests"))
+    return by_country(parsed, countries).groupBy("country").agg(_n(counts_col).alias("requests"))
 
 
 def country_unique_hosts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
@@ -52,57 +70,75 @@ def country_unique_hosts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_C
     )
 
 
-def country_summary(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+def country_summary(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, counts_col: str | None = None
+) -> DataFrame:
     """(country, requests, unique_hosts) from the per-host aggregate."""
-    hc = host_counts(parsed, countries)
+    hc = host_counts(parsed, countries, counts_col=counts_col)
     return hc.groupBy("country").agg(
         F.sum("requests").alias("requests"), F.count(F.lit(1)).alias("unique_hosts")
     )
 
 
-def host_counts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, dedup: bool = False) -> DataFrame:
+def host_counts(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, dedup: bool = False, counts_col: str | None = None
+) -> DataFrame:
     """(country, host, requests).  ``dedup`` counts distinct parsed rows."""
     rows = by_country(parsed, countries)
     if dedup:
+        if counts_col:
+            raise ValueError("dedup needs the parsed rows, not pre-aggregated counts")
         rows = rows.distinct()
-    return rows.groupBy("country", "host").agg(F.count(F.lit(1)).alias("requests"))
+    return rows.groupBy("country", "host").agg(_n(counts_col).alias("requests"))
 
 
 def top_hosts(
-    parsed: DataFrame, n: int = 9, countries: Sequence[str] = DEFAULT_COUNTRIES, dedup: bool = False
+    parsed: DataFrame,
+    n: int = 9,
+    countries: Sequence[str] = DEFAULT_COUNTRIES,
+    dedup: bool = False,
+    counts_col: str | None = None,
 ) -> DataFrame:
     """(country, rank, host, requests): n busiest hosts per country, host asc on ties."""
-    hc = host_counts(parsed, countries, dedup)
+    hc = host_counts(parsed, countries, dedup, counts_col)
     return top_n(hc, n, ["requests", "host"], [True, False], ["country"]).select(
         "country", "rank", "host", "requests"
     )
 
 
-def host_share(parsed: DataFrame, n: int = 9, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+def host_share(
+    parsed: DataFrame, n: int = 9, countries: Sequence[str] = DEFAULT_COUNTRIES, counts_col: str | None = None
+) -> DataFrame:
     """Top-n hosts and a 'Rest' slice per country with percentages."""
-    hc = host_counts(parsed, countries)
+    hc = host_counts(parsed, countries, counts_col=counts_col)
     return add_rest_bucket(hc, n, "country", "host", "requests")
 
 
-def top_host(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+def top_host(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, counts_col: str | None = None
+) -> DataFrame:
     """(country, host, requests) of the busiest host per country."""
-    return arg_max(host_counts(parsed, countries), ["country"], "requests", "host")
+    return arg_max(host_counts(parsed, countries, counts_col=counts_col), ["country"], "requests", "host")
 
 
-def _scope(parsed: DataFrame, countries: Sequence[str], by: str) -> tuple[DataFrame, list[str]]:
+def _scope(
+    parsed: DataFrame, countries: Sequence[str], by: str, counts_col: str | None = None
+) -> tuple[DataFrame, list[str]]:
     rows = by_country(parsed, countries).filter(F.col("day").isNotNull() & F.col("hour").isNotNull())
     if by == "country":
         return rows, ["country"]
     if by == "top_host":
         # Semi-join on the one-row-per-country arg-max: no driver round trip.
-        best = top_host(parsed, countries).select("country", "host")
+        best = top_host(parsed, countries, counts_col).select("country", "host")
         return rows.join(best, ["country", "host"], "left_semi"), ["country", "host"]
     raise ValueError(f"by must be 'country' or 'top_host', not {by!r}")
 
 
-def day_range(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, by: str = "country") -> DataFrame:
+def day_range(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, by: str = "country", counts_col: str | None = None
+) -> DataFrame:
     """(group..., min_day, max_day) in one aggregate."""
-    rows, keys = _scope(parsed, countries, by)
+    rows, keys = _scope(parsed, countries, by, counts_col)
     return rows.groupBy(*keys).agg(F.min("day").alias("min_day"), F.max("day").alias("max_day"))
 
 
@@ -111,6 +147,7 @@ def heatmap(
     countries: Sequence[str] = DEFAULT_COUNTRIES,
     by: str = "country",
     dense: bool = False,
+    counts_col: str | None = None,
 ) -> DataFrame:
     """Visits per (group, day, hour), server-local day and hour.
 
@@ -118,8 +155,8 @@ def heatmap(
     and last day with 0: the grid is generated per group from its day range
     (at most 31 x 24 cells) and left-joined to the counts.
     """
-    rows, keys = _scope(parsed, countries, by)
-    counts = rows.groupBy(*keys, "day", "hour").agg(F.count(F.lit(1)).alias("visits"))
+    rows, keys = _scope(parsed, countries, by, counts_col)
+    counts = rows.groupBy(*keys, "day", "hour").agg(_n(counts_col).alias("visits"))
     if not dense:
         return counts
     grid = (

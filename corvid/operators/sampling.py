@@ -110,15 +110,20 @@ def stratified_split(
     frac = weights[0] / float(sum(weights))
     cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     hashed = df.withColumn("_h", hash_value(cols, seed))
-    counts = hashed.groupBy(strat_col).count().collect()
-    if len(counts) > 1024:
-        raise ValueError("too many strata for an exact split; use exact=False")
-    parts = []
-    for row in counts:
-        cls = row[strat_col]
-        sub = hashed.filter(F.col(strat_col).eqNullSafe(F.lit(cls)))
-        marked = selection.mark_head(sub, ["_h", *cols], selection.head_count(row["count"], frac), "_first")
-        parts.append(marked)
+    order = ["_h", *cols]
+    # One persisted key frame (class + order keys) serves every class.
+    keyed = selection.key_frame(hashed, order, carry=[strat_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = keyed.groupBy(strat_col).count().collect()
+        if len(counts) > 1024:
+            raise ValueError("too many strata for an exact split; use exact=False")
+        parts = []
+        for row in counts:
+            is_cls = F.col(strat_col).eqNullSafe(F.lit(row[strat_col]))
+            r = selection.head_count(row["count"], frac)
+            parts.append(selection.mark_head(hashed.filter(is_cls), order, r, "_first", keyed=keyed.filter(is_cls)))
+    finally:
+        keyed.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -15,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from corvid.session import spread
+
 
 def param_grid(est: Estimator, axes: Mapping[str, Sequence]) -> list[dict]:
     """Cartesian grid over named params of ``est``."""
@@ -40,7 +42,7 @@ def cross_validate(
         cv = cv.setFoldCol(fold_col)
     if seed is not None:
         cv = cv.setSeed(seed)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cv.fit(cached)
     finally:

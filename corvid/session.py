@@ -56,3 +56,18 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition only when the frame has fewer partitions than cores.
+
+    A single-file table (one parquet row group, one gzip file) is scanned
+    by one task, and every narrow step after it (parsing, model training)
+    stays in that task.  On a cluster reading many files this is a no-op.
+    The repartition is round-robin after a local sort, so retries see the
+    same rows in the same partitions.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
