@@ -26,6 +26,14 @@ def regression_metrics(
     return agg.select(*group_by, "n", F.sqrt("mse").alias("rmse"), "mse", "mae")
 
 
+def regression_metric(pred: DataFrame, metric: str, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One named metric ('rmse', 'mse' or 'mae') as (metric, value): the per-call override."""
+    if metric not in ("rmse", "mse", "mae"):
+        raise ValueError(f"unknown regression metric {metric!r}")
+    m = regression_metrics(pred, label, prediction)
+    return m.select(F.lit(metric).alias("metric"), F.col(metric).alias("value"))
+
+
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction", group_by: Sequence[str] = ()) -> DataFrame:
     """(group..., n, accuracy)."""
     hit = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("double")

@@ -77,7 +77,10 @@ def top_movies(high: DataFrame, movies: DataFrame, n: int = 5, item_col: str = "
     broadcasts them) instead of one lookup query per film.
     """
     best = top_n(high, n, ["avg_rating", item_col], [True, False])
-    return best.join(movies.select(item_col, "title"), item_col, "left").select("rank", item_col, "title", "avg_rating")
+    # Semi-join first: the n-row side is the one that can be broadcast,
+    # whatever the size of the film table; then join n rows to <= n titles.
+    titles = movies.select(item_col, "title").join(best.select(item_col), item_col, "left_semi")
+    return best.join(titles, item_col, "left").select("rank", item_col, "title", "avg_rating")
 
 
 def movie_genres(high: DataFrame, movies: DataFrame, item_col: str = "movieId", sep: str = "[|]") -> DataFrame:

@@ -433,19 +433,21 @@ ORACLES["scale_sd_only"] = _with(CLAIMS_CTE) + "SELECT o_orderkey, " + ", ".join
 
 
 def _index_cte(cat: str, source: str) -> str:
+    # StringIndexer orders by frequency, then by the value's text.
     return f"""
 idx_{cat} AS (
-  SELECT {cat} AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {cat}) - 1 AS INTEGER) AS i
+  SELECT {cat} AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, CAST({cat} AS VARCHAR)) - 1 AS INTEGER) AS i
   FROM {source} GROUP BY {cat}
 )"""
 
 
+_IDX = _CAT + ["ClaimNb"]
 ORACLES["string_index"] = (
-    _with(CLAIMS_CTE, *[_index_cte(c, "claims") for c in _CAT])
+    _with(CLAIMS_CTE, *[_index_cte(c, "claims") for c in _IDX])
     + "SELECT o_orderkey, "
-    + ", ".join(f"idx_{c}.i AS {c}_index" for c in _CAT)
+    + ", ".join(f"idx_{c}.i AS {c}_index" for c in _IDX)
     + " FROM claims "
-    + " ".join(f"JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _CAT)
+    + " ".join(f"JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _IDX)
 )
 
 ORACLES["one_hot"] = (

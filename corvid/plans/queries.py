@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
 from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
-from corvid.session import scratch_path
+from corvid.session import persisted, scratch_path
 from corvid.sources import fixtures
 from corvid.sources.readers import PARTICLE_FEATURES, PARTICLES_SCHEMA, RATINGS_SCHEMA, read_csv, read_text_lines
 
@@ -103,14 +103,21 @@ def q_heatmap_country(spark, sf_dir):
     return logs.heatmap(_parsed_log(spark, sf_dir), by="country")
 
 
+def _hourly(spark, sf_dir):
+    """Reports that need two passes (arg-max, then the rows of the winner)
+    read the (country, host, day, hour) aggregate twice; the identical
+    exchange is reused, so the log is scanned once."""
+    return logs.hourly_counts(_parsed_log(spark, sf_dir))
+
+
 @register("heatmap_top_host")
 def q_heatmap_top_host(spark, sf_dir):
-    return logs.heatmap(_parsed_log(spark, sf_dir), by="top_host")
+    return logs.heatmap(_hourly(spark, sf_dir), by="top_host", counts_col="requests")
 
 
 @register("heatmap_dense")
 def q_heatmap_dense(spark, sf_dir):
-    return logs.heatmap(_parsed_log(spark, sf_dir), by="top_host", dense=True)
+    return logs.heatmap(_hourly(spark, sf_dir), by="top_host", dense=True, counts_col="requests")
 
 
 @register("heatmap_pivot")
@@ -363,7 +370,8 @@ def q_assemble_features(spark, sf_dir):
 
 def _scaled(spark, sf_dir, with_mean):
     c = features.assemble(_claims(spark, sf_dir), NUMERIC, "num_features")
-    model = features.scaler("num_features", "scaled", with_mean=with_mean).fit(c)
+    with persisted(c) as cached:
+        model = features.scaler("num_features", "scaled", with_mean=with_mean).fit(cached)
     out = model.transform(c)
     return out.select("o_orderkey", *features.vector_columns(out, "scaled", len(NUMERIC)))
 
@@ -381,8 +389,10 @@ def q_scale_sd_only(spark, sf_dir):
 @register("string_index")
 def q_string_index(spark, sf_dir):
     c = _claims(spark, sf_dir)
-    out = features.indexer(CATEGORICAL, handle_invalid="error").fit(c).transform(c)
-    return out.select("o_orderkey", *[F.col(f"{x}_index").cast("int").alias(f"{x}_index") for x in CATEGORICAL])
+    # ClaimNb: a numeric column treated as a category (indexed by its text).
+    cats = CATEGORICAL + ["ClaimNb"]
+    out = features.indexer(cats, handle_invalid="error").fit(c).transform(c)
+    return out.select("o_orderkey", *[F.col(f"{x}_index").cast("int").alias(f"{x}_index") for x in cats])
 
 
 @register("one_hot")
@@ -398,7 +408,9 @@ def _design(spark, sf_dir, encode):
     c = _claims(spark, sf_dir)
     c = sampling.hash_split(c, "o_orderkey", [0.7, 0.3], seed=SEED)
     pipe = features.feature_pipeline(NUMERIC, CATEGORICAL, encode=encode)
-    model, (_, scored) = features.fit_transform(pipe, c.filter(F.col("split") == "train"), c)
+    with persisted(c.filter(F.col("split") == "train")) as train:
+        model = pipe.fit(train)
+    scored = model.transform(c)
     width = features.vector_width(scored, "features")
     return scored.select("o_orderkey", *features.vector_columns(scored, "features", width))
 
@@ -424,14 +436,16 @@ def _one_category_design(spark, sf_dir, cat="o_orderpriority"):
         features.one_hot([cat]),
         features.assembler([f"{cat}_onehot"], "features"),
     ]
-    model = Pipeline(stages=stages).fit(c)
+    with persisted(c) as cached:
+        model = Pipeline(stages=stages).fit(cached)
     return model, model.transform(c)
 
 
 @register("poisson_fit")
 def q_poisson_fit(spark, sf_dir):
     _, d = _one_category_design(spark, sf_dir)
-    fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(d)
+    with persisted(d) as cached:
+        fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(cached)
     pred = fit.transform(d)
     return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("prediction"), 5).alias("mean_prediction"))
 
@@ -439,7 +453,8 @@ def q_poisson_fit(spark, sf_dir):
 @register("logistic_fit")
 def q_logistic_fit(spark, sf_dir):
     _, d = _one_category_design(spark, sf_dir)
-    fit = models.logistic("hasClaim", regParam=0.0, tol=1e-10, maxIter=300).fit(d)
+    with persisted(d) as cached:
+        fit = models.logistic("hasClaim", regParam=0.0, tol=1e-10, maxIter=300).fit(cached)
     pred = models.positive_probability(fit.transform(d))
     return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("p1"), 4).alias("p_hat"))
 
@@ -448,7 +463,8 @@ def q_logistic_fit(spark, sf_dir):
 def q_logistic_weighted(spark, sf_dir):
     _, d = _one_category_design(spark, sf_dir)
     d = sampling.class_weights(d, "hasClaim")
-    fit = models.logistic("hasClaim", weight="classWeights", regParam=0.0, tol=1e-10, maxIter=300).fit(d)
+    with persisted(d) as cached:
+        fit = models.logistic("hasClaim", weight="classWeights", regParam=0.0, tol=1e-10, maxIter=300).fit(cached)
     pred = models.positive_probability(fit.transform(d))
     return pred.groupBy("o_orderpriority").agg(clean_round(F.avg("p1"), 4).alias("p_hat"))
 
@@ -456,7 +472,8 @@ def q_logistic_weighted(spark, sf_dir):
 @register("coefficient_report")
 def q_coefficient_report(spark, sf_dir):
     pipe, d = _one_category_design(spark, sf_dir)
-    fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(d)
+    with persisted(d) as cached:
+        fit = models.poisson("ClaimNb", regParam=0.0, tol=1e-10, maxIter=50).fit(cached)
     labels = list(pipe.stages[0].labelsArray[0])
     table = models.coefficient_table(spark, fit, labels[: len(labels) - 1])
     return table.select("term", clean_round("coefficient", 5).alias("coefficient"))
@@ -464,8 +481,9 @@ def q_coefficient_report(spark, sf_dir):
 
 def _penalised(spark, sf_dir, penalty, reg):
     c = _claims(spark, sf_dir)
-    d = features.feature_pipeline(NUMERIC, CATEGORICAL).fit(c).transform(c)
-    fit = models.logistic("hasClaim", penalty=penalty, regParam=reg, maxIter=200).fit(d)
+    with persisted(c) as cached:
+        d = features.feature_pipeline(NUMERIC, CATEGORICAL).fit(cached).transform(cached)
+        fit = models.logistic("hasClaim", penalty=penalty, regParam=reg, maxIter=200).fit(d)
     coefs = [float(x) for x in fit.coefficients.toArray()]
     vals = spark.createDataFrame(
         [(penalty, max(abs(x) for x in coefs), float(fit.intercept))], "penalty string, max_abs double, b0 double"
@@ -496,7 +514,8 @@ def _separable(spark, sf_dir, threshold=25.0):
 
 def _classify(spark, sf_dir, est):
     s = _separable(spark, sf_dir)
-    model = est.fit(s.filter(F.col("split") == "train"))
+    with persisted(s.filter(F.col("split") == "train")) as train:
+        model = est.fit(train)
     pred = model.transform(s.filter(F.col("split") == "test"))
     return pred.select(*SEPARABLE_KEY, "label", "prediction")
 
@@ -539,7 +558,8 @@ def q_cross_validate(spark, sf_dir):
 def q_refit_best(spark, sf_dir):
     s, rf, _, cvm = _cv(spark, sf_dir)
     best = tuning.best_params(cvm, ["maxDepth"])
-    model = tuning.refit_best(rf, best, s.filter(F.col("split") == "train"))
+    with persisted(s.filter(F.col("split") == "train")) as train:
+        model = tuning.refit_best(rf, best, train)
     pred = model.transform(s.filter(F.col("split") == "test"))
     return pred.select(*SEPARABLE_KEY, "label", "prediction")
 
@@ -557,14 +577,16 @@ def _als_train_test(spark, sf_dir):
 @register("als_known_pairs")
 def q_als_known_pairs(spark, sf_dir):
     train, test = _als_train_test(spark, sf_dir)
-    model = recommend.als(seed=SEED).fit(train)
+    with persisted(train) as cached:
+        model = recommend.als(seed=SEED).fit(cached)
     return model.transform(test).select("userId", "movieId")
 
 
 @register("als_factors")
 def q_als_factors(spark, sf_dir):
     train, _ = _als_train_test(spark, sf_dir)
-    model = recommend.als(seed=SEED).fit(train)
+    with persisted(train) as cached:
+        model = recommend.als(seed=SEED).fit(cached)
     return model.userFactors.select("id", F.size("features").alias("n_factors"))
 
 

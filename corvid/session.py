@@ -12,6 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +74,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Cache ``df`` for the multi-pass work inside the block (model fits), then release it."""
+    cached = df.persist(level)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()

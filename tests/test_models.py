@@ -22,3 +22,22 @@ def test_coefficient_table_and_feature_names(spark):
     fit = models.logistic("y", regParam=0.1).fit(d)
     table = models.coefficient_table(spark, fit, names).orderBy("position").collect()
     assert table[0].term == "(intercept)" and len(table) == width + 1
+
+
+def test_report_sinks(spark, tmp_path):
+    from corvid.sources import sinks
+
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    rep = {r.name: (r.type, r.nullable) for r in sinks.schema_report(df).collect()}
+    assert rep == {"id": ("int", True), "name": ("string", True)}
+    path = sinks.write_report(df, str(tmp_path / "rep"), fmt="csv")
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == 1 and sinks.preview(df, 1).count() == 1
+
+
+def test_regression_metric_override(spark):
+    from corvid.operators import metrics
+
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "label double, prediction double")
+    row = metrics.regression_metric(df, "mae").first()
+    assert (row.metric, row.value) == ("mae", 0.5)
