@@ -49,6 +49,16 @@ def hourly_counts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIE
     )
 
 
+def write_parsed(parsed: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """Parse once, store as Parquet partitioned by country.
+
+    Later country reports read only their partitions (partition pruning)
+    and only the columns they use; text logs allow neither.
+    """
+    parsed.write.mode(mode).partitionBy("country").parquet(path)
+    return path
+
+
 def by_country(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
     """Rows whose host ends in one of the country labels (classified once)."""
     return parsed.filter(F.col("country").isin(list(countries)))

@@ -553,15 +553,22 @@ SELECT 1, 'maxDepth', '2', 1.0, TRUE
 
 # --------------------------------------------------------------------- ALS
 
-ORACLES["als_known_pairs"] = _with(RATINGS_CTE) + """
-, train AS (SELECT * FROM ratings WHERE userId % 10 <> 0),
-test AS (SELECT DISTINCT userId, movieId FROM ratings WHERE movieId % 5 = 0)
+_ALS_SPLIT = """
+, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp, userId, movieId, rating) AS rn, COUNT(*) OVER () AS n
+  FROM ratings
+),
+train AS (SELECT * FROM ranked WHERE rn <= floor(CAST(0.8 AS DOUBLE) * n)),
+test AS (SELECT DISTINCT userId, movieId FROM ranked WHERE rn > floor(CAST(0.8 AS DOUBLE) * n))
+"""
+
+ORACLES["als_known_pairs"] = _with(RATINGS_CTE) + _ALS_SPLIT + """
 SELECT userId, movieId FROM test
 WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)
 """
 
-ORACLES["als_factors"] = _with(RATINGS_CTE) + """
-SELECT DISTINCT userId AS id, 10 AS n_factors FROM ratings WHERE userId % 10 <> 0
+ORACLES["als_factors"] = _with(RATINGS_CTE) + _ALS_SPLIT + """
+SELECT DISTINCT userId AS id, 10 AS n_factors FROM train
 """
 
 # ------------------------------------------------------------------- scans

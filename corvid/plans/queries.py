@@ -55,7 +55,9 @@ def q_log_parse_positional(spark, sf_dir):
 
 @register("host_suffix_filter")
 def q_host_suffix_filter(spark, sf_dir):
-    return logs.by_country(_parsed_log(spark, sf_dir)).select("host", "country", "ts_text")
+    """F1 over a parsed log stored by country: the filter prunes partitions."""
+    path = logs.write_parsed(_parsed_log(spark, sf_dir), scratch_path(spark, "parsed-log"))
+    return logs.by_country(spark.read.parquet(path)).select("host", "country", "ts_text")
 
 
 @register("country_requests")
@@ -568,9 +570,11 @@ def q_refit_best(spark, sf_dir):
 
 
 def _als_train_test(spark, sf_dir):
-    r = _ratings(spark, sf_dir)
-    train = recommend.prepare_ratings(r.filter(F.col("userId") % 10 != 0))
-    test = r.filter(F.col("movieId") % 5 == 0).select("userId", "movieId").distinct()
+    """Chronological protocol: the first 80 % of ratings train, the distinct
+    (user, film) pairs of the rest are scored."""
+    marked = sampling.chrono_split(_ratings(spark, sf_dir), RATING_ORDER, [0.8])
+    train = recommend.prepare_ratings(marked.filter("train_80").drop("train_80"))
+    test = marked.filter("NOT train_80").select("userId", "movieId").distinct()
     return train, test
 
 
