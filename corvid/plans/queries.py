@@ -556,6 +556,15 @@ def q_cross_validate(spark, sf_dir):
     return rep.select("setting", "param", "value", clean_round("avg_metric", 6).alias("avg_metric"), "is_best")
 
 
+@register("cv_report")
+def q_cv_report(spark, sf_dir):
+    """V4: the chosen parameters of the best model, from its public param map."""
+    _, _, _, cvm = _cv(spark, sf_dir)
+    best = tuning.best_params(cvm, ["maxDepth", "numTrees", "maxBins"])
+    rows = [(k, str(v)) for k, v in sorted(best.items())]
+    return spark.createDataFrame(rows, "param string, value string")
+
+
 @register("refit_best")
 def q_refit_best(spark, sf_dir):
     s, rf, _, cvm = _cv(spark, sf_dir)
