@@ -93,11 +93,11 @@ ORACLES["host_share"] = _with(LOG_CTE) + """
 slices AS (
   SELECT country, rank, host, requests FROM ranked WHERE rank <= 9
   UNION ALL
-  SELECT r.country, 10 AS rank, 'Rest' AS host, t.total - SUM(r.requests) AS requests
+  SELECT r.country, 10 AS rank, 'Rest' AS host, CAST(t.total - SUM(r.requests) AS BIGINT) AS requests
   FROM ranked r JOIN tot t USING (country) WHERE r.rank <= 9 GROUP BY r.country, t.total
 )
 SELECT s.country, s.rank, s.host, s.requests,
-       round(100.0 * s.requests / t.total, 1) AS pct,
+       round(CAST(100.0 * s.requests / t.total AS DOUBLE), 1) AS pct,
        s.requests = max(s.requests) OVER (PARTITION BY s.country) AS is_largest
 FROM slices s JOIN tot t USING (country)
 """
@@ -134,7 +134,7 @@ FROM grid g LEFT JOIN cnt c USING (country, host, day, hour)
 
 ORACLES["heatmap_pivot"] = _with(LOG_CTE) + (
     "SELECT country, hour, "
-    + ", ".join(f"SUM(CASE WHEN day = {d} THEN 1 END) AS d{d}" for d in range(1, 32))
+    + ", ".join(f"CAST(SUM(CASE WHEN day = {d} THEN 1 END) AS BIGINT) AS d{d}" for d in range(1, 32))
     + " FROM clog GROUP BY country, hour"
 )
 
@@ -453,7 +453,7 @@ ORACLES["string_index"] = (
 ORACLES["one_hot"] = (
     _with(CLAIMS_CTE, _index_cte("o_orderpriority", "claims"))
     + "SELECT o_orderkey, "
-    + ", ".join(f"CASE WHEN i = {k} THEN 1.0 ELSE 0.0 END AS oh{k}" for k in range(5))
+    + ", ".join(f"CAST(CASE WHEN i = {k} THEN 1 ELSE 0 END AS DOUBLE) AS oh{k}" for k in range(5))
     + " FROM claims JOIN idx_o_orderpriority ON claims.o_orderpriority = idx_o_orderpriority.v"
 )
 
@@ -478,7 +478,7 @@ def _design_sql(encode: str) -> str:
             pos += 1
         else:
             for j in range(k):
-                cols.append(f"CASE WHEN {code} = {j} THEN 1.0 ELSE 0.0 END AS f{pos}")
+                cols.append(f"CAST(CASE WHEN {code} = {j} THEN 1 ELSE 0 END AS DOUBLE) AS f{pos}")
                 pos += 1
     joins = " ".join(f"LEFT JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _CAT)
     return _with(*ctes) + "SELECT o_orderkey, " + ", ".join(cols) + " FROM claims CROSS JOIN stats " + joins
@@ -519,8 +519,8 @@ SELECT lv.v, round(ln(lv.m) - ln(last.m), 5) + 0.0 FROM lv, last WHERE lv.pos <
 """
 
 _BASE_RATE = "(SELECT round(ln(avg(hasClaim) / (1 - avg(hasClaim))), 3) + 0.0 FROM claims)"
-ORACLES["logistic_l1"] = _with(CLAIMS_CTE) + f"SELECT 'l1' AS penalty, 0.0 AS max_abs_coefficient, {_BASE_RATE} AS intercept"
-ORACLES["logistic_l2"] = _with(CLAIMS_CTE) + f"SELECT 'l2' AS penalty, 0.0 AS max_abs_coefficient, {_BASE_RATE} AS intercept"
+ORACLES["logistic_l1"] = _with(CLAIMS_CTE) + f"SELECT 'l1' AS penalty, CAST(0 AS DOUBLE) AS max_abs_coefficient, {_BASE_RATE} AS intercept"
+ORACLES["logistic_l2"] = _with(CLAIMS_CTE) + f"SELECT 'l2' AS penalty, CAST(0 AS DOUBLE) AS max_abs_coefficient, {_BASE_RATE} AS intercept"
 
 _SEP_KEY = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)"
 
@@ -548,7 +548,7 @@ ORACLES["cross_validate"] = _with(_sep_cte(40.0)) + f"""
 )
 SELECT 0 AS setting, 'maxDepth' AS param, '0' AS value, round(avg(neg_share), 6) + 0.0 AS avg_metric, FALSE AS is_best FROM folds
 UNION ALL
-SELECT 1, 'maxDepth', '2', 1.0, TRUE
+SELECT 1, 'maxDepth', '2', CAST(1 AS DOUBLE), TRUE
 """
 
 # Known answer: on the separable fixture depth 2 wins (accuracy 1.0 vs the
