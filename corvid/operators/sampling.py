@@ -176,12 +176,13 @@ def chrono_split(
     should make the order total, the remaining ties are identical rows.
     """
     keyed = selection.key_frame(df, order_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    memo: dict = {}
     try:
-        n = keyed.count()
+        n = selection.row_count(keyed, memo)
         out = df
         for f in fractions:
             name = f"{prefix}{int(round(f * 100))}"
-            out = selection.mark_head(out, order_cols, selection.head_count(n, f), name, keyed=keyed)
+            out = selection.mark_head(out, order_cols, selection.head_count(n, f), name, keyed=keyed, memo=memo)
     finally:
         keyed.unpersist()
     return out
