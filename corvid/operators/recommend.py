@@ -9,10 +9,12 @@ to AQE, which measures the runtime size of the smaller side.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from corvid.operators import metrics, sampling
@@ -152,6 +154,7 @@ def evaluate_over_splits(
     user_col: str = "userId",
     item_col: str = "movieId",
     rating_col: str = "rating",
+    parallelism: int = 3,
 ) -> tuple[DataFrame, dict]:
     """Fit every ALS setting on every chronological head; score the tail.
 
@@ -161,20 +164,32 @@ def evaluate_over_splits(
     """
     marked = sampling.chrono_split(ratings, order_cols, fractions, prefix="_train_")
     marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
-    rows, models = [], {}
+    marked.count()  # fill the cache once, before concurrent fits read it
+    parts = {}
     for f in fractions:
         flag = f"_train_{int(round(f * 100))}"
         base = marked.select(user_col, item_col, rating_col, flag)
         train = prepare_ratings(base.filter(F.col(flag)).drop(flag), user_col, item_col).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-        test = base.filter(~F.col(flag)).drop(flag)
-        for name, params in settings.items():
-            model = als(user_col, item_col, rating_col, seed=seed, **params).fit(train)
-            models[(f, name)] = model
-            pred = model.transform(test)
-            m = metrics.regression_metrics(pred, rating_col, "prediction")
-            rows.append(m.select(F.lit(float(f)).alias("fraction"), F.lit(name).alias("setting"), "*"))
+        train.count()
+        parts[f] = (train, base.filter(~F.col(flag)).drop(flag))
+    tasks = [(f, name, params) for f in fractions for name, params in settings.items()]
+
+    def fit(task):
+        f, name, params = task
+        return task, als(user_col, item_col, rating_col, seed=seed, **params).fit(parts[f][0])
+
+    # Independent fits run as concurrent Spark jobs (as CrossValidator does
+    # with ``parallelism``); each is seeded, so the order does not matter.
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        fitted = pool.map(inheritable_thread_target(ratings.sparkSession)(fit), tasks)
+    rows, models = [], {}
+    for (f, name, _), model in fitted:
+        models[(f, name)] = model
+        pred = model.transform(parts[f][1])
+        m = metrics.regression_metrics(pred, rating_col, "prediction")
+        rows.append(m.select(F.lit(float(f)).alias("fraction"), F.lit(name).alias("setting"), "*"))
     return metrics.metric_table(rows), models
 
 
