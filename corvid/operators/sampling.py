@@ -111,22 +111,25 @@ def stratified_split(
     cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     hashed = df.withColumn("_h", hash_value(cols, seed))
     order = ["_h", *cols]
-    # One persisted key frame (class + order keys) serves every class.
+    # One persisted key frame (class + order keys) serves every class; the
+    # per-class cuts are combined into one predicate, so the input is read
+    # once whatever the number of classes.
     keyed = selection.key_frame(hashed, order, carry=[strat_col]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = keyed.groupBy(strat_col).count().collect()
         if len(counts) > 1024:
             raise ValueError("too many strata for an exact split; use exact=False")
-        parts = []
+        heads, ties = [], []
         for row in counts:
             is_cls = F.col(strat_col).eqNullSafe(F.lit(row[strat_col]))
             r = selection.head_count(row["count"], frac)
-            parts.append(selection.mark_head(hashed.filter(is_cls), order, r, "_first", keyed=keyed.filter(is_cls)))
+            head, tie, r_tie = selection.cut(hashed.filter(is_cls), order, r, keyed=keyed.filter(is_cls))
+            heads.append(is_cls & head)
+            if tie is not None:
+                ties.append((is_cls & tie, r_tie))
     finally:
         keyed.unpersist()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = selection.apply_cuts(hashed, selection._or(heads), ties, "_first")
     return out.withColumn(out_col, F.when(F.col("_first"), "train").otherwise("test")).drop("_h", "_first")
 
 

@@ -46,3 +46,13 @@ def test_except_distinct_drops_duplicates(spark):
     a = spark.createDataFrame([(1,), (1,), (2,), (3,)], "x int")
     b = spark.createDataFrame([(3,)], "x int")
     assert sorted(r.x for r in sampling.except_distinct(a, b).collect()) == [1, 2]
+
+
+def test_exact_split_with_duplicate_keys_uses_tie_quotas(spark):
+    # keys repeat, so whole groups of rows share a hash: the cut must take
+    # part of a tie group, per class, and still give exact counts
+    df = spark.range(1000).select((F.col("id") % 37).alias("k"), (F.col("id") % 2).alias("y"), "id")
+    out = sampling.stratified_split(df, "k", "y", [0.7, 0.3], seed=5, exact=True)
+    got = {(r.y, r.split): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert got == {(0, "train"): 350, (0, "test"): 150, (1, "train"): 350, (1, "test"): 150}
+    assert out.count() == 1000 and out.select("id").distinct().count() == 1000
