@@ -2,7 +2,8 @@
 
 A row's bucket depends only on its key, never on partitioning or task
 order, so splits and samples are reproducible after a retry, disjoint by
-construction and checkable in plain SQL.
+construction and checkable in plain SQL:
+``CAST(('0x' || substr(md5('seed|k1|k2'), 1, 8)) AS BIGINT)``.
 """
 
 from __future__ import annotations
@@ -14,32 +15,35 @@ from pyspark.sql import functions as F
 MD5_SPACE = 1 << 32
 
 
-def _key(cols) -> Column:
-    if isinstance(cols, (str, Column)):
-        cols = [cols]
-    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    if len(parts) == 1:
-        return parts[0].cast("string")
-    return F.concat_ws("|", *[p.cast("string") for p in parts])
+def _cols(key_cols) -> list[Column]:
+    if isinstance(key_cols, (str, Column)):
+        key_cols = [key_cols]
+    return [F.col(c) if isinstance(c, str) else c for c in key_cols]
 
 
-def md5_raw(cols) -> Column:
-    """First 8 hex digits of md5(key) as a bigint in [0, 2**32)."""
-    return F.conv(F.substring(F.md5(_key(cols)), 1, 8), 16, 10).cast("bigint")
+def hash_key(key_cols, seed: int | None = None) -> Column:
+    """The string that is hashed: 'seed|k1|k2...' (or just the key)."""
+    parts = [c.cast("string") for c in _cols(key_cols)]
+    if seed is not None:
+        parts = [F.lit(str(seed))] + parts
+    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 
-def md5_bucket(cols, buckets: int) -> Column:
+def hash_value(key_cols, seed: int | None = None) -> Column:
+    """First 32 bits of md5(seed|key) as a bigint in [0, 2**32)."""
+    return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 8), 16, 10).cast("bigint")
+
+
+def md5_bucket(key_cols, buckets: int, seed: int | None = None) -> Column:
     """Bucket in [0, buckets) from md5 of the key (SQL-reproducible)."""
-    return F.pmod(md5_raw(cols), F.lit(int(buckets)))
+    return F.pmod(hash_value(key_cols, seed), F.lit(int(buckets)))
 
 
-def unit_hash(cols) -> Column:
+def unit_hash(key_cols, seed: int | None = None) -> Column:
     """Uniform value in [0, 1) from md5 of the key."""
-    return md5_raw(cols) / F.lit(float(MD5_SPACE))
+    return hash_value(key_cols, seed) / F.lit(float(MD5_SPACE))
 
 
-def xxhash_bucket(cols, buckets: int) -> Column:
-    """Faster 64-bit hash bucket; no SQL twin, used where no oracle is needed."""
-    if isinstance(cols, (str, Column)):
-        cols = [cols]
-    return F.pmod(F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols]), F.lit(int(buckets)))
+def xxhash_bucket(key_cols, buckets: int) -> Column:
+    """Faster 64-bit hash bucket; no SQL twin, for work that needs no oracle."""
+    return F.pmod(F.xxhash64(*_cols(key_cols)), F.lit(int(buckets)))

@@ -14,24 +14,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.hashing import MD5_SPACE
+from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value  # noqa: F401  (re-exported)
 from corvid.operators import selection
 
 
-def hash_key(key_cols: Sequence[str] | str, seed: int | None = None) -> Column:
-    """The string that is hashed: 'seed|k1|k2...' (or just the key)."""
-    cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    parts = [F.col(c).cast("string") for c in cols]
-    if seed is not None:
-        parts = [F.lit(str(seed))] + parts
-    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
-
-
-def hash_value(key_cols, seed: int | None = None) -> Column:
-    """First 32 bits of md5(seed|key) as a bigint in [0, 2**32)."""
-    return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 8), 16, 10).cast("bigint")
-
-
 def threshold(fraction: float) -> int:
     """Integer cut on the hash for a keep-rate (rows with hash < t are kept)."""
     return int(min(max(fraction, 0.0), 1.0) * MD5_SPACE)
