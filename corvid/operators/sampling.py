@@ -157,14 +157,22 @@ def chrono_split(
     order_cols: Sequence[str],
     fractions: Sequence[float],
     prefix: str = "train_",
+    persist_keys: bool = True,
 ) -> DataFrame:
     """Mark the first ``int(f * n)`` rows in (time, tie-break...) order, per fraction.
 
     Adds one boolean column per fraction (``train_40`` for 0.4).  Exact and
     sort-free (see :mod:`corvid.operators.selection`); the order columns
     should make the order total, the remaining ties are identical rows.
+
+    ``persist_keys`` caches the order columns for the search rounds.  For a
+    source partitioned or clustered by time, ``False`` is cheaper at scale:
+    every round after the first filters on a narrow time range, which
+    prunes partitions and row groups at the scan.
     """
-    keyed = selection.key_frame(df, order_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = selection.key_frame(df, order_cols)
+    if persist_keys:
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
     memo: dict = {}
     try:
         n = selection.row_count(keyed, memo)
@@ -173,7 +181,8 @@ def chrono_split(
             name = f"{prefix}{int(round(f * 100))}"
             out = selection.mark_head(out, order_cols, selection.head_count(n, f), name, keyed=keyed, memo=memo)
     finally:
-        keyed.unpersist()
+        if persist_keys:
+            keyed.unpersist()
     return out
 
 

@@ -55,3 +55,14 @@ def test_chrono_split_fractions(spark):
     head_max = out.filter("train_40").agg(F.max(F.struct("t", "id"))).first()[0]
     tail_min = out.filter("NOT train_40").agg(F.min(F.struct("t", "id"))).first()[0]
     assert tuple(head_max) < tuple(tail_min)
+
+
+def test_chrono_split_without_cached_keys_reads_the_source(spark, tmp_path):
+    # time-partitioned source: later rounds prune to the boundary partition
+    path = str(tmp_path / "events")
+    spark.range(3000).select((F.col("id") % 30).alias("day"), "id").write.partitionBy("day").parquet(path)
+    src = spark.read.parquet(path)
+    a = sampling.chrono_split(src, ["day", "id"], [0.5], persist_keys=False)
+    b = sampling.chrono_split(src, ["day", "id"], [0.5], persist_keys=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.filter("train_50").count() == 1500
