@@ -66,3 +66,12 @@ def test_chrono_split_without_cached_keys_reads_the_source(spark, tmp_path):
     b = sampling.chrono_split(src, ["day", "id"], [0.5], persist_keys=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.filter("train_50").count() == 1500
+
+
+def test_mark_head_on_decimals(spark):
+    from decimal import Decimal
+
+    rows = [(Decimal("1.05"),), (Decimal("1.04"),), (Decimal("-3.10"),), (Decimal("1.05"),), (Decimal("2.00"),)]
+    df = spark.createDataFrame(rows, "d decimal(10,2)")
+    got = sorted(r.d for r in selection.mark_head(df, ["d"], 3).filter("in_head").collect())
+    assert got == [Decimal("-3.10"), Decimal("1.04"), Decimal("1.05")]
