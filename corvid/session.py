@@ -23,16 +23,16 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for scratch data; set a local one only if none is configured."""
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        jsc = spark.sparkContext._jsc.sc()
-        opt = jsc.getCheckpointDir()
-        root = opt.get() if opt.isDefined() else None
+    opt = spark.sparkContext._jsc.sc().getCheckpointDir()
+    ctx_dir = opt.get() if opt.isDefined() else None
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or ctx_dir
     if not root:
         # Unset: local tests only.  Create a fresh folder and register it.
         root = tempfile.mkdtemp(prefix="corvid-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set(_CHECKPOINT_KEY, root)
+    if not ctx_dir:
+        # The setting may have been given after the context started.
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
