@@ -57,3 +57,17 @@ def test_recommender_report(spark):
     sizes = [r.size for r in out["top_clusters"].orderBy("rank").collect()]
     assert sizes == sorted(sizes, reverse=True) and len(sizes) <= 3
     assert out["top_genres"].count() <= 10
+
+
+def test_run_jobs_cli_writes_reports(spark, tmp_path):
+    import importlib.util
+    import os
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts", "run_jobs.py")
+    spec = importlib.util.spec_from_file_location("run_jobs", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    out = tmp_path / "reports"
+    mod.main(["--out", str(out), "--jobs", "logs", "--sf-dir", SF_SMALL])
+    summary = spark.read.parquet(str(out / "logs" / "summary"))
+    assert {r.country for r in summary.collect()} == {"de", "ca", "sg"}
