@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value  # noqa: F401  (re-exported)
@@ -129,13 +129,21 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _class_totals(counts: DataFrame) -> tuple[int, int]:
+    """(rows, classes): one small aggregate job, two scalars on the driver."""
+    row = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    return int(row["rows"] or 0), int(row["classes"] or 0)
+
+
 def class_proportions(df: DataFrame, label: str) -> DataFrame:
-    """(label, n, share): share of all rows per class."""
-    # The window runs over the class-count table (one row per class).
-    everything = Window.partitionBy()
-    return class_counts(df, label).select(
-        label, "n", (F.col("n") / F.sum("n").over(everything)).alias("share")
-    )
+    """(label, n, share): share of all rows per class.
+
+    The total is a scalar folded into the plan as a literal, so no window
+    or join spans the class table, whatever the number of classes.
+    """
+    counts = class_counts(df, label)
+    total, _ = _class_totals(counts)
+    return counts.select(label, "n", (F.col("n") / F.lit(float(total))).alias("share"))
 
 
 def class_weights(df: DataFrame, label: str, out_col: str = "classWeights") -> DataFrame:
@@ -144,11 +152,9 @@ def class_weights(df: DataFrame, label: str, out_col: str = "classWeights") -> D
     The per-class table has one row per class; the join is left to AQE,
     which broadcasts it after measuring its runtime size.
     """
-    everything = Window.partitionBy()
-    weights = class_counts(df, label).select(
-        label,
-        (F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n"))).alias(out_col),
-    )
+    counts = class_counts(df, label)
+    total, k = _class_totals(counts)
+    weights = counts.select(label, (F.lit(float(total)) / (F.lit(float(k)) * F.col("n"))).alias(out_col))
     return df.join(weights, label, "left")
 
 
