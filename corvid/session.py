@@ -29,7 +29,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         # Unset: local tests only.  Create a fresh folder and register it.
         root = tempfile.mkdtemp(prefix="corvid-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        try:
+            spark.conf.set(_CHECKPOINT_KEY, root)
+        except Exception:  # noqa: BLE001 - core settings may be read-only at runtime
+            pass
     if not ctx_dir:
         # The setting may have been given after the context started.
         spark.sparkContext.setCheckpointDir(root)
