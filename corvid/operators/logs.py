@@ -71,13 +71,20 @@ def country_requests(
     return by_country(parsed, countries).groupBy("country").agg(_n(counts_col).alias("requests"))
 
 
-def country_unique_hosts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
-    """(country, unique_hosts), exact."""
-    return (
-        by_country(parsed, countries)
-        .groupBy("country")
-        .agg(F.count_distinct("host").alias("unique_hosts"))
-    )
+def country_unique_hosts(
+    parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, approx_rsd: float | None = None
+) -> DataFrame:
+    """(country, unique_hosts): exact by default.
+
+    Exact counting shuffles the distinct (country, host) pairs once (map-side
+    deduplicated); ``approx_rsd`` switches to HyperLogLog++ sketches that
+    merge in fixed memory per country.
+    """
+    if approx_rsd is not None:
+        agg = F.approx_count_distinct("host", rsd=approx_rsd)
+    else:
+        agg = F.count_distinct("host")
+    return by_country(parsed, countries).groupBy("country").agg(agg.alias("unique_hosts"))
 
 
 def country_summary(

@@ -101,3 +101,10 @@ def test_streaming_country_totals(spark, tmp_path):
     got = {r.country: r.requests for r in spark.sql("SELECT * FROM corvid_stream_test").collect()}
     q.stop()
     assert got == {"de": 3, "ca": 4, "sg": 3}
+
+
+def test_unique_hosts_approx_close_to_exact(spark):
+    p = _parsed(spark)
+    exact = {r.country: r.unique_hosts for r in logs.country_unique_hosts(p).collect()}
+    approx = {r.country: r.unique_hosts for r in logs.country_unique_hosts(p, approx_rsd=0.01).collect()}
+    assert exact == approx  # tiny cardinalities are exact in HLL++
