@@ -577,6 +577,26 @@ ORACLES["als_factors"] = _with(RATINGS_CTE) + _ALS_SPLIT + """
 SELECT DISTINCT userId AS id, 10 AS n_factors FROM train
 """
 
+def _scored_count(f: float) -> str:
+    return f"""(
+  SELECT COUNT(*) FROM ranked t
+  WHERE t.rn > floor(CAST({f} AS DOUBLE) * t.n)
+    AND t.userId IN (SELECT userId FROM ranked WHERE rn <= floor(CAST({f} AS DOUBLE) * n))
+    AND t.movieId IN (SELECT movieId FROM ranked WHERE rn <= floor(CAST({f} AS DOUBLE) * n)))"""
+
+
+_SCORED = " UNION ALL ".join(
+    f"SELECT CAST({f} AS DOUBLE) AS fraction, '{s}' AS setting, {_scored_count(f)} AS n"
+    for f in (0.4, 0.6, 0.8)
+    for s in ("setting1", "setting2")
+)
+ORACLES["als_scored_counts"] = _with(RATINGS_CTE) + """
+, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp, userId, movieId, rating) AS rn, COUNT(*) OVER () AS n
+  FROM ratings
+)
+""" + _SCORED
+
 # ------------------------------------------------------------------- scans
 
 ORACLES["csv_headerless_scan"] = "SELECT CAST(label % 2 AS DOUBLE) AS label, " + ", ".join(

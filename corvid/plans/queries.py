@@ -612,6 +612,13 @@ def q_als_quality(spark, sf_dir):
     return table
 
 
+@register("als_scored_counts")
+def q_als_scored_counts(spark, sf_dir):
+    """C7 row keys: test rows scored per split and setting (cold-start rows dropped)."""
+    table, _ = recommend.evaluate_over_splits(_ratings(spark, sf_dir), RATING_ORDER, [0.4, 0.6, 0.8], ALS_SETTINGS, seed=SEED)
+    return table.select("fraction", "setting", "n")
+
+
 @register("als_user_clusters")
 def q_als_user_clusters(spark, sf_dir):
     _, fitted = recommend.evaluate_over_splits(

@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 ROWS_ONLY = {"als_quality", "als_user_clusters"}
 # Known-answer fixtures sized for sf0.01 and above; at sf0.001 too few rows
 # per category for an exact fit to the rounding used.
-SLOW = {"als_quality", "als_user_clusters", "cross_validate", "refit_best", "cv_report"}
+SLOW = {"als_quality", "als_user_clusters", "als_scored_counts", "cross_validate", "refit_best", "cv_report"}
 
 
 def test_entry_smoke(spark):
