@@ -3,7 +3,7 @@ from pyspark.ml.classification import LogisticRegression
 from corvid.operators import features, models, tuning
 
 
-def test_param_grid_is_cartesian():
+def test_param_grid_is_cartesian(spark):
     lr = LogisticRegression()
     grid = tuning.param_grid(lr, {"regParam": [0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]})
     assert len(grid) == 6
