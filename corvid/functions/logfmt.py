@@ -33,20 +33,30 @@ def _nullif_empty(c: Column) -> Column:
 
 
 def clf_columns(value: str | Column = "value") -> list[Column]:
-    """Parsed columns: host, ts_text, day, hour, request, status, bytes, well_formed."""
+    """Parsed columns: host, ts_text, day, hour, request, status, bytes, well_formed.
+
+    The whole-line pattern runs once, as the validity flag; request, status
+    and bytes are then cut out with plain string splits (the request is the
+    first quoted part, status and bytes the two tokens after it), and are
+    NULL on lines the pattern rejects.  Day and hour use the anchored
+    prefix pattern, so a damaged request does not lose the visit time.
+    """
     v = F.col(value) if isinstance(value, str) else value
     matched = v.rlike(CLF_PATTERN)
     # Leading token without a regex: cheap enough to be repeated when
     # Catalyst pushes a country filter below this projection.
     host = F.substring_index(v, " ", 1)
+    quoted = F.split(v, '"', 3)
+    tail = F.split(F.trim(F.get(quoted, 2)), " ")
+    ts_text = F.substring_index(F.substring_index(v, "]", 1), "[", -1)
     return [
         _nullif_empty(host).alias("host"),
-        _nullif_empty(_field(v, "ts_text")).alias("ts_text"),
+        F.when(matched, ts_text).alias("ts_text"),
         F.regexp_extract(v, TS_PREFIX, 1).try_cast("int").alias("day"),
         F.regexp_extract(v, TS_PREFIX, 4).try_cast("int").alias("hour"),
-        _nullif_empty(_field(v, "request")).alias("request"),
-        _field(v, "status").try_cast("int").alias("status"),
-        _field(v, "bytes").try_cast("int").alias("bytes"),
+        F.when(matched, F.get(quoted, 1)).alias("request"),
+        F.when(matched, F.get(tail, 0)).try_cast("int").alias("status"),
+        F.when(matched, F.get(tail, 1)).try_cast("int").alias("bytes"),
         matched.alias("well_formed"),
     ]
 
