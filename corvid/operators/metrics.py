@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators.prefix import running_sums
+from corvid.session import persisted
 
 
 def regression_metrics(
@@ -64,21 +65,28 @@ def balanced_accuracy(pred: DataFrame, label: str = "label", prediction: str = "
 
 
 def auc_exact(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
-    """Exact ROC AUC with ties counted as one half (Mann-Whitney).
+    """Exact ROC AUC with ties counted as one half (Mann-Whitney), one row.
 
     Scores are aggregated to (score, positives, negatives) first, so the
     sorted pass runs over distinct scores; the running count of negatives
     below each score comes from :func:`running_sums` (no single-task sort).
+    The per-score table is cached for the passes of the computation only,
+    and the bounded one-row result is returned.
     """
     y = F.col(label).cast("double") == 1.0
     by_score = pred.groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.sum(y.cast("long")).alias("pos"), F.sum((~y).cast("long")).alias("neg")
     )
-    cum = running_sums(by_score, "_s", ["neg"], buckets=buckets)
-    return cum.agg(
-        (F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
+    spark = pred.sparkSession
+    with persisted(by_score) as cached:
+        cum = running_sums(cached, "_s", ["neg"], buckets=buckets)
+        row = cum.agg(
+            (F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+            F.sum("pos").alias("positives"),
+            F.sum("neg").alias("negatives"),
+        ).first()
+    return spark.createDataFrame(
+        [(row["auc"], row["positives"], row["negatives"])], "auc double, positives bigint, negatives bigint"
     )
 
 

@@ -25,7 +25,7 @@ def running_sums(
     order_col: str,
     value_cols: Sequence[str],
     buckets: int = 256,
-    rel_error: float = 1e-3,
+    rel_error: float = 1e-2,
     suffix: str = "_before",
 ) -> DataFrame:
     """Adds ``<v>_before``: sum of ``v`` over rows with a smaller key."""
