@@ -56,20 +56,30 @@ def claims_models(
     folds: int = 5,
     seed: int = 0,
     train_fraction: float = 0.7,
+    exposure_offset: str | None = None,
 ) -> dict[str, DataFrame]:
     """Poisson frequency model and L1/L2 claim-occurrence models.
 
+    ``exposure_offset`` names an exposure column to enter the Poisson model
+    as ``log(exposure)`` offset (a rate model) instead of only as a feature.
+
     Exact stratified split; each model is cross-validated *as a pipeline*
     (features refitted per fold, no leak) and each penalty gets its own
     regParam; refit on the whole training part; scored on the whole test part.
     """
+    if exposure_offset:
+        claims = claims.withColumn("_log_exposure", F.log(F.col(exposure_offset)))
     split = sampling.stratified_split(claims, key, binary_label, [train_fraction, 1 - train_fraction], seed=seed, exact=True)
     train = sampling.kfold(split.filter(F.col("split") == "train"), key, folds, seed=seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = split.filter(F.col("split") == "test")
     design = features.design_stages(numeric, categorical)
     specs = {
-        "poisson": (models.poisson(count_label), RegressionEvaluator(labelCol=count_label, metricName="rmse"), False),
+        "poisson": (
+            models.poisson(count_label, offset="_log_exposure" if exposure_offset else None),
+            RegressionEvaluator(labelCol=count_label, metricName="rmse"),
+            False,
+        ),
         "logistic_l1": (
             models.logistic(binary_label, penalty="l1"),
             BinaryClassificationEvaluator(labelCol=binary_label, numBins=0),

@@ -71,3 +71,13 @@ def test_run_jobs_cli_writes_reports(spark, tmp_path):
     mod.main(["--out", str(out), "--jobs", "logs", "--sf-dir", SF_SMALL])
     summary = spark.read.parquet(str(out / "logs" / "summary"))
     assert {r.country for r in summary.collect()} == {"de", "ca", "sg"}
+
+
+def test_claims_models_with_exposure_offset(spark):
+    claims = fixtures.claims(spark, SF_SMALL)
+    out = jobs.claims_models(
+        claims, "o_orderkey", ["o_totalprice"], ["o_orderpriority"], reg_grid=[0.01], folds=2, seed=1,
+        exposure_offset="Exposure",
+    )
+    m = {(r.model, r.metric): r.value for r in out["metrics"].collect()}
+    assert m[("poisson", "rmse")] > 0
