@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.operators.prefix import running_sums
 from corvid.session import persisted
 
+# Distinct-score tables up to this size are cumulated in one ordered window.
+SMALL_SCORE_TABLE = 10_000
+
 
 def regression_metrics(
     pred: DataFrame, label: str = "label", prediction: str = "prediction", group_by: Sequence[str] = ()
@@ -79,7 +82,13 @@ def auc_exact(pred: DataFrame, label: str = "label", score: str = "score", bucke
     )
     spark = pred.sparkSession
     with persisted(by_score) as cached:
-        cum = running_sums(cached, "_s", ["neg"], buckets=buckets)
+        if cached.limit(SMALL_SCORE_TABLE + 1).count() <= SMALL_SCORE_TABLE:
+            # Few distinct scores: one ordered window over a table of at most
+            # SMALL_SCORE_TABLE rows (bounded), no quantile or bucket passes.
+            ordered = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+            cum = cached.withColumn("neg_before", F.coalesce(F.sum("neg").over(ordered), F.lit(0)))
+        else:
+            cum = running_sums(cached, "_s", ["neg"], buckets=buckets)
         row = cum.agg(
             (F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
             F.sum("pos").alias("positives"),

@@ -39,3 +39,16 @@ def test_regression_and_classification_metrics(spark):
     # AUC of hard labels equals balanced accuracy
     auc = metrics.auc_exact(c.withColumnRenamed("prediction", "score")).first().auc
     assert abs(auc - 0.75) < 1e-12
+
+
+def test_auc_large_score_table_uses_buckets(spark, monkeypatch):
+    # force the bucketed path on a small table: same AUC as the window path
+    import corvid.operators.metrics as M
+
+    rnd = random.Random(3)
+    rows = [(float(rnd.random() < 0.4), rnd.random()) for _ in range(500)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    small = M.auc_exact(df).first().auc
+    monkeypatch.setattr(M, "SMALL_SCORE_TABLE", 10)
+    big = M.auc_exact(df, buckets=16).first().auc
+    assert abs(small - big) < 1e-12
