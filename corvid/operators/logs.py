@@ -195,10 +195,21 @@ def pivot_grid(
     grid: DataFrame,
     index: Sequence[str],
     column: str,
-    values: Sequence[int],
+    values: Sequence[int] | None = None,
     value: str = "visits",
     prefix: str = "d",
+    max_values: int = 366,
 ) -> DataFrame:
-    """Matrix form: one row per index, one column per listed value (NULL = none)."""
+    """Matrix form: one row per index, one column per value (NULL = none).
+
+    ``values=None`` takes the values present in the grid, as a pivot of the
+    data would; they are collected with a bound (days of a month: at most
+    31), and passing them explicitly saves that job.
+    """
+    if values is None:
+        found = [r[0] for r in grid.select(column).distinct().limit(max_values + 1).collect()]
+        if len(found) > max_values:
+            raise ValueError(f"more than {max_values} pivot columns; pass values explicitly")
+        values = sorted(v for v in found if v is not None)
     wide = grid.groupBy(*index).pivot(column, list(values)).agg(F.sum(value))
     return wide.select(*index, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])

@@ -108,3 +108,9 @@ def test_unique_hosts_approx_close_to_exact(spark):
     exact = {r.country: r.unique_hosts for r in logs.country_unique_hosts(p).collect()}
     approx = {r.country: r.unique_hosts for r in logs.country_unique_hosts(p, approx_rsd=0.01).collect()}
     assert exact == approx  # tiny cardinalities are exact in HLL++
+
+
+def test_pivot_grid_columns_from_data(spark):
+    grid = logs.heatmap(_parsed(spark), by="country")
+    wide = logs.pivot_grid(grid, ["country", "hour"], "day")
+    assert [c for c in wide.columns if c.startswith("d")] == ["d1", "d2", "d3", "d4"]
