@@ -34,9 +34,14 @@ def cross_validate(
     folds: int = 5,
     fold_col: str | None = None,
     seed: int | None = None,
-    parallelism: int = 2,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
-    """k-fold CV; with ``fold_col`` the folds are the given (hash) folds."""
+    """k-fold CV; with ``fold_col`` the folds are the given (hash) folds.
+
+    ``parallelism`` (default: up to 4, capped by the grid size) fits that
+    many settings as concurrent Spark jobs within each fold.
+    """
+    parallelism = parallelism or max(1, min(4, len(grid)))
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=parallelism)
     if fold_col:
         cv = cv.setFoldCol(fold_col)

@@ -96,7 +96,7 @@ def claims_models(
     for name, (est, ev, higher) in specs.items():
         pipe = Pipeline(stages=design + [est])
         grid = tuning.param_grid(est, {"regParam": list(reg_grid)})
-        cvm = tuning.cross_validate(pipe, grid, ev, train, folds=folds, fold_col="fold", parallelism=2)
+        cvm = tuning.cross_validate(pipe, grid, ev, train, folds=folds, fold_col="fold")
         cv_rows.append(tuning.cv_report(spark, cvm, grid, higher).withColumn("model", F.lit(name)))
         best = tuning.best_params(cvm, ["regParam"])
         fitted = Pipeline(stages=design + [est.copy({est.regParam: best["regParam"]})]).fit(train)
@@ -151,7 +151,7 @@ def compare_classifiers(
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     for name, (est, axes) in estimators.items():
         grid = tuning.param_grid(est, axes)
-        cvm = tuning.cross_validate(est, grid, ev, sample, folds=folds, fold_col="fold", parallelism=2)
+        cvm = tuning.cross_validate(est, grid, ev, sample, folds=folds, fold_col="fold")
         cv_rows.append(tuning.cv_report(spark, cvm, grid).withColumn("model", F.lit(name)))
         model = tuning.refit_best(est, tuning.best_params(cvm, list(axes)), train)
         scored = models.positive_probability(model.transform(test))
