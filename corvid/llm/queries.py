@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import language_id, packing, quality, warc
+from corvid.llm import embedding_dedup, html_extract, language_id, packing, quality, warc
 from corvid.llm.common import read_table
 
 
@@ -20,6 +20,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
@@ -33,7 +41,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc, op7_language_id, op8_packing, op9_quality)
+    f.__name__: f for f in (op2_warc, op5_embedding_near_dedup, op6_html_extraction, op7_language_id, op8_packing, op9_quality)
 }
 
 ORACLES: dict[str, str] = {}
