@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import embedding_dedup, html_extract, language_id, packing, quality, warc
+from corvid.llm import decontaminate, embedding_dedup, html_extract, language_id, packing, quality, substring_dedup, suffix_dedup, warc
 from corvid.llm.common import read_table
 
 
@@ -16,10 +16,23 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_dedup(read_table(spark, sf_dir, "embeddings"))
 
@@ -41,7 +54,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc, op5_embedding_near_dedup, op6_html_extraction, op7_language_id, op8_packing, op9_quality)
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_warc, op3_substring_dedup, op4_decontamination, op5_embedding_near_dedup, op6_html_extraction, op7_language_id, op8_packing, op9_quality)
 }
 
 ORACLES: dict[str, str] = {}
