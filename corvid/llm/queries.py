@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import decontaminate, embedding_dedup, html_extract, language_id, packing, quality, substring_dedup, suffix_dedup, warc
+from corvid.llm import decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, packing, quality, substring_dedup, suffix_dedup, warc
 from corvid.llm.common import read_table
 
 
@@ -53,8 +53,37 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents")).drop("k")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op2_warc, op3_substring_dedup, op4_decontamination, op5_embedding_near_dedup, op6_html_extraction, op7_language_id, op8_packing, op9_quality)
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_warc,
+        op3_substring_dedup,
+        op4_decontamination,
+        op5_embedding_near_dedup,
+        op6_html_extraction,
+        op7_language_id,
+        op8_packing,
+        op9_quality,
+        op10_jaccard_join,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLES: dict[str, str] = {
+    # base32 by groups of 20 bits: five hex digits are four letters
+    "op2_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+             g AS (SELECT s, max(page_id) AS last FROM p GROUP BY s)
+        SELECT p.page_id, strlen(h)::BIGINT AS payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i: substr('{_BASE32}',
+                   ((('0x' || substr(p.s, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT + 1, 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN p.page_id = g.last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN p.page_id = g.last THEN NULL ELSE g.last END AS refers_to
+        FROM p JOIN g USING (s)""",
+}
