@@ -6,10 +6,13 @@ sets are one class; a class's representative is its smallest doc_id.
 * *Small sets* are joined by enumeration: a set posts itself and its
   subsets with one element less.  Two small sets link exactly if they share
   a subset that is large enough for their sizes, so nothing is verified.
-* *Large sets* are joined by scanning inverted lists: a set of n posts its
-  floor((1 - t) n) + 1 first elements in an order that all documents share
-  (rarest first, by a sketch of all documents' frequencies).  Linked sets
-  share a list and lie in the same or the next band of sizes.
+* *Large sets* are joined by scanning inverted lists: with m = floor((1 -
+  t) n), what a linked set may lack, a set of n posts its m + floor(m / 2) +
+  1 first elements in an order that all documents share (rarest first, by a
+  sketch of all documents' frequencies).  Linked sets share floor(m / 2) + 1
+  of these for the smaller of them, so documents and pairs with fewer drop
+  out.  Short lists count pairs; long lists only connect their members, in
+  the same or the next band of sizes.
 
 The boundary between the two is chosen by cost, of those where one element
 less is enough.  Candidates that meet in lists are grouped into connected
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import bounded_batches, connected_components, joined, slices, text_key, written
@@ -40,6 +43,8 @@ from corvid.llm.embedding_dedup import forest
 WORDS, PERCENT = 3, 90
 #: Documents of a block, and counters of the frequency sketch (a power of 2).
 BLOCK, SKETCH = 256, 1 << 19
+#: Lists up to this length give their pairs; longer ones give stars.
+SHORT = 32
 #: Cost of verifying a candidate, in posted rows.
 VERIFY = 40
 _ODD = np.random.default_rng(3).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -186,18 +191,41 @@ def _links(texts: list[bytes], names: list[int], group: np.ndarray, side: np.nda
     return out
 
 
+def _overlap(n: Column, percent: int) -> Column:
+    """How many of their first elements two linked sets share at least, if the smaller has ``n``.
+
+    A set posts as many elements as it may lack, and so many more: the first
+    that both have are among these in both.
+    """
+    return F.floor(F.floor(n * (100 - percent) / 100) / 2) + 1
+
+
+def _repeated(posts: DataFrame) -> DataFrame:
+    return written(posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "lists")
+
+
 def _scanned(docs: DataFrame, classes: DataFrame, least: int, words: int, percent: int, block: int) -> DataFrame:
     """Links (a, b) among the sets of ``least`` elements and more."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100 - 1e-9))).cast("int")
-    posts = classes.where(F.col("n") >= least).select("rep", "k", "n", F.explode("prefix").alias("token"))
-    often = written(posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "lists")
-    hot = written(posts.join(often, "token").withColumn("band", band), "postings")
-    heads = hot.groupBy("token", "band").agg(F.min("rep").alias("head"), F.count("*").alias("c"))
-    heads = written(heads, "heads")
+    posts = classes.where(F.col("n") >= least).select("rep", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
+    hot = written(posts.join(_repeated(posts), "token"), "postings")
+    for step in range(2):  # documents with too few shared elements, for any partner, go; then lists of one
+        enough = hot.groupBy("rep", "n").agg(F.count("*").alias("c")).where(F.col("c") >= _overlap(F.ceil(F.col("n") * percent / 100), percent)).select("rep")
+        left = written(hot.join(written(enough, f"enough-{step}"), "rep"), f"left-{step}")
+        hot = written(left.join(_repeated(left), "token"), f"postings-{step}")
+    sized = hot.join(written(hot.groupBy("token").agg(F.count("*").alias("c")), "list-sizes"), "token")
+    # short lists: pairs that share enough of their first elements
+    short = written(sized.where(F.col("c") <= SHORT).select("token", "rep", "n"), "short")
+    other = short.select("token", F.col("rep").alias("b"), F.col("n").alias("n2"))
+    pairs = short.withColumnRenamed("rep", "a").join(other, "token").where(f"a < b and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
+    pairs = pairs.groupBy("a", "b", "n", "n2").agg(F.count("*").alias("c")).where(F.col("c") >= _overlap(F.least("n", "n2"), percent)).select("a", "b")
+    # long lists: a star in each band of sizes, and their heads in neighbouring bands
+    hot = written(sized.where(F.col("c") > SHORT).select("token", "rep", "n").withColumn("band", band), "long")
+    heads = written(hot.groupBy("token", "band").agg(F.min("rep").alias("head"), F.count("*").alias("c")), "heads")
     stars = hot.join(heads.where("c > 1").select("token", "band", "head"), ["token", "band"]).select(F.col("rep").alias("a"), F.col("head").alias("b"))
     above = heads.select("token", (F.col("band") - 1).alias("band"), F.col("head").alias("b"))
     near = heads.select("token", "band", F.col("head").alias("a")).join(above, ["token", "band"]).select("a", "b")
-    component = connected_components(stars.union(near), name="candidates")
+    component = connected_components(pairs.union(stars).union(near), name="candidates")
 
     members = classes.select("rep", "k", "n").join(component.withColumnRenamed("node", "rep"), "rep").withColumn("band", band)
     members = written(members, "candidates")
@@ -210,7 +238,7 @@ def _scanned(docs: DataFrame, classes: DataFrame, least: int, words: int, percen
     cut = heavy.groupBy("component", "band").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
     heavy = heavy.join(cut, ["component", "band"]).withColumn("u", F.xxhash64("component", "band", F.pmod(F.xxhash64("rep"), "parts")))
     heavy = written(heavy.select("rep", "k", "component", "band", "u"), "blocks")
-    touched = hot.select("token", "rep").join(heavy.select("rep", "band", "u"), "rep").select("token", "band", "u").distinct()
+    touched = sized.select("token", "rep").join(heavy.select("rep", "band", "u"), "rep").select("token", "band", "u").distinct()
     touched = written(touched, "touched")
     other = touched.select("token", F.col("band").alias("band2"), F.col("u").alias("j"))
     met = touched.withColumnRenamed("u", "i").join(other, "token").where("(band2 = band and i <= j) or band2 = band + 1").select("i", "j").distinct()
@@ -251,16 +279,19 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            done: set[bytes] = set()
+            done: dict[bytes, int] = {}
             for i, k, s in zip(pdf["i"], pdf["k"], shingle_sets(pdf["b"].tolist(), words), strict=True):
                 n, raw = len(s), s.tobytes()
-                if not n or (h := xxhash.xxh3_128_digest(raw)) in done:
+                if not n:
+                    continue
+                if (h := xxhash.xxh3_128_digest(raw)) in done:
+                    out[done[h]][2] = min(out[done[h]][2], (i, k))
                     continue
-                done.add(h)
+                done[h] = len(out)
                 x = int.from_bytes(h)
                 prefix, s1, s2, size = [], [], [], []
                 if n >= least:
-                    p = n * (100 - percent) // 100 + 1
+                    p = (m := n * (100 - percent) // 100) + m // 2 + 1
                     prefix = s[np.lexsort((s, shared.value[s & mask]))[:p]].view(np.int64).tolist()
                 if n < edge:
                     other = _mix(s ^ _ODD[330])
@@ -268,12 +299,14 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int
                     s2 = np.append(other.sum() - other, other.sum())
                     keep = slice(n, n + 1) if n == 1 else slice(0, n + 1)
                     s1, s2, size = s1[keep].view(np.int64).tolist(), s2[keep].view(np.int64).tolist(), ([n - 1] * n + [n])[keep]
-                out.append(((x >> 64) - (1 << 63), (x & (1 << 64) - 1) - (1 << 63), prefix, s1, s2, size))
-            yield pd.DataFrame(out, columns=["h1", "h2", "prefix", "s1", "s2", "size"])
+                out.append([(x >> 64) - (1 << 63), (x & (1 << 64) - 1) - (1 << 63), (i, k), n, prefix, s1, s2, size])
+            frame = pd.DataFrame(out, columns=["h1", "h2", "ik", "n", "prefix", "s1", "s2", "size"])
+            yield frame.assign(i=[x[0] for x in frame["ik"]], k=[x[1] for x in frame["ik"]])[["h1", "h2", "i", "k", "n", "prefix", "s1", "s2", "size"]]
 
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("i"), text_key(F.col("text")).alias("k"), F.col("text").cast("binary").alias("b"))
-    posted = texts.mapInPandas(post, "h1 long, h2 long, prefix array<long>, s1 array<long>, s2 array<long>, size array<int>").dropDuplicates(["h1", "h2"])
-    classes = written(posted.join(named, ["h1", "h2"]).select("rep", "k", "n", "prefix", "s1", "s2", "size"), "posted")
+    posted = texts.mapInPandas(post, "h1 long, h2 long, i long, k long, n long, prefix array<long>, s1 array<long>, s2 array<long>, size array<int>")
+    one = posted.groupBy("h1", "h2", "n").agg(F.min(F.struct("i", "k")).alias("r"), *(F.first(c).alias(c) for c in ("prefix", "s1", "s2", "size")))
+    classes = written(one.select(F.col("r.i").alias("rep"), F.col("r.k").alias("k"), "n", "prefix", "s1", "s2", "size"), "posted")
     edges = _scanned(docs, classes, least, words, percent, block).union(_enumerated(classes, edge, percent))
     component = connected_components(edges, name="links")
     of = named.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
