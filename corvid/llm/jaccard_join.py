@@ -248,7 +248,8 @@ def _scanned(docs: DataFrame, classes: DataFrame, least: int, words: int, percen
     groups = light.union(sent).groupBy("rep", "k").agg(F.collect_list(F.struct("component", "i", "j", "side")).alias("to"))  # at most the blocks a block meets
     groups = written(groups.select(F.col("rep").alias("i0"), F.col("k").alias("k0"), "to"), "verify")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_key(F.col("text")).alias("k"), F.col("text").alias("t"))
-    texts = texts.join(groups, (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "t", F.explode("to").alias("x")).select("rep", "t", "x.*")
+    # by exchange at any size: the candidates grow with the documents
+    texts = texts.join(groups.hint("merge"), (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "t", F.explode("to").alias("x")).select("rep", "t", "x.*")
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["rep", "side"])
