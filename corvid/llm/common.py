@@ -53,8 +53,8 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def slices(texts: list[bytes], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Index ranges of at most ``most`` bytes together, one text at least."""
+def slices(texts: list[bytes] | list[str], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Index ranges of at most ``most`` bytes (or characters) together, one text at least."""
     start, held = 0, 0
     for i, t in enumerate(texts):
         if held and held + len(t) > most:

@@ -25,56 +25,107 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, ranges, written
+from corvid.llm.common import bounded_batches, ranges, slices, written
 
 CAPACITY, END = 4096, 1
 #: Words whose ids a task remembers.
-_WORDS_KEPT = 600_000
+_WORDS_KEPT = 1_000_000
 #: Python's str.split() also splits at these, the tokenizer does not.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class _Words:
-    """Token ids of words, kept in one array: the tokenizer never joins across white space."""
+    """Token ids of words, by their parts: the tokenizer never joins across white space, nor letters with a stop.
+
+    A word of letters, and full stops or commas after it, is two parts: the
+    letters in lower case, which are tokenized many at a time, and the rest.
+    Any other word is one part, tokenized by itself.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.path, self.tok = path, Tokenizer.from_file(path)
+        self.tok = Tokenizer.from_file(path)
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
         self.at: dict[str, int] = {}
+        self.part: dict[str, int] = {"": 0}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.n = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
+        self.parts = np.zeros((1 << 15, 2), np.int32)
 
-    def add(self, words: list[str]) -> None:
-        got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum()))
-        k, need = len(self.at), self.used + len(flat)
+    def _store(self, parts: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
+        k, need = len(self.part), self.used + len(flat)
         while need > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while k + len(words) > len(self.n):
+        while k + len(parts) > len(self.n):
             self.start, self.n = np.concatenate([self.start, self.start]), np.concatenate([self.n, self.n])
         self.ids[self.used : need] = flat
-        self.start[k : k + len(words)] = self.used + np.cumsum(lens) - lens
-        self.n[k : k + len(words)] = lens
+        self.start[k : k + len(parts)] = self.used + np.cumsum(lens) - lens
+        self.n[k : k + len(parts)] = lens
         self.used = need
+        self.part.update(zip(parts, range(k, k + len(parts)), strict=True))
+
+    def _singly(self, parts: list[str]) -> None:
+        got = [e.ids for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        self._store(parts, np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum())), lens)
+
+    def _together(self, parts: list[str]) -> None:
+        """Parts of letters only: each is a run of tokens up to one that ends a word."""
+        for k in range(0, len(parts), 1000):
+            own = parts[k : k + 1000]
+            flat = np.array(self.tok.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(own):
+                self._store(own, flat, np.diff(last, prepend=-1))
+            else:
+                self._singly(own)
+
+    def add(self, words: list[str]) -> None:
+        pairs, letters, odd = [], {}, {}
+        for w in words:
+            low = w.lower()
+            head = low.rstrip(".,")
+            # these two letters depend on their place, or become two, in lower case
+            if head.isalpha() and "\u0130" not in w and "\u03a3" not in w:
+                letters[head] = None
+                pairs.append((head, low[len(head) :]))
+                odd[pairs[-1][1]] = None
+            else:
+                odd[w] = None
+                pairs.append((w, ""))
+        self._together([x for x in letters if x not in self.part])
+        self._singly([x for x in odd if x not in self.part])
+        k = len(self.at)
+        while k + len(words) > len(self.parts):
+            self.parts = np.concatenate([self.parts, self.parts])
+        self.parts[k : k + len(words)] = [(self.part[a], self.part[b]) for a, b in pairs]
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
 
-    def encode(self, text: str) -> np.ndarray:
-        if any(c in text for c in _NOT_SPACE):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the words of all are looked up at once."""
+        split = [t.split() if not any(c in t for c in _NOT_SPACE) else [] for t in texts]
+        words = [w for x in split for w in x]
         if new := [*set(words).difference(self.at)]:
             if len(self.at) + len(new) > _WORDS_KEPT:
                 self.clear()
                 new = [*set(words)]
             self.add(new)
-        k = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        return self.ids[ranges(self.start[k], self.n[k])]
+        k = self.parts[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
+        n = self.n[k]
+        flat = self.ids[ranges(self.start[k].ravel(), n.ravel())]
+        ends = np.concatenate([[0], np.cumsum(n.sum(1))])[np.cumsum([0, *map(len, split)])]
+        out = [flat[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i, t in enumerate(texts):
+            if any(c in t for c in _NOT_SPACE):
+                out[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
+        return out
 
 
 _words: dict[str, _Words] = {}
@@ -90,8 +141,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         words = _words[tokenizer]
         for pdf in batches:
             out = []
-            for i, k, t in zip(pdf["i"], pdf["k"], pdf["t"], strict=True):
-                ids = np.append(words.encode(t), np.uint32(END)).astype("<u4")
+            texts = pdf["t"].tolist()
+            encoded = (x for a, b in slices(texts) for x in words.encode(texts[a:b]))
+            for i, k, own in zip(pdf["i"], pdf["k"], encoded, strict=True):
+                ids = np.append(own, np.uint32(END)).astype("<u4")
                 out += [(i, k, p, s, len(x), zlib.crc32(x.tobytes())) for p, s in enumerate(range(0, len(ids), capacity)) if len(x := ids[s : s + capacity])]
             yield pd.DataFrame(out, columns=["i", "key", "piece", "start", "length", "ids_crc32"])
 
