@@ -29,7 +29,7 @@ from corvid.llm.common import bounded_batches, ranges, slices, written
 
 CAPACITY, END = 4096, 1
 #: Words whose ids a task remembers.
-_WORDS_KEPT = 1_000_000
+_WORDS_KEPT = 1_600_000
 #: Python's str.split() also splits at these, the tokenizer does not.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -118,9 +118,10 @@ class _Words:
                 new = [*set(words)]
             self.add(new)
         k = self.parts[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
-        n = self.n[k]
-        flat = self.ids[ranges(self.start[k].ravel(), n.ravel())]
-        ends = np.concatenate([[0], np.cumsum(n.sum(1))])[np.cumsum([0, *map(len, split)])]
+        n = self.n[k].sum(1)
+        k = k[k > 0]  # without empty second parts
+        flat = self.ids[ranges(self.start[k], self.n[k])]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, split)])]
         out = [flat[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
         for i, t in enumerate(texts):
             if any(c in t for c in _NOT_SPACE):
