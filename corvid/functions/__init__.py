@@ -1,6 +1,6 @@
 """Column-level building blocks (all JVM-side, codegen-friendly)."""
 
-from corvid.functions.hashing import hash_key, hash_value, md5_bucket, unit_hash, xxhash_bucket
+from corvid.functions.hashing import hash_key, hash_value, salted
 from corvid.functions.logfmt import (
     CLF_PATTERN,
     clf_columns,
@@ -12,9 +12,7 @@ from corvid.functions.timefmt import epoch_to_ts, ts_to_epoch, round6, clean_rou
 __all__ = [
     "hash_key",
     "hash_value",
-    "md5_bucket",
-    "xxhash_bucket",
-    "unit_hash",
+    "salted",
     "CLF_PATTERN",
     "clf_columns",
     "positional_columns",

@@ -21,29 +21,21 @@ def _cols(key_cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in key_cols]
 
 
-def hash_key(key_cols, seed: int | None = None) -> Column:
-    """The string that is hashed: 'seed|k1|k2...' (or just the key)."""
+def hash_key(key_cols, seed: int | str | None = None) -> Column:
+    """The string that is hashed: 'seed|k1|k2...' (or just the key; a NULL key is an empty one)."""
     parts = [c.cast("string") for c in _cols(key_cols)]
     if seed is not None:
         parts = [F.lit(str(seed))] + parts
+    else:
+        parts = [F.coalesce(p, F.lit("")) for p in parts]
     return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 
-def hash_value(key_cols, seed: int | None = None) -> Column:
-    """First 32 bits of md5(seed|key) as a bigint in [0, 2**32)."""
-    return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 8), 16, 10).cast("bigint")
-
-
-def md5_bucket(key_cols, buckets: int, seed: int | None = None) -> Column:
-    """Bucket in [0, buckets) from md5 of the key (SQL-reproducible)."""
-    return F.pmod(hash_value(key_cols, seed), F.lit(int(buckets)))
+def salted(seed: int | None, operation: str) -> str:
+    """A seed of its own for each kind of draw, so that a sample of a split is independent of the split."""
+    return f"{'' if seed is None else seed}{operation}"
 
 
-def unit_hash(key_cols, seed: int | None = None) -> Column:
-    """Uniform value in [0, 1) from md5 of the key."""
-    return hash_value(key_cols, seed) / F.lit(float(MD5_SPACE))
-
-
-def xxhash_bucket(key_cols, buckets: int) -> Column:
-    """Faster 64-bit hash bucket; no SQL twin, for work that needs no oracle."""
-    return F.pmod(F.xxhash64(*_cols(key_cols)), F.lit(int(buckets)))
+def hash_value(key_cols, seed: int | str | None = None) -> Column:
+    """First 32 bits of md5(seed|key) as a bigint in [0, 2**32)."""
+    return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 8), 16, 10).cast("bigint")

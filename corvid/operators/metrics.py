@@ -8,15 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators.prefix import running_sums
 from corvid.session import persisted
 
-# Distinct-score tables up to this size are cumulated in one ordered window.
-SMALL_SCORE_TABLE = 10_000
-
 
 def regression_metrics(
     pred: DataFrame, label: str = "label", prediction: str = "prediction", group_by: Sequence[str] = ()
@@ -61,36 +58,37 @@ def balanced_accuracy(pred: DataFrame, label: str = "label", prediction: str = "
     c = confusion_rates(pred, label, prediction)
     return c.select(
         "tp", "fp", "tn", "fn",
-        (0.5 * (F.col("tp") / (F.col("tp") + F.col("fn")) + F.col("tn") / (F.col("tn") + F.col("fp")))).alias(
-            "balanced_accuracy"
-        ),
+        # NULL when a class is missing
+        (
+            0.5
+            * (F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")) + F.try_divide(F.col("tn"), F.col("tn") + F.col("fp")))
+        ).alias("balanced_accuracy"),
     )
 
 
-def auc_exact(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
+def auc_exact(pred: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted as one half (Mann-Whitney), one row.
 
     Scores are aggregated to (score, positives, negatives) first, so the
     sorted pass runs over distinct scores; the running count of negatives
-    below each score comes from :func:`running_sums` (no single-task sort).
+    below each score comes from :func:`running_sums` (no single-task sort),
+    whatever the number of scores.  A NULL score ranks below every other and
+    a NaN above (each a tie group of its own); rows with a NULL label count
+    as neither class; with one class only the AUC is NULL.
     The per-score table is cached for the passes of the computation only,
     and the bounded one-row result is returned.
     """
     y = F.col(label).cast("double") == 1.0
     by_score = pred.groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.sum(y.cast("long")).alias("pos"), F.sum((~y).cast("long")).alias("neg")
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
     )
     spark = pred.sparkSession
     with persisted(by_score) as cached:
-        if cached.limit(SMALL_SCORE_TABLE + 1).count() <= SMALL_SCORE_TABLE:
-            # Few distinct scores: one ordered window over a table of at most
-            # SMALL_SCORE_TABLE rows (bounded), no quantile or bucket passes.
-            ordered = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-            cum = cached.withColumn("neg_before", F.coalesce(F.sum("neg").over(ordered), F.lit(0)))
-        else:
-            cum = running_sums(cached, "_s", ["neg"], buckets=buckets)
+        cum = running_sums(cached, "_s", ["neg"], buckets=buckets)
+        # doubles: the product of two counts may pass the range of a long
+        area = F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg")))
         row = cum.agg(
-            (F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+            F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
             F.sum("pos").alias("positives"),
             F.sum("neg").alias("negatives"),
         ).first()

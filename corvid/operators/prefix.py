@@ -24,18 +24,26 @@ def running_sums(
     df: DataFrame,
     order_col: str,
     value_cols: Sequence[str],
-    buckets: int = 256,
-    rel_error: float = 1e-2,
+    buckets: int | None = None,
+    rows_per_bucket: int = 200_000,
     suffix: str = "_before",
 ) -> DataFrame:
-    """Adds ``<v>_before``: sum of ``v`` over rows with a smaller key."""
+    """Adds ``<v>_before``: sum of ``v`` over rows with a smaller key.
+
+    NULL keys come before all others and NaN after, in buckets of their own.
+    ``buckets`` follows from the number of rows unless given; the quantiles'
+    error is a quarter of their spacing.
+    """
+    if buckets is None:
+        buckets = max(8, -(-df.count() // rows_per_bucket))
     probs = [i / buckets for i in range(1, buckets)]
     keyed = df.withColumn("_key_d", F.col(order_col).cast("double"))
-    bounds = sorted(set(keyed.approxQuantile("_key_d", probs, rel_error)))
+    bounds = sorted(set(keyed.approxQuantile("_key_d", probs, 1 / (4 * buckets))))
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_key_d", outputCol="_bucket", handleInvalid="keep").transform(keyed)
+    bucketed = bucketed.withColumn("_bucket", F.when(F.col("_key_d").isNull(), F.lit(-1.0)).otherwise(F.col("_bucket")))
     # One row per bucket: exclusive offsets from a window over the bucket table.
     per_bucket = bucketed.groupBy("_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     ordered = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

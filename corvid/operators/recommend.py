@@ -167,7 +167,7 @@ def evaluate_over_splits(
     marked.count()  # fill the cache once, before concurrent fits read it
     parts = {}
     for f in fractions:
-        flag = f"_train_{int(round(f * 100))}"
+        flag = sampling.flag_name(f, "_train_")
         base = marked.select(user_col, item_col, rating_col, flag)
         train = prepare_ratings(base.filter(F.col(flag)).drop(flag), user_col, item_col).persist(
             StorageLevel.MEMORY_AND_DISK

@@ -3,7 +3,8 @@
 Every row's fate depends only on md5 of (seed, key): no dependence on
 partitioning or retry order, disjoint parts by construction, one narrow
 pass (no shuffle), and an exact SQL twin.  Thresholds are integers on the
-32-bit hash so both engines compare the same numbers.
+32-bit hash so both engines compare the same numbers.  Samples, strata and
+folds salt the seed, so a sample of a part of a split keeps its rate.
 """
 
 from __future__ import annotations
@@ -14,8 +15,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value  # noqa: F401  (re-exported)
+from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value, salted  # noqa: F401  (re-exported)
 from corvid.operators import selection
+from corvid.session import cut_lineage
+
+
+#: Classes up to this number are a table of a few MB at most.
+BROADCAST_CLASSES = 100_000
 
 
 def threshold(fraction: float) -> int:
@@ -58,7 +64,7 @@ def random_split(df: DataFrame, key_cols, weights: Sequence[float], seed: int |
 
 def hash_sample(df: DataFrame, key_cols, fraction: float, seed: int | None = None) -> DataFrame:
     """Bernoulli sample: each row kept with probability ``fraction``."""
-    return df.filter(hash_value(key_cols, seed) < F.lit(threshold(fraction)))
+    return df.filter(hash_value(key_cols, salted(seed, "sample")) < F.lit(threshold(fraction)))
 
 
 def stratified_sample(
@@ -69,7 +75,7 @@ def stratified_sample(
     for cls, f in fractions.items():
         cond = F.col(strat_col) == F.lit(cls)
         rate = F.when(cond, F.lit(threshold(f))) if rate is None else rate.when(cond, F.lit(threshold(f)))
-    return df.filter(hash_value(key_cols, seed) < rate.otherwise(F.lit(0)))
+    return df.filter(hash_value(key_cols, salted(seed, "strata")) < rate.otherwise(F.lit(0)))
 
 
 def stratified_split(
@@ -102,10 +108,7 @@ def stratified_split(
     # once whatever the number of classes.
     keyed = selection.key_frame(hashed, order, carry=[strat_col]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Bounded collect: at most 1,025 rows reach the driver.
-        counts = keyed.groupBy(strat_col).count().limit(1025).collect()
-        if len(counts) > 1024:
-            raise ValueError("too many strata for an exact split; use exact=False")
+        counts = keyed.groupBy(strat_col).count().collect()  # one row a class, and a search each
         heads, ties = [], []
         for row in counts:
             is_cls = F.col(strat_col).eqNullSafe(F.lit(row[strat_col]))
@@ -122,7 +125,7 @@ def stratified_split(
 
 def kfold(df: DataFrame, key_cols, k: int, seed: int | None = None, out_col: str = "fold") -> DataFrame:
     """Fold number in [0, k) from the hash (usable as ``foldCol``)."""
-    return df.withColumn(out_col, F.pmod(hash_value(key_cols, seed), F.lit(int(k))).cast("int"))
+    return df.withColumn(out_col, F.pmod(hash_value(key_cols, salted(seed, "fold")), F.lit(int(k))).cast("int"))
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -140,9 +143,10 @@ def class_proportions(df: DataFrame, label: str) -> DataFrame:
     """(label, n, share): share of all rows per class.
 
     The total is a scalar folded into the plan as a literal, so no window
-    or join spans the class table, whatever the number of classes.
+    or join spans the class table, whatever the number of classes.  The
+    class table is checkpointed: the input is aggregated once.
     """
-    counts = class_counts(df, label)
+    counts = cut_lineage(class_counts(df, label))
     total, _ = _class_totals(counts)
     return counts.select(label, "n", (F.col("n") / F.lit(float(total))).alias("share"))
 
@@ -150,13 +154,24 @@ def class_proportions(df: DataFrame, label: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str, out_col: str = "classWeights") -> DataFrame:
     """Balanced weights n / (k * n_class) attached to every row.
 
-    The per-class table has one row per class; the join is left to AQE,
-    which broadcasts it after measuring its runtime size.
+    The class table (one row a class) is checkpointed and counted: up to
+    ``BROADCAST_CLASSES`` classes it is broadcast, so the rows do not move;
+    beyond that it is joined by exchange, where no class is hot.  A NULL
+    class has a weight like any other.
     """
-    counts = class_counts(df, label)
+    counts = cut_lineage(class_counts(df, label))
     total, k = _class_totals(counts)
     weights = counts.select(label, (F.lit(float(total)) / (F.lit(float(k)) * F.col("n"))).alias(out_col))
-    return df.join(weights, label, "left")
+    weights = weights.withColumnRenamed(label, "_class")
+    if k <= BROADCAST_CLASSES:
+        weights = F.broadcast(weights)
+    weighted = df.join(weights, df[label].eqNullSafe(weights["_class"]), "left").drop("_class")
+    return weighted.select(label, *[c for c in df.columns if c != label], out_col)
+
+
+def flag_name(fraction: float, prefix: str = "train_") -> str:
+    """``train_40`` for 0.4, ``train_40_5`` for 0.405: other fractions, other names."""
+    return f"{prefix}{round(fraction * 100, 10):g}".replace(".", "_")
 
 
 def chrono_split(
@@ -185,7 +200,7 @@ def chrono_split(
         n = selection.row_count(keyed, memo)
         out = df
         for f in fractions:
-            name = f"{prefix}{int(round(f * 100))}"
+            name = flag_name(f, prefix)
             out = selection.mark_head(out, order_cols, selection.head_count(n, f), name, keyed=keyed, memo=memo)
     finally:
         if persist_keys:

@@ -164,11 +164,11 @@ ratings AS (
 )
 """
 
-SEED = 23788
+SEED = 4711
 M32 = 1 << 32
 
 
-def hash_sql(key: str, seed: int | None = SEED) -> str:
+def hash_sql(key: str, seed: int | str | None = SEED) -> str:
     k = f"CAST({key} AS VARCHAR)"
     if seed is not None:
         k = f"'{seed}|' || {k}"
@@ -204,12 +204,12 @@ FROM claims
 """
 
 ORACLES["hash_sample"] = _with(CLAIMS_CTE) + f"""
-SELECT o_orderkey, hasClaim FROM claims WHERE {hash_sql('o_orderkey')} < {_t(0.1)}
+SELECT o_orderkey, hasClaim FROM claims WHERE {hash_sql('o_orderkey', f'{SEED}sample')} < {_t(0.1)}
 """
 
 ORACLES["stratified_sample"] = _with(CLAIMS_CTE) + f"""
 SELECT o_orderkey, hasClaim FROM claims
-WHERE {hash_sql('o_orderkey')} < CASE hasClaim WHEN 0 THEN {_t(0.2)} WHEN 1 THEN {_t(0.5)} ELSE 0 END
+WHERE {hash_sql('o_orderkey', f'{SEED}strata')} < CASE hasClaim WHEN 0 THEN {_t(0.2)} WHEN 1 THEN {_t(0.5)} ELSE 0 END
 """
 
 ORACLES["stratified_split"] = _with(CLAIMS_CTE) + f"""
@@ -224,13 +224,13 @@ FROM (
 """
 
 ORACLES["kfold_assign"] = _with(CLAIMS_CTE) + f"""
-SELECT o_orderkey, hasClaim, CAST({hash_sql('o_orderkey')} % 5 AS INTEGER) AS fold FROM claims
+SELECT o_orderkey, hasClaim, CAST({hash_sql('o_orderkey', f'{SEED}fold')} % 5 AS INTEGER) AS fold FROM claims
 """
 
 ORACLES["union_strata"] = _with(CLAIMS_CTE) + f"""
-SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 1 AND {hash_sql('o_orderkey')} < {_t(0.5)}
+SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 1 AND {hash_sql('o_orderkey', f'{SEED}sample')} < {_t(0.5)}
 UNION ALL
-SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 0 AND {hash_sql('o_orderkey')} < {_t(0.2)}
+SELECT o_orderkey, hasClaim FROM claims WHERE hasClaim = 0 AND {hash_sql('o_orderkey', f'{SEED}sample')} < {_t(0.2)}
 """
 
 _RANKED = """
@@ -316,6 +316,31 @@ SELECT round(SUM(pos * (neg_before + 0.5 * neg)) / (SUM(pos) * SUM(neg)), 9) AS
 FROM c
 """
 
+ORACLES["sample_of_split"] = _with(CLAIMS_CTE) + f"""
+, c AS (
+  SELECT CASE WHEN {hash_sql('o_orderkey')} < {_t(0.8)} THEN 'train' ELSE 'test' END AS split,
+         {hash_sql('o_orderkey', f'{SEED}sample')} < {_t(0.1)} AS kept
+  FROM claims
+)
+SELECT split, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(kept::INT) AS BIGINT) AS kept,
+       abs(SUM(kept::INT) / COUNT(*)::DOUBLE - 0.1) < 5 * sqrt(0.09 / COUNT(*)) AS rate_as_asked
+FROM c GROUP BY split
+"""
+
+ORACLES["auc_near_unique"] = """
+WITH scores AS (
+  SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS label,
+         CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_extendedprice AS DOUBLE) ELSE -1e300 END AS score FROM lineitem
+), s AS (
+  SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg FROM scores GROUP BY score
+), c AS (
+  SELECT *, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM s
+)
+SELECT round(SUM(pos * (neg_before + 0.5 * neg)) / (SUM(pos) * SUM(neg)), 9) AS auc,
+       CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
+FROM c
+"""
+
 _HARD = """
 , hp AS (SELECT label, CAST(score > 25 AS DOUBLE) AS prediction FROM scores),
 cm AS (
@@ -530,7 +555,7 @@ def _sep_cte(threshold: float) -> str:
 sep AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
          CAST(l_quantity > {threshold} AS DOUBLE) AS label,
-         {hash_sql(_SEP_KEY)} AS h
+         {hash_sql(_SEP_KEY)} AS h, {hash_sql(_SEP_KEY, f'{SEED}fold')} AS hf
   FROM lineitem
 )
 """
@@ -544,7 +569,7 @@ ORACLES["refit_best"] = _with(_sep_cte(40.0)) + _SEP_TEST
 
 ORACLES["cross_validate"] = _with(_sep_cte(40.0)) + f"""
 , folds AS (
-  SELECT h % 5 AS fold, avg(1.0 - label) AS neg_share FROM sep WHERE h < {_t(0.8)} GROUP BY h % 5
+  SELECT hf % 5 AS fold, avg(1.0 - label) AS neg_share FROM sep WHERE h < {_t(0.8)} GROUP BY hf % 5
 )
 SELECT 0 AS setting, 'maxDepth' AS param, '0' AS value, round(avg(neg_share), 6) + 0.0 AS avg_metric, FALSE AS is_best FROM folds
 UNION ALL

@@ -130,7 +130,7 @@ def q_heatmap_pivot(spark, sf_dir):
 
 # ---------------------------------------------------------------- sampling
 
-SEED = 23788  # fixed value: the seed used throughout the reference jobs
+SEED = 4711
 
 
 def _claims(spark, sf_dir):
@@ -171,6 +171,16 @@ def q_hash_sample(spark, sf_dir):
     return sampling.hash_sample(c, "o_orderkey", 0.1, seed=SEED)
 
 
+@register("sample_of_split")
+def q_sample_of_split(spark, sf_dir):
+    """A tenth of each part of a split: the rate must not depend on the split."""
+    c = sampling.hash_split(_claims(spark, sf_dir), "o_orderkey", [0.8, 0.2], seed=SEED)
+    kept = sampling.hash_sample(c, "o_orderkey", 0.1, seed=SEED).groupBy("split").agg(F.count("*").alias("kept"))
+    got = c.groupBy("split").agg(F.count("*").alias("n")).join(kept, "split", "left")
+    rate = F.abs(F.col("kept") / F.col("n") - 0.1) < 5 * F.sqrt(F.lit(0.09) / F.col("n"))
+    return got.select("split", "n", "kept", rate.alias("rate_as_asked"))
+
+
 @register("stratified_sample")
 def q_stratified_sample(spark, sf_dir):
     c = _claims(spark, sf_dir).select("o_orderkey", "hasClaim")
@@ -272,6 +282,15 @@ def q_auc_exact(spark, sf_dir):
     return a.select(clean_round("auc", 9).alias("auc"), "positives", "negatives")
 
 
+@register("auc_near_unique")
+def q_auc_near_unique(spark, sf_dir):
+    """AUC over nearly as many scores as rows; every 13th order has none."""
+    li = fixtures.read_table(spark, sf_dir, "lineitem")
+    score = F.when(F.col("l_orderkey") % 13 != 0, F.col("l_extendedprice").cast("double"))
+    a = metrics.auc_exact(li.select((F.col("l_returnflag") == "R").cast("double").alias("label"), score.alias("score")))
+    return a.select(clean_round("auc", 9).alias("auc"), "positives", "negatives")
+
+
 def _hard_predictions(spark, sf_dir):
     s = fixtures.lineitem_scores(spark, sf_dir)
     return s.withColumn("prediction", (F.col("score") > 25).cast("double"))

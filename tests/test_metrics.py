@@ -41,14 +41,23 @@ def test_regression_and_classification_metrics(spark):
     assert abs(auc - 0.75) < 1e-12
 
 
-def test_auc_large_score_table_uses_buckets(spark, monkeypatch):
-    # force the bucketed path on a small table: same AUC as the window path
-    import corvid.operators.metrics as M
+def _pairs_auc(rows):
+    key = lambda s: (0, 0.0) if s is None else (2, 0.0) if s != s else (1, s)
+    pos, neg = [key(s) for y, s in rows if y == 1], [key(s) for y, s in rows if y == 0]
+    return sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
 
+
+def test_auc_buckets_do_not_change_it(spark):
     rnd = random.Random(3)
-    rows = [(float(rnd.random() < 0.4), rnd.random()) for _ in range(500)]
+    rows = [(float(rnd.random() < 0.4), rnd.choice([None, float("nan"), rnd.random(), rnd.random(), 0.5])) for _ in range(500)]
     df = spark.createDataFrame(rows, "label double, score double")
-    small = M.auc_exact(df).first().auc
-    monkeypatch.setattr(M, "SMALL_SCORE_TABLE", 10)
-    big = M.auc_exact(df, buckets=16).first().auc
-    assert abs(small - big) < 1e-12
+    for buckets in (None, 16, 300):
+        r = metrics.auc_exact(df, buckets=buckets).first()
+        assert abs(r.auc - _pairs_auc(rows)) < 1e-12
+        assert r.positives + r.negatives == 500
+
+
+def test_one_class_gives_null(spark):
+    df = spark.createDataFrame([(1.0, 0.5), (1.0, 0.7)], "label double, score double")
+    assert metrics.auc_exact(df).first().auc is None
+    assert metrics.balanced_accuracy(df.withColumn("prediction", F.lit(1.0))).first().balanced_accuracy is None

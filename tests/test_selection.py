@@ -75,3 +75,39 @@ def test_mark_head_on_decimals(spark):
     df = spark.createDataFrame(rows, "d decimal(10,2)")
     got = sorted(r.d for r in selection.mark_head(df, ["d"], 3).filter("in_head").collect())
     assert got == [Decimal("-3.10"), Decimal("1.04"), Decimal("1.05")]
+
+
+def _head(spark, rows, ddl, r):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], f"i int, x {ddl}")
+    got = selection.mark_head(df, ["x", "i"], r, buckets=4)
+    return sorted(x.i for x in got.filter("in_head").collect())
+
+
+def test_order_search_ends_on_special_doubles(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [1.0, nan, inf, -inf, None, 2.0, -0.0, 1e308, -1e308, 5e-324, nan]
+    rank = lambda x: (4, 0) if x is None else (3, 0) if x != x else (2, 0) if x == inf else (0, 0) if x == -inf else (1, x)
+    order = sorted(range(len(rows)), key=lambda i: (rank(rows[i]), i))
+    for r in range(len(rows) + 1):
+        assert _head(spark, rows, "double", r) == sorted(order[:r])
+
+
+def test_order_search_on_wide_longs(spark):
+    rows = [2**63 - 1, -(2**63), 0, 5, -7, 2**62, -(2**62)]
+    order = sorted(range(len(rows)), key=lambda i: rows[i])
+    for r in (1, 3, 6):
+        assert _head(spark, rows, "long", r) == sorted(order[:r])
+
+
+def test_order_search_on_wide_decimals(spark):
+    from decimal import Decimal as D
+
+    big = 10**37
+    rows = [D(big + 4), D(big + 1), D(-big - 1), D(big + 3), D(-big - 2), D(big + 2)]
+    order = sorted(range(len(rows)), key=lambda i: rows[i])
+    for r in (1, 2, 4):
+        assert _head(spark, rows, "decimal(38,0)", r) == sorted(order[:r])
+    rows = [D("1.000000000000000003"), D("1.000000000000000001"), D("-0.000000000000000002"), D("-0.000000000000000001"), D("0")]
+    order = sorted(range(len(rows)), key=lambda i: rows[i])
+    for r in (1, 2, 4):
+        assert _head(spark, rows, "decimal(30,18)", r) == sorted(order[:r])
