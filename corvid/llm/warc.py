@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -157,9 +158,10 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
                             out.append(got)
                         yield pd.DataFrame(out)[columns].astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    # a task gets whole stretches of an archive, in order
+    # a task gets whole stretches of an archive, in order; their number follows from the bytes to read
     stretch = F.floor(F.col("offset") / READ)
-    rows = index.select("file", "offset", "size").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    size = index.agg(F.sum("size").alias("b")).collect()[0].b or 0
+    rows = index.select("file", "offset", "size").repartition(max(1, math.ceil(size / (2 * READ))), "file", stretch).sortWithinPartitions("file", "offset")
     return rows.mapInPandas(fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads)
 
 
