@@ -44,9 +44,13 @@ class _Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        # a to z only: nothing to normalize, and words end at spaces
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tok.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -76,11 +80,11 @@ class _Words:
         lens = np.fromiter(map(len, got), np.int64, len(got))
         self._store(parts, np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum())), lens)
 
-    def _together(self, parts: list[str]) -> None:
+    def _together(self, parts: list[str], tok) -> None:
         """Parts of letters only: each is a run of tokens up to one that ends a word."""
         for k in range(0, len(parts), 1000):
             own = parts[k : k + 1000]
-            flat = np.array(self.tok.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.uint32)
+            flat = np.array(tok.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.uint32)
             last = np.flatnonzero(self.ends[flat])
             if len(last) == len(own):
                 self._store(own, flat, np.diff(last, prepend=-1))
@@ -88,24 +92,28 @@ class _Words:
                 self._singly(own)
 
     def add(self, words: list[str]) -> None:
-        pairs, letters, odd = [], {}, {}
+        heads, tails, letters, odd = [], [], {}, {}
         for w in words:
             low = w.lower()
             head = low.rstrip(".,")
             # these two letters depend on their place, or become two, in lower case
             if head.isalpha() and "\u0130" not in w and "\u03a3" not in w:
                 letters[head] = None
-                pairs.append((head, low[len(head) :]))
-                odd[pairs[-1][1]] = None
+                heads.append(head)
+                tails.append(low[len(head) :])
             else:
                 odd[w] = None
-                pairs.append((w, ""))
-        self._together([x for x in letters if x not in self.part])
-        self._singly([x for x in odd if x not in self.part])
+                heads.append(w)
+                tails.append("")
+        new = [x for x in letters if x not in self.part]
+        self._together([x for x in new if x.isascii()], self.plain)
+        self._together([x for x in new if not x.isascii()], self.tok)
+        self._singly([x for x in odd.keys() | set(tails) if x not in self.part])
         k = len(self.at)
         while k + len(words) > len(self.parts):
             self.parts = np.concatenate([self.parts, self.parts])
-        self.parts[k : k + len(words)] = [(self.part[a], self.part[b]) for a, b in pairs]
+        for side, own in enumerate((heads, tails)):
+            self.parts[k : k + len(words), side] = np.fromiter(map(self.part.__getitem__, own), np.int32, len(own))
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
