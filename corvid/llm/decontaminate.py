@@ -181,6 +181,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: in
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **how: float) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    bad = written(matches(docs, benchmark, **how).select(F.col("doc_id").alias("_bad")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the documents that hold an item; rows that share a doc_id share its fate."""
+    bad = written(matches(docs, benchmark, **how).select(F.col("doc_id").alias("__leak_id")).distinct(), "leaks")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__leak_id")), "left_anti")

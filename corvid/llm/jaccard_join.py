@@ -320,9 +320,9 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group: the row of its smallest doc_id; rows with a null doc_id stay."""
-    keep = written(join(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_i"), F.col("k").alias("_k")).distinct(), "kept")
-    first = keep.groupBy("_i").agg(F.min("_k").alias("_k"))  # rows that share a doc_id are one document
-    rows = docs.withColumn("_k0", text_key(F.col("text")))
-    named = rows.where("doc_id is not null").join(first, (F.col("doc_id").cast("long") == F.col("_i")) & (F.col("_k0") == F.col("_k")))
-    named = named.drop("_i", "_k").dropDuplicates(["doc_id", "_k0"])
-    return named.union(rows.where("doc_id is null")).drop("_k0")
+    keep = written(join(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__first_id"), F.col("k").alias("__first_key")).distinct(), "kept")
+    first = keep.groupBy("__first_id").agg(F.min("__first_key").alias("__first_key"))  # rows that share a doc_id are one document
+    rows = docs.withColumn("__own_key", text_key(F.col("text")))
+    named = rows.where("doc_id is not null").join(first, (F.col("doc_id").cast("long") == F.col("__first_id")) & (F.col("__own_key") == F.col("__first_key")))
+    named = named.drop("__first_id", "__first_key").dropDuplicates(["doc_id", "__own_key"])
+    return named.union(rows.where("doc_id is null")).drop("__own_key")

@@ -108,7 +108,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
                 for k in set(own):
                     total[k] = total.get(k, 0) + v[own == k].sum(0, dtype=np.float64)
                 at += len(v)
-        yield pd.DataFrame({"lang": list(total), "v": [x.tolist() for x in total.values()]})
+        yield pd.DataFrame({"lang": list(total), "v": [x.tolist() for x in total.values()]}, dtype=object)
 
     rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null")
     sums = rows.mapInPandas(bundle, "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x"))
@@ -158,5 +158,5 @@ def keep_identified(docs: DataFrame, least: float = 0.05) -> DataFrame:
     """The rows of ``docs`` whose language is known with a cosine of ``least`` or more."""
     bounded_batches(docs.sparkSession)
     classify = predict(learn(docs.where(~held_out("doc_id", 4, 2))))
-    p = "_language_id"
+    p = "__language_id"
     return docs.withColumn(p, classify("text")).where(f"{p}.lang_pred <> 'und' and {p}.score >= {least}").drop(p)

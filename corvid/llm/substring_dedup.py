@@ -101,7 +101,7 @@ def repeats(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS, pie
     first = written(first.where("first <> last").select("h1", "h2", "first"), "repeated")
     later = found.join(first, ["h1", "h2"]).where("struct(i, k, at) <> first").select("i", "k", "at", "n")
     # a document's spans are bounded by its own length
-    return later.groupBy("i", "k").agg(F.collect_set(F.struct("at", "n")).alias("covered")).select(F.col("i").alias("_i"), F.col("k").alias("_k"), "covered")
+    return later.groupBy("i", "k").agg(F.collect_set(F.struct("at", "n")).alias("covered")).select(F.col("i").alias("__span_id"), F.col("k").alias("__span_key"), F.col("covered").alias("__span_list"))
 
 
 def without_repeats(docs: DataFrame, **how: int) -> DataFrame:
@@ -120,8 +120,9 @@ def without_repeats(docs: DataFrame, **how: int) -> DataFrame:
         return pd.DataFrame(out, columns=["text", "gone"])
 
     marks = written(repeats(docs, **how), "covered")
-    own = docs.withColumn("_k0", text_key(F.col("text")))
-    got = own.join(marks, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_k0") == F.col("_k")), "left")
-    got = got.withColumn("_r", remove(F.when(F.col("covered").isNotNull(), F.col("text")), "covered"))
-    got = got.withColumn("text", F.when(F.col("covered").isNotNull(), F.col("_r.text")).otherwise(F.col("text"))).withColumn("n_units_removed", F.coalesce("_r.gone", F.lit(0)).cast("long"))
-    return got.drop("_k0", "_i", "_k", "covered", "_r")
+    own = docs.withColumn("__span_own", text_key(F.col("text")))
+    got = own.join(marks, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("__span_own") == F.col("__span_key")), "left")
+    marked = F.col("__span_list").isNotNull()
+    got = got.withColumn("__span_cut", remove(F.when(marked, F.col("text")), "__span_list"))
+    got = got.withColumn("text", F.when(marked, F.col("__span_cut.text")).otherwise(F.col("text"))).withColumn("n_units_removed", F.coalesce("__span_cut.gone", F.lit(0)).cast("long"))
+    return got.drop("__span_own", "__span_id", "__span_key", "__span_list", "__span_cut")
