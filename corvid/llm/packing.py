@@ -47,7 +47,7 @@ class _Words:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        # a to z only: nothing to normalize, and words end at spaces
+        # for Latin letters in lower case: nothing to normalize, and words end at spaces
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -106,8 +106,9 @@ class _Words:
                 heads.append(w)
                 tails.append("")
         new = [x for x in letters if x not in self.part]
-        self._together([x for x in new if x.isascii()], self.plain)
-        self._together([x for x in new if not x.isascii()], self.tok)
+        # letters below U+0180 are composed, and in lower case by now
+        self._together([x for x in new if x.isascii() or max(x) < "\u0180"], self.plain)
+        self._together([x for x in new if not x.isascii() and max(x) >= "\u0180"], self.tok)
         self._singly([x for x in odd.keys() | set(tails) if x not in self.part])
         k = len(self.at)
         while k + len(words) > len(self.parts):
