@@ -1,6 +1,7 @@
 """Common Log Format parsing as column expressions.
 
-Every field comes from one regular expression evaluated in the JVM; casts
+One regular expression judges the whole line, an anchored prefix pattern
+gives day and hour, and plain splits cut out the rest, all in the JVM; casts
 use ``try_cast`` so ANSI mode turns a malformed number into NULL instead of
 failing the job.  Day and hour are read from the text (server-local time),
 not from the UTC instant, as the report is about the server's clock.
@@ -16,18 +17,12 @@ CLF_PATTERN = (
     r'^(\S+) (\S+) (\S+) \[((\d{2})/(\w{3})/(\d{4}):(\d{2}):(\d{2}):(\d{2}) ([^\]]*))\] '
     r'"([^"]*)" (\S+) (\S+)\s*$'
 )
-_G = {"host": 1, "ts_text": 4, "day": 5, "month": 6, "year": 7, "hour": 8, "request": 12, "status": 13, "bytes": 14}
 
 # Anchored prefix up to the hour: day and hour need no match of the rest of
 # the line (cheaper, and a damaged request does not lose the visit time).
 TS_PREFIX = r"^\S+ \S+ \S+ \[(\d{2})/(\w{3})/(\d{4}):(\d{2}):"
 
 
-
-def _field(value: Column, name: str) -> Column:
-    return F.regexp_extract(value, CLF_PATTERN, _G[name])
-
-
 def _nullif_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(None)).otherwise(c)
 

@@ -49,13 +49,21 @@ def hourly_counts(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIE
     )
 
 
-def write_parsed(parsed: DataFrame, path: str, mode: str = "errorifexists") -> str:
+def write_parsed(
+    parsed: DataFrame, path: str, mode: str = "errorifexists", countries: Sequence[str] = DEFAULT_COUNTRIES, other: str = "other"
+) -> str:
     """Parse once, store as Parquet partitioned by country.
 
     Later country reports read only their partitions (partition pruning)
-    and only the columns they use; text logs allow neither.
+    and only the columns they use; text logs allow neither.  A host's last
+    label can be anything, so hosts of no listed country share the
+    partition ``other`` (the host itself is kept), and the rows are
+    rebalanced by country first: adaptive execution splits the large
+    partitions and joins the small ones by bytes, not one file a task.
     """
-    parsed.write.mode(mode).partitionBy("country").parquet(path)
+    listed = F.when(F.col("country").isin(list(countries)), F.col("country")).otherwise(F.lit(other))
+    stored = parsed.withColumn("country", listed).hint("rebalance", F.col("country"))
+    stored.write.mode(mode).partitionBy("country").parquet(path)
     return path
 
 
@@ -198,18 +206,16 @@ def pivot_grid(
     values: Sequence[int] | None = None,
     value: str = "visits",
     prefix: str = "d",
-    max_values: int = 366,
 ) -> DataFrame:
     """Matrix form: one row per index, one column per value (NULL = none).
 
-    ``values=None`` takes the values present in the grid, as a pivot of the
-    data would; they are collected with a bound (days of a month: at most
-    31), and passing them explicitly saves that job.
+    ``values=None`` takes the values present in the grid, found by Spark's
+    own pivot (its limit is ``spark.sql.pivotMaxValues``); passing them
+    explicitly saves that job.
     """
     if values is None:
-        found = [r[0] for r in grid.select(column).distinct().limit(max_values + 1).collect()]
-        if len(found) > max_values:
-            raise ValueError(f"more than {max_values} pivot columns; pass values explicitly")
-        values = sorted(v for v in found if v is not None)
-    wide = grid.groupBy(*index).pivot(column, list(values)).agg(F.sum(value))
+        wide = grid.groupBy(*index).pivot(column).agg(F.sum(value))
+        values = [c for c in wide.columns if c not in index and c != "null"]
+    else:
+        wide = grid.groupBy(*index).pivot(column, list(values)).agg(F.sum(value))
     return wide.select(*index, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])

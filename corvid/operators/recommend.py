@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.util import inheritable_thread_target
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import metrics, sampling
 from corvid.operators.topk import arg_max, top_n
+from corvid.session import cut_lineage, persisted
 
 # ------------------------------------------------------------ cluster taste
 
@@ -123,19 +123,19 @@ def als(
     rating_col: str = "rating",
     seed: int | None = None,
     cold_start: str = "drop",
+    blocks: int | None = None,
     **params,
 ) -> ALS:
-    """ALS estimator; ``params`` are ALS params (rank, regParam, maxIter...)."""
+    """ALS estimator; ``params`` are ALS params (rank, regParam, maxIter...).
+
+    ``blocks`` is the number of user and of item blocks, which is the number
+    of tasks of each step: MLlib's own default is 10, at any size.  ALS
+    deals the ratings to blocks itself, so no partitioning is needed before.
+    """
     est = ALS(userCol=user_col, itemCol=item_col, ratingCol=rating_col, coldStartStrategy=cold_start, **params)
     if seed is not None:
         est = est.setSeed(seed)
-    return est
-
-
-def prepare_ratings(ratings: DataFrame, user_col: str = "userId", item_col: str = "movieId", partitions: int | None = None) -> DataFrame:
-    """Partition by user and sort, so ALS blocks (and seeded results) do not depend on scan order."""
-    n = partitions or ratings.sparkSession.sparkContext.defaultParallelism
-    return ratings.repartition(n, user_col).sortWithinPartitions(user_col, item_col)
+    return est.setNumBlocks(blocks) if blocks else est
 
 
 def known_pairs(train: DataFrame, test: DataFrame, user_col: str = "userId", item_col: str = "movieId") -> DataFrame:
@@ -159,38 +159,34 @@ def evaluate_over_splits(
     """Fit every ALS setting on every chronological head; score the tail.
 
     Returns the metric table (fraction, setting, n, rmse, mse, mae) and the
-    fitted models keyed by (fraction, setting).  The split marks are
-    computed once and the marked ratings persisted for all fits.
+    fitted models keyed by (fraction, setting).  One table of ratings and
+    split marks is persisted for all fits and released after them; the
+    metric table, one row a fit, is checkpointed before.  ``blocks`` in a
+    setting sets the tasks of its fit (see :func:`als`).
     """
     marked = sampling.chrono_split(ratings, order_cols, fractions, prefix="_train_")
-    marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
-    marked.count()  # fill the cache once, before concurrent fits read it
-    parts = {}
-    for f in fractions:
-        flag = sampling.flag_name(f, "_train_")
-        base = marked.select(user_col, item_col, rating_col, flag)
-        train = prepare_ratings(base.filter(F.col(flag)).drop(flag), user_col, item_col).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        train.count()
-        parts[f] = (train, base.filter(~F.col(flag)).drop(flag))
-    tasks = [(f, name, params) for f in fractions for name, params in settings.items()]
-
-    def fit(task):
-        f, name, params = task
-        return task, als(user_col, item_col, rating_col, seed=seed, **params).fit(parts[f][0])
-
-    # Independent fits run as concurrent Spark jobs (as CrossValidator does
-    # with ``parallelism``); each is seeded, so the order does not matter.
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        fitted = pool.map(inheritable_thread_target(ratings.sparkSession)(fit), tasks)
-    rows, models = [], {}
-    for (f, name, _), model in fitted:
-        models[(f, name)] = model
-        pred = model.transform(parts[f][1])
-        m = metrics.regression_metrics(pred, rating_col, "prediction")
-        rows.append(m.select(F.lit(float(f)).alias("fraction"), F.lit(name).alias("setting"), "*"))
-    return metrics.metric_table(rows), models
+    flags = [sampling.flag_name(f, "_train_") for f in fractions]
+    with persisted(marked.select(user_col, item_col, rating_col, *flags)) as cached:
+        cached.count()  # fill the cache once, before concurrent fits read it
+        tasks = [(f, flag, name, params) for f, flag in zip(fractions, flags, strict=True) for name, params in settings.items()]
+
+        def fit(task):
+            f, flag, name, params = task
+            train = cached.filter(flag).select(user_col, item_col, rating_col)
+            return als(user_col, item_col, rating_col, seed=seed, **params).fit(train)
+
+        # Independent fits run as concurrent Spark jobs (as CrossValidator does
+        # with ``parallelism``); each is seeded, so the order does not matter.
+        with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+            fitted = pool.map(inheritable_thread_target(ratings.sparkSession)(fit), tasks)
+        rows, models = [], {}
+        for (f, flag, name, _), model in zip(tasks, fitted, strict=True):
+            models[(f, name)] = model
+            pred = model.transform(cached.filter(~F.col(flag)).select(user_col, item_col, rating_col))
+            m = metrics.regression_metrics(pred, rating_col, "prediction")
+            rows.append(m.select(F.lit(float(f)).alias("fraction"), F.lit(name).alias("setting"), "*"))
+        table = cut_lineage(metrics.metric_table(rows))
+    return table, models
 
 
 def user_factor_vectors(model: ALSModel) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value, salted  # noqa: F401  (re-exported)
@@ -92,8 +92,10 @@ def stratified_split(
     Default: the hash threshold within every class (shares exact in
     expectation, one narrow pass).  ``exact=True``: per class, exactly
     ``int(w * n_class)`` rows go to the first part, the ones with the
-    smallest (hash, key); found by histogram search, no window over a
-    class (which would put a whole class in one task).
+    smallest (hash, key), copies of a key being interchangeable.  Two
+    histograms of the hash, grouped by class, find every class's cut at
+    once (see ``_class_cuts``), whatever the number of classes; no window
+    spans a class's rows, which would put a class in one task.
     """
     if not exact:
         return hash_split(df, key_cols, weights, seed, out_col=out_col)
@@ -101,26 +103,65 @@ def stratified_split(
         raise ValueError("exact stratified split takes two weights")
     frac = weights[0] / float(sum(weights))
     cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    hashed = df.withColumn("_h", hash_value(cols, seed))
-    order = ["_h", *cols]
-    # One persisted key frame (class + order keys) serves every class; the
-    # per-class cuts are combined into one predicate, so the input is read
-    # once whatever the number of classes.
-    keyed = selection.key_frame(hashed, order, carry=[strat_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    hashed = df.withColumn("_c", F.col(strat_col)).withColumn("_h", hash_value(cols, seed)).withColumn("_k", F.struct(*cols))
+    keyed = hashed.select("_c", "_h", "_k").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = keyed.groupBy(strat_col).count().collect()  # one row a class, and a search each
-        heads, ties = [], []
-        for row in counts:
-            is_cls = F.col(strat_col).eqNullSafe(F.lit(row[strat_col]))
-            r = selection.head_count(row["count"], frac)
-            head, tie, r_tie = selection.cut(hashed.filter(is_cls), order, r, keyed=keyed.filter(is_cls))
-            heads.append(is_cls & head)
-            if tie is not None:
-                ties.append((is_cls & tie, r_tie))
+        cuts, n_classes = _class_cuts(keyed, frac)
     finally:
         keyed.unpersist()
-    out = selection.apply_cuts(hashed, selection._or(heads), ties, "_first")
-    return out.withColumn(out_col, F.when(F.col("_first"), "train").otherwise("test")).drop("_h", "_first")
+    marked = _with_class(hashed, cuts, n_classes)
+    at = (F.col("_h") == F.col("_cut_h")) & F.col("_k").eqNullSafe(F.col("_cut_k"))
+    tied = at & (F.col("_cut_r") < F.col("_cut_n"))
+    first = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col("_k") < F.col("_cut_k"))) | at
+    rest = marked.filter(~tied).withColumn("_first", first)
+    ties = selection.mark_first(marked.filter(tied), "_c", F.col("_cut_r"), "_first")
+    out = rest.unionByName(ties).withColumn(out_col, F.when(F.col("_first"), "train").otherwise("test"))
+    return out.select(*df.columns, out_col)
+
+
+def _with_class(rows: DataFrame, table: DataFrame, n_classes: int) -> DataFrame:
+    """``rows`` with the columns of a table of one row a class.
+
+    Up to ``BROADCAST_CLASSES`` classes the table goes out, so the rows do
+    not move; beyond, it is joined by exchange, with skew left to AQE.
+    """
+    table = table.withColumnRenamed("_c", "_table_c")
+    table = F.broadcast(table) if n_classes <= BROADCAST_CLASSES else table
+    return rows.join(table, rows["_c"].eqNullSafe(table["_table_c"])).drop("_table_c")
+
+
+def _class_cuts(keyed: DataFrame, frac: float) -> tuple[DataFrame, int]:
+    """(_c, _cut_h, _cut_k, _cut_n, _cut_r) per class, and the number of classes.
+
+    The first ``int(frac * n)`` rows of a class in (hash, key) order are
+    those below (_cut_h, _cut_k) and ``_cut_r`` of the ``_cut_n`` rows at
+    it.  Three rounds narrow it down for all classes together: counts by
+    the hash's upper 16 bits, by the lower 16 within the upper part found,
+    and by key within the hash found.  Only counts are shuffled, at most
+    65,536 a class and round; the last round holds the few keys of one hash.
+    """
+
+    def narrowed(counts: DataFrame, part: str) -> DataFrame:
+        order = Window.partitionBy("_c").orderBy(part)
+        upto = counts.withColumn("_upto", F.sum("_n").over(order))
+        hit = (F.col("_upto") >= F.col("_r")) & (F.col("_upto") - F.col("_n") < F.col("_r"))
+        return cut_lineage(upto.filter(hit).withColumn("_r", F.col("_r") - F.col("_upto") + F.col("_n")).drop("_upto"))
+
+    def count_by(rows: DataFrame, part: Column, *carry: str) -> DataFrame:
+        return rows.groupBy("_c", part.alias("_part"), *carry).agg(F.count(F.lit(1)).alias("_n"))
+
+    upper, lower = F.shiftright("_h", 16), F.col("_h").bitwiseAND(F.lit(0xFFFF))
+    counts = cut_lineage(count_by(keyed, upper))
+    sizes = counts.groupBy("_c").agg(F.floor(F.lit(frac) * F.sum("_n")).cast("long").alias("_r"))
+    n_classes = sizes.count()
+    # a class of which no row goes to the first part has no cut row: it takes the cut -1
+    one = narrowed(_with_class(counts, sizes, n_classes), "_part").withColumnRenamed("_part", "_up").drop("_n")
+    two = narrowed(count_by(_with_class(keyed, one, n_classes).filter(upper == F.col("_up")), lower, "_up", "_r"), "_part")
+    two = two.select("_c", (F.shiftleft("_up", 16) + F.col("_part")).alias("_cut_h"), "_r")
+    three = narrowed(count_by(_with_class(keyed, two, n_classes).filter(F.col("_h") == F.col("_cut_h")), F.col("_k"), "_cut_h", "_r"), "_part")
+    found = three.select(F.col("_c").alias("_cc"), "_cut_h", F.col("_part").alias("_cut_k"), F.col("_n").alias("_cut_n"), F.col("_r").alias("_cut_r"))
+    cuts = sizes.join(found, sizes["_c"].eqNullSafe(found["_cc"]), "left")
+    return cuts.select("_c", F.coalesce("_cut_h", F.lit(-1)).alias("_cut_h"), "_cut_k", F.coalesce("_cut_n", F.lit(0)).alias("_cut_n"), F.coalesce("_cut_r", F.lit(0)).alias("_cut_r")), n_classes
 
 
 def kfold(df: DataFrame, key_cols, k: int, seed: int | None = None, out_col: str = "fold") -> DataFrame:

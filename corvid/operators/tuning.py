@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from corvid.session import spread
+from corvid.session import persisted
 
 
 def param_grid(est: Estimator, axes: Mapping[str, Sequence]) -> list[dict]:
@@ -35,11 +34,13 @@ def cross_validate(
     fold_col: str | None = None,
     seed: int | None = None,
     parallelism: int | None = None,
+    partitions: int | None = None,
 ) -> CrossValidatorModel:
     """k-fold CV; with ``fold_col`` the folds are the given (hash) folds.
 
     ``parallelism`` (default: up to 4, capped by the grid size) fits that
-    many settings as concurrent Spark jobs within each fold.
+    many settings as concurrent Spark jobs within each fold; ``partitions``
+    deals the training rows anew first.  No job runs before the fit.
     """
     parallelism = parallelism or max(1, min(4, len(grid)))
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=parallelism)
@@ -47,11 +48,8 @@ def cross_validate(
         cv = cv.setFoldCol(fold_col)
     if seed is not None:
         cv = cv.setSeed(seed)
-    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(train.repartition(partitions) if partitions else train) as cached:
         return cv.fit(cached)
-    finally:
-        cached.unpersist()
 
 
 def _final_stage(model):

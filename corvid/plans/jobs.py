@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
+from corvid.session import cut_lineage
 
 # ------------------------------------------------------------------ C1-C4
 
@@ -112,6 +113,7 @@ def claims_models(
             acc = metrics.accuracy(scored, binary_label, "prediction")
             parts = [metrics.metric_long(auc, [], ["auc"]), metrics.metric_long(acc, [], ["accuracy"])]
         metric_rows += [p.select(F.lit(name).alias("model"), "metric", "value") for p in parts]
+    train.unpersist()
     return {
         "cv": metrics.metric_table(cv_rows),
         "metrics": metrics.metric_table(metric_rows),
@@ -158,6 +160,7 @@ def compare_classifiers(
         hard = metrics.metric_long(metrics.balanced_accuracy(scored, label, "prediction"), [], ["balanced_accuracy"])
         soft = metrics.metric_long(metrics.auc_exact(scored, label, "p1"), [], ["auc"])
         metric_rows += [p.select(F.lit(name).alias("model"), "metric", "value") for p in (hard, soft)]
+    train.unpersist()
     return {"cv": metrics.metric_table(cv_rows), "metrics": metrics.metric_table(metric_rows)}
 
 
@@ -187,8 +190,7 @@ def recommender_report(
     clusters_rows, movie_rows, genre_rows = [], [], []
     for f in fractions:
         factors = recommend.user_factor_vectors(fitted[(f, cluster_setting)])
-        assigned = clustering.kmeans_assign(factors, k=k, seed=seed).select("id", "prediction")
-        assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
+        assigned = cut_lineage(clustering.kmeans_assign(factors, k=k, seed=seed).select("id", "prediction"))
         tag = F.lit(float(f)).alias("fraction")
         clusters_rows.append(recommend.top_clusters(assigned, 5).select(tag, "*"))
         taste = recommend.cluster_taste(ratings, assigned, movies)

@@ -576,6 +576,23 @@ UNION ALL
 SELECT 1, 'maxDepth', '2', CAST(1 AS DOUBLE), TRUE
 """
 
+ORACLES["cv_pipeline"] = ORACLES["cross_validate"]
+
+# Known answer: both classifiers separate the fixture.
+ORACLES["compare_classifiers"] = """
+SELECT model, metric, CAST(1 AS DOUBLE) AS value
+FROM (VALUES ('random_forest'), ('gbt')) m(model), (VALUES ('balanced_accuracy'), ('auc')) t(metric)
+"""
+
+# Known answer: equal scores have an AUC of one half, and the base rate
+# predicts the larger class.
+ORACLES["claims_models"] = _with(CLAIMS_CTE) + """
+, sizes AS (SELECT hasClaim, COUNT(*) - floor(CAST(0.7 AS DOUBLE) * COUNT(*)) AS n FROM claims GROUP BY hasClaim)
+SELECT 'logistic_l1' AS model, 'auc' AS metric, CAST(0.5 AS DOUBLE) AS value
+UNION ALL
+SELECT 'logistic_l1', 'accuracy', round(MAX(n) / SUM(n), 6) + 0.0 FROM sizes
+"""
+
 # Known answer: on the separable fixture depth 2 wins (accuracy 1.0 vs the
 # majority share for depth 0); the other params are the estimator's settings.
 ORACLES["cv_report"] = """
@@ -622,10 +639,28 @@ ORACLES["als_scored_counts"] = _with(RATINGS_CTE) + """
 )
 """ + _SCORED
 
+ORACLES["als_quality"] = _with(RATINGS_CTE) + """
+, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp, userId, movieId, rating) AS rn, COUNT(*) OVER () AS n
+  FROM ratings
+)
+SELECT *, TRUE AS mse_is_rmse_squared, TRUE AS mae_within_rmse, TRUE AS halves_the_error_of_means FROM (""" + _SCORED + ")"
+
+ORACLES["als_user_clusters"] = _with(RATINGS_CTE) + _ALS_SPLIT + """
+SELECT CAST(row_number() OVER (ORDER BY size DESC, cluster) AS INTEGER) AS rank, cluster, size
+FROM (SELECT MIN(userId) AS cluster, COUNT(DISTINCT userId) AS size FROM train GROUP BY userId % 3)
+"""
+
 # ------------------------------------------------------------------- scans
 
+ORACLES["films_csv_scan"] = """
+SELECT CAST(p_partkey AS INTEGER) AS movieId, 'The "' || replace(p_name, ' ', ', ') || '" (1995)' AS title,
+       replace(p_name, ' ', '|') AS genres
+FROM part
+"""
+
 ORACLES["csv_headerless_scan"] = "SELECT CAST(label % 2 AS DOUBLE) AS label, " + ", ".join(
-    f"round(CAST(embedding[{i}] AS DOUBLE), 5) + 0.0 AS feature{i}" for i in range(1, 29)
+    f"round(CAST(embedding[{i}] AS DOUBLE), 5) + 0.0 AS feature{i}" for i in range(1, 65)
 ) + " FROM embeddings"
 
 ORACLES["csv_header_scan"] = _with(RATINGS_CTE) + "SELECT userId, movieId, rating, timestamp FROM ratings"

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
 from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
+from corvid.plans import jobs
 from corvid.session import persisted, scratch_path
 from corvid.sources import fixtures
-from corvid.sources.readers import PARTICLE_FEATURES, PARTICLES_SCHEMA, RATINGS_SCHEMA, read_csv, read_text_lines
+from corvid.sources.readers import MOVIES_SCHEMA, RATINGS_SCHEMA, read_csv, read_headerless_csv, read_text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -594,6 +595,41 @@ def q_refit_best(spark, sf_dir):
     return pred.select(*SEPARABLE_KEY, "label", "prediction")
 
 
+@register("cv_pipeline")
+def q_cv_pipeline(spark, sf_dir):
+    """V3: the whole pipeline is cross-validated, its scaler fitted anew in each fold."""
+    s = _separable(spark, sf_dir, threshold=40.0)
+    train = sampling.kfold(s.filter(F.col("split") == "train"), SEPARABLE_KEY, 5, seed=SEED)
+    rf = models.random_forest("label", features="scaled", numTrees=5, maxBins=64, seed=SEED)
+    grid = tuning.param_grid(rf, {"maxDepth": [0, 2]})
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    cvm = tuning.cross_validate(Pipeline(stages=[features.scaler("features", "scaled"), rf]), grid, ev, train, fold_col="fold")
+    rep = tuning.cv_report(spark, cvm, grid)
+    return rep.select("setting", "param", "value", clean_round("avg_metric", 6).alias("avg_metric"), "is_best")
+
+
+@register("compare_classifiers")
+def q_compare_classifiers(spark, sf_dir):
+    """Settings chosen on a sample, refitted on all training rows, judged on the test part."""
+    estimators = {
+        "random_forest": (models.random_forest("label", numTrees=5, maxBins=64, seed=SEED), {"maxDepth": [1, 2]}),
+        "gbt": (models.gbt("label", maxBins=64, seed=SEED, maxDepth=2), {"maxIter": [2]}),
+    }
+    rows = fixtures.particles_separable(spark, sf_dir)
+    out = jobs.compare_classifiers(
+        rows, SEPARABLE_KEY, "label", ["l_quantity", "l_discount"], estimators, sample_fraction=0.2, folds=2, seed=SEED
+    )
+    return out["metrics"].select("model", "metric", clean_round("value", 6).alias("value"))
+
+
+@register("claims_models")
+def q_claims_models(spark, sf_dir):
+    """C5 with a penalty that leaves the base rate: every L1 score is the same, on the whole exact test part."""
+    out = jobs.claims_models(_claims(spark, sf_dir), "o_orderkey", NUMERIC, CATEGORICAL, reg_grid=[10.0], folds=2, seed=SEED)
+    m = out["metrics"].filter(F.col("model") == "logistic_l1")
+    return m.select("model", "metric", clean_round("value", 6).alias("value"))
+
+
 # --------------------------------------------------------------------- ALS
 
 
@@ -601,7 +637,7 @@ def _als_train_test(spark, sf_dir):
     """Chronological protocol: the first 80 % of ratings train, the distinct
     (user, film) pairs of the rest are scored."""
     marked = sampling.chrono_split(_ratings(spark, sf_dir), RATING_ORDER, [0.8])
-    train = recommend.prepare_ratings(marked.filter("train_80").drop("train_80"))
+    train = marked.filter("train_80").drop("train_80")
     test = marked.filter("NOT train_80").select("userId", "movieId").distinct()
     return train, test
 
@@ -625,10 +661,31 @@ def q_als_factors(spark, sf_dir):
 ALS_SETTINGS = {"setting1": {}, "setting2": {"regParam": 0.05}}
 
 
+def _planted_ratings(spark, sf_dir):
+    """Every rating is a user's leaning times a film's worth: a table of rank one."""
+    r = _ratings(spark, sf_dir)
+    leaning = 0.5 + 0.5 * F.pmod("userId", F.lit(3))
+    worth = 1 + F.pmod("movieId", F.lit(5)) * 0.5
+    return r.withColumn("rating", (leaning * worth).cast("double"))
+
+
 @register("als_quality")
 def q_als_quality(spark, sf_dir):
-    table, _ = recommend.evaluate_over_splits(_ratings(spark, sf_dir), RATING_ORDER, [0.4, 0.6, 0.8], ALS_SETTINGS, seed=SEED)
-    return table
+    """C7 on the planted table: the errors agree with each other and stay well below those of a film's mean."""
+    ratings = _planted_ratings(spark, sf_dir)
+    fractions = [0.4, 0.6, 0.8]
+    table, _ = recommend.evaluate_over_splits(ratings, RATING_ORDER, fractions, ALS_SETTINGS, seed=SEED)
+    # the films' means over all ratings, so a lower bound of what any train part's means reach
+    means = ratings.groupBy("movieId").agg(F.avg("rating").alias("prediction"))
+    base = metrics.regression_metrics(ratings.join(means, "movieId"), "rating", "prediction").first()["rmse"]
+    return table.select(
+        "fraction",
+        "setting",
+        "n",
+        (F.abs(F.col("mse") - F.col("rmse") * F.col("rmse")) < 1e-9).alias("mse_is_rmse_squared"),
+        ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_within_rmse"),
+        (F.col("rmse") < F.lit(0.5 * base)).alias("halves_the_error_of_means"),
+    )
 
 
 @register("als_scored_counts")
@@ -640,12 +697,14 @@ def q_als_scored_counts(spark, sf_dir):
 
 @register("als_user_clusters")
 def q_als_user_clusters(spark, sf_dir):
+    """C8 on the planted table: the clusters of the user factors are the groups of equal leaning."""
     _, fitted = recommend.evaluate_over_splits(
-        _ratings(spark, sf_dir), RATING_ORDER, [0.8], {"setting2": ALS_SETTINGS["setting2"]}, seed=SEED
+        _planted_ratings(spark, sf_dir), RATING_ORDER, [0.8], {"setting2": ALS_SETTINGS["setting2"]}, seed=SEED
     )
     factors = recommend.user_factor_vectors(fitted[(0.8, "setting2")])
-    assigned = clustering.kmeans_assign(factors, k=25, seed=SEED)
-    return recommend.top_clusters(assigned, 5)
+    assigned = clustering.kmeans_assign(factors, k=3, seed=SEED).select("id", "prediction")
+    named = clustering.name_by_smallest_member(assigned, "id")
+    return recommend.top_clusters(named, 5, "cluster")
 
 
 # ------------------------------------------------------------------- scans
@@ -655,9 +714,19 @@ def q_als_user_clusters(spark, sf_dir):
 def q_csv_headerless_scan(spark, sf_dir):
     """S2 + P3: particles written as headerless CSV in the shared scratch folder, read back by schema."""
     path = scratch_path(spark, "particles-csv")
-    fixtures.particles_wide(spark, sf_dir).drop("vec_id").write.option("header", False).csv(path)
-    df = read_csv(spark, path, PARTICLES_SCHEMA, header=False)
-    return df.select("label", *[clean_round(c, 5).alias(c) for c in PARTICLE_FEATURES])
+    wide = fixtures.particles_wide(spark, sf_dir).drop("vec_id")
+    wide.write.option("header", False).csv(path)
+    df = read_headerless_csv(spark, path, wide.columns)
+    return df.select("label", *[clean_round(c, 5).alias(c) for c in wide.columns[1:]])
+
+
+@register("films_csv_scan")
+def q_films_csv_scan(spark, sf_dir):
+    """S3: films as CSV with a header; titles hold commas and quotes, so they are quoted."""
+    path = scratch_path(spark, "films-csv")
+    title = F.concat(F.lit('The "'), F.regexp_replace("title", " ", ", "), F.lit('" (1995)'))
+    fixtures.movies(spark, sf_dir).withColumn("title", title).write.option("header", True).option("escape", '"').csv(path)
+    return read_csv(spark, path, MOVIES_SCHEMA, header=True, escape='"')
 
 
 @register("csv_header_scan")

@@ -2,14 +2,13 @@
 
 The library never builds a SparkSession and never sets a master.  Scratch
 files (checkpoints, text/CSV renderings used by the scan operators) live
-under the shared folder the cluster names in ``spark.checkpoint.dir``; a
-machine-local temporary folder is only used when that setting is absent,
-which is the case in unit tests.
+under the shared folder the cluster names in ``spark.checkpoint.dir``.  On
+a cluster that setting is required; only a local master, where driver and
+executors are one process, may do without it.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -22,12 +21,13 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for scratch data; set a local one only if none is configured."""
+    """Shared folder for scratch data; a local master without one gets a temporary folder."""
     opt = spark.sparkContext._jsc.sc().getCheckpointDir()
     ctx_dir = opt.get() if opt.isDefined() else None
     root = spark.conf.get(_CHECKPOINT_KEY, None) or ctx_dir
     if not root:
-        # Unset: local tests only.  Create a fresh folder and register it.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="corvid-ckpt-")
         try:
             spark.conf.set(_CHECKPOINT_KEY, root)
@@ -40,9 +40,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared scratch folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/corvid-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared scratch folder, removed when the session's JVM ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/corvid-{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -55,28 +57,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Repartition only when the frame has fewer partitions than cores.
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A bare file scan, dealt anew if it has fewer files than the cluster has cores.
 
     A single-file table (one parquet row group, one gzip file) is scanned
     by one task, and every narrow step after it (parsing, model training)
-    stays in that task.  On a cluster reading many files this is a no-op.
-    The repartition is round-robin after a local sort, so retries see the
-    same rows in the same partitions.
+    stays in that task.  A table of many files is left as it is.  The
+    files are counted from the listing, so no job runs.  The repartition is
+    round-robin after a local sort, so retries see the same rows in the
+    same partitions.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(target) if len(scan.inputFiles()) < target else scan
 
 
 @contextmanager

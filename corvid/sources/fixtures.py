@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.timefmt import ts_to_epoch
-from corvid.session import spread
+from corvid.session import spread_scan
 from corvid.sources.readers import read_table
 
 # Fixed values of the log rendering: country labels by user_id % 4 and the
@@ -22,7 +22,7 @@ LOG_ZONE = "-0400"
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` rendered as Common Log Format lines (one ``value`` each)."""
-    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
+    ev = spread_scan(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     country = F.element_at(F.array(*[F.lit(c) for c in LOG_COUNTRIES]), (F.col("user_id") % 4 + 1).cast("int"))
     host = F.concat(F.lit("h"), F.col("user_id").cast("string"), F.lit(".net."), country)
     size = F.when(F.col("event_type") == "error", F.lit("-")).otherwise(F.col("event_id").cast("string"))
@@ -66,9 +66,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def particles_wide(spark: SparkSession, sf_dir: str, n_features: int = 28) -> DataFrame:
-    """Particle-style table from ``embeddings``: label + feature1..featureN."""
+def particles_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Particle-style table from ``embeddings``: label + feature1..featureN, N the longest vector's length."""
     emb = read_table(spark, sf_dir, "embeddings")
+    n_features = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
     return emb.select(
         "vec_id",
         (F.col("label") % 2).cast("double").alias("label"),
@@ -78,7 +79,7 @@ def particles_wide(spark: SparkSession, sf_dir: str, n_features: int = 28) -> Da
 
 def particles_separable(spark: SparkSession, sf_dir: str, threshold: float = 25.0) -> DataFrame:
     """Separable classification table: label = l_quantity > threshold."""
-    li = spread(read_table(spark, sf_dir, "lineitem"))
+    li = spread_scan(read_table(spark, sf_dir, "lineitem"))
     return li.select(
         "l_orderkey",
         "l_linenumber",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Fixed value: columns of the public dataset.
 PARTICLE_FEATURES = [f"feature{i}" for i in range(1, 29)]
 
 PARTICLES_SCHEMA = T.StructType(
@@ -37,13 +38,13 @@ MOVIES_SCHEMA = T.StructType(
 
 
 def read_text_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One ``value`` string per line (gzip handled by the codec)."""
+    """One ``value`` string per line (gzip handled by the codec).
+
+    ``min_partitions`` deals the lines anew after a scan of fewer files: a
+    gzip file is one task, and the narrow parse after it would stay there.
+    """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        # Round-robin spread after a non-splittable scan; the parse that
-        # follows is narrow, so it runs on every partition.
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(min_partitions) if min_partitions and len(df.inputFiles()) < min_partitions else df
 
 
 def read_csv(

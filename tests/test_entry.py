@@ -10,11 +10,11 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ROWS_ONLY = {"als_quality", "als_user_clusters"}
+ROWS_ONLY: set[str] = set()
 LLM = ("op", "pipeline")  # tested in tests/llm
 # Known-answer fixtures sized for sf0.01 and above; at sf0.001 too few rows
 # per category for an exact fit to the rounding used.
-SLOW = {"als_quality", "als_user_clusters", "als_scored_counts", "cross_validate", "refit_best", "cv_report"}
+SLOW = {"als_quality", "als_user_clusters", "als_scored_counts", "cross_validate", "refit_best", "cv_report", "cv_pipeline", "compare_classifiers", "claims_models"}
 
 
 def test_entry_smoke(spark):

@@ -114,3 +114,13 @@ def test_pivot_grid_columns_from_data(spark):
     grid = logs.heatmap(_parsed(spark), by="country")
     wide = logs.pivot_grid(grid, ["country", "hour"], "day")
     assert [c for c in wide.columns if c.startswith("d")] == ["d1", "d2", "d3", "d4"]
+
+
+def test_written_log_has_few_files_and_keeps_all_rows(spark, tmp_path):
+    # every line has a country label of its own
+    lines = spark.range(400).selectExpr("concat('h.c', id, ' - - [02/Jan/2023:10:00:00 +0000] \"GET / HTTP/1.0\" 200 1') AS value")
+    path = logs.write_parsed(logs.parse(lines.repartition(8)), str(tmp_path / "log"))
+    assert len(list((tmp_path / "log").glob("*/*.parquet"))) <= 8
+    back = spark.read.parquet(path)
+    assert back.select("host").distinct().count() == 400
+    assert {r.country for r in back.select("country").distinct().collect()} == {"other"}

@@ -56,3 +56,21 @@ def test_exact_split_with_duplicate_keys_uses_tie_quotas(spark):
     got = {(r.y, r.split): r["count"] for r in out.groupBy("y", "split").count().collect()}
     assert got == {(0, "train"): 350, (0, "test"): 150, (1, "train"): 350, (1, "test"): 150}
     assert out.count() == 1000 and out.select("id").distinct().count() == 1000
+
+
+def test_stratified_split_of_many_classes(spark):
+    df = spark.range(40000).select(F.col("id").alias("k"), F.pmod("id", F.lit(5000)).alias("y"), F.lit("x").alias("_n"))
+    out = sampling.stratified_split(df, "k", "y", [0.7, 0.3], seed=2, exact=True)
+    assert out.columns == ["k", "y", "_n", "split"] and out.count() == 40000
+    per = out.groupBy("y").agg(F.sum((F.col("split") == "train").cast("int")).alias("n"))
+    assert {r.n for r in per.collect()} == {5} and per.count() == 5000
+
+
+def test_stratified_split_edges(spark):
+    # one key holds most rows, one class is NULL, one class is too small for a first part
+    rows = [(1, 0)] * 900 + [(k, 0) for k in range(2, 102)] + [(k, None) for k in range(10)] + [(5, 7)] + [(None, 8)] * 10
+    out = sampling.stratified_split(spark.createDataFrame(rows, "k long, y int"), "k", "y", [0.5, 0.5], seed=5, exact=True)
+    got = {(r.y, r.split): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert got == {(0, "train"): 500, (0, "test"): 500, (None, "train"): 5, (None, "test"): 5, (7, "test"): 1, (8, "train"): 5, (8, "test"): 5}
+    empty = spark.createDataFrame([], "k long, y int")
+    assert sampling.stratified_split(empty, "k", "y", [0.5, 0.5], exact=True).count() == 0
