@@ -1,7 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into units: sentences (ending in . ! ? or a line's end), and
-of longer ones pieces of ``piece_words`` words.  From each unit starts a
+pieces of those over ``piece_words`` words.  A piece ends where the hash of
+the words on both sides says so (once in CUT_EVERY words), at ``piece_words``
+words at the latest: a passage has the same pieces wherever in a sentence it
+begins, but for its ends.  From each unit starts a
 span: ``run`` consecutive units, and more until it has ``least_words``
 words.  Spans are compared without regard to case and white space, by a
 128-bit hash, over all documents; the first of equal spans (smallest
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import bounded_batches, text_key, written
 
-RUN, LEAST_WORDS, PIECE_WORDS = 3, 24, 16
+RUN, LEAST_WORDS, PIECE_WORDS, CUT_EVERY = 3, 24, 16, 8
 _WORD = re.compile(r"\S+\s*")
 
 
@@ -44,14 +47,13 @@ def units(text: str, piece_words: int = PIECE_WORDS) -> list[tuple[int, int, lis
             if words:
                 out.append((a, b, words))
             continue
-        ends = [a + m.end() for m in _WORD.finditer(text[a:b].lstrip())]
-        lead = b - a - len(text[a:b].lstrip())
-        start = a
-        for k in range(0, len(words), piece_words):
-            own = words[k : k + piece_words]
-            end = ends[k + len(own) - 1] + lead
-            out.append((start, end, own))
-            start = end
+        ends = [m.end() for m in _WORD.finditer(text, a, b)]
+        start, first = a, 0
+        for k in range(1, len(words) + 1):
+            own = k - first
+            if k == len(words) or own == piece_words or own > 1 and xxhash.xxh3_64_intdigest(f"{words[k - 1]} {words[k]}") % CUT_EVERY == 0:
+                out.append((start, ends[k - 1], words[first:k]))
+                start, first = ends[k - 1], k
     return out
 
 
