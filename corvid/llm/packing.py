@@ -22,6 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from corvid.llm.common import bounded_batches, ranges, slices, written
 CAPACITY, END = 4096, 1
 #: Words whose ids a task remembers.
 _WORDS_KEPT = 1_600_000
-#: Python's str.split() also splits at these, the tokenizer does not.
+#: Arrow's (and Python's) white space, but not the tokenizer's.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
@@ -118,22 +120,25 @@ class _Words:
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; the words of all are looked up at once."""
-        split = [t.split() if not any(c in t for c in _NOT_SPACE) else [] for t in texts]
-        words = [w for x in split for w in x]
-        if new := [*set(words).difference(self.at)]:
+        """The ids of each text; each different word of all is looked up once."""
+        whole = [any(c in t for c in _NOT_SPACE) for t in texts]
+        split = pc.utf8_split_whitespace(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()))
+        coded = split.flatten().dictionary_encode()  # white space at a text's ends gives an empty word, which has no ids
+        words = coded.dictionary.to_pylist()
+        if new := [w for w in words if w not in self.at]:
             if len(self.at) + len(new) > _WORDS_KEPT:
                 self.clear()
-                new = [*set(words)]
+                new = words
             self.add(new)
         k = self.parts[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
-        n = self.n[k].sum(1)
-        k = k[k > 0]  # without empty second parts
-        flat = self.ids[ranges(self.start[k], self.n[k])]
-        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, split)])]
+        own, lens = self.ids[ranges(self.start[k].ravel(), self.n[k].ravel())], self.n[k].sum(1)
+        at = coded.indices.to_numpy()
+        n = lens[at]
+        flat = own[ranges((np.cumsum(lens) - lens)[at], n)]
+        ends = np.concatenate([[0], np.cumsum(n)])[split.offsets.to_numpy()]
         out = [flat[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
         for i, t in enumerate(texts):
-            if any(c in t for c in _NOT_SPACE):
+            if whole[i]:
                 out[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
         return out
 
@@ -152,7 +157,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         for pdf in batches:
             out = []
             texts = pdf["t"].tolist()
-            encoded = (x for a, b in slices(texts) for x in words.encode(texts[a:b]))
+            encoded = (x for a, b in slices(texts, 1 << 22) for x in words.encode(texts[a:b]))
             for i, k, own in zip(pdf["i"], pdf["k"], encoded, strict=True):
                 ids = np.append(own, np.uint32(END)).astype("<u4")
                 out += [(i, k, p, s, len(x), zlib.crc32(x.tobytes())) for p, s in enumerate(range(0, len(ids), capacity)) if len(x := ids[s : s + capacity])]
