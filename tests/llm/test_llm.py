@@ -106,6 +106,26 @@ def test_substring_dedup(spark):
         assert "".join(t[a:b] for a, b, _ in u).split() == t.split()
 
 
+@pytest.mark.parametrize("stop", [0, 20, 30])
+def test_substring_dedup_inside_sentences(spark, stop):
+    """Passages of 60 words that begin and end anywhere in a text, without sentences (0) or with long ones."""
+    rng = random.Random(stop)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(5)) + ("." if stop and not rng.randrange(stop) else "") for _ in range(n)]
+
+    rows = []
+    for k in range(50):
+        passage = words(60)
+        for c in range(2):
+            at, own = rng.randrange(1, 199), words(200)
+            rows.append((2 * k + c, " ".join(own[:at] + passage + own[at:])))
+    got = {r.doc_id: r.text for r in substring_dedup.without_repeats(docs(spark, rows)).collect()}
+    assert all(got[i] == t for i, t in rows if i % 2 == 0)
+    left = [len(got[i].split()) for i, _ in rows if i % 2]
+    assert sum(n < 260 for n in left) >= 47 and min(left) >= 200 and sum(260 - n for n in left) >= 0.65 * 60 * 50
+
+
 def test_decontamination(spark):
     item = "Which of the rivers in this list is the longest one, and through how many countries does it flow?"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "short"), (4, "A wholly different question about mountains and lakes.")], "item_id long, text string")
@@ -195,7 +215,7 @@ def test_packing(spark):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    rows = ODD + [(20, "don't <|endoftext|> İstanbul ΣΑΣ, Å ñandú... a,b. x² café z"), (21, "A\x1cb  c d")]
+    rows = ODD + [(20, "don't <|endoftext|> İstanbul ΣΑΣ, Å ñandú... a,b. x² café z"), (21, "A\x1cb  c d"), (22, "\u00a0 lead\u3000and\x85trail \n")]
     got = packing.pack(docs(spark, rows), path, 100).collect()
     assert max(collections.Counter({s: sum(r.length for r in got if r.sequence_id == s) for s in {r.sequence_id for r in got}}).values()) <= 100
     for s in {r.sequence_id for r in got}:
