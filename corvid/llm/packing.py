@@ -157,7 +157,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         for pdf in batches:
             out = []
             texts = pdf["t"].tolist()
-            encoded = (x for a, b in slices(texts, 1 << 22) for x in words.encode(texts[a:b]))
+            encoded = (x for a, b in slices(texts, 1 << 20) for x in words.encode(texts[a:b]))
             for i, k, own in zip(pdf["i"], pdf["k"], encoded, strict=True):
                 ids = np.append(own, np.uint32(END)).astype("<u4")
                 out += [(i, k, p, s, len(x), zlib.crc32(x.tobytes())) for p, s in enumerate(range(0, len(ids), capacity)) if len(x := ids[s : s + capacity])]
