@@ -1,13 +1,17 @@
 """Embedding near-dedup on a pivot-permutation index.
 
-Pivots are vectors of the table, the ``n_pivots`` of smallest hash (a
-bounded, documented sample).  Every vector is described by its ``depth``
+Pivots are vectors of the table: up to ``n_pivots`` of a sample of ``SAMPLE``
+times as many, those of smallest hash, each with a cosine below ``APART`` to those before it.  So a
+dense group has few pivots, however many of the vectors it holds, and the
+order of its members' nearest pivots does not hang on small differences.
+Every vector is described by its ``depth``
 nearest pivots.  It is posted in the inverted lists, by label, of its
 ``posted`` rarest pivots among these: two vectors that share ``share`` or
 more of their ``depth`` nearest pivots meet in a list (posted = depth -
 share + 1).  A list counts the shared pivots of its pairs, and cosines of
 pairs with ``share`` or more decide, in double precision.  A pair is
-counted in one list only, that of the rarest pivot they share.
+counted in one list only, that of the rarest pivot they share.  Vectors
+of a length with fewer than ``depth`` pivots are in one list for each label, and all their pairs are compared.
 
 Equal vectors of a label are one vector with a count.  Lists over
 ``block`` vectors are cut into blocks, and the work goes out by pairs of
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import bounded_batches, connected_components, written
 
+SAMPLE, APART = 8, 0.9
+
 
 def _dense(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 1))
@@ -53,6 +59,15 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
+def spread(e: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most`` of the unit vectors whose cosine to each one taken before is below APART."""
+    taken = np.zeros((0, e.shape[1]))
+    for x in e:
+        if len(taken) < most and not (taken @ x >= APART).any():
+            taken = np.vstack([taken, x])
+    return taken
+
+
 def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: int = 12, share: int = 4, block: int = 512) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes (vec_id, rep, n_equal), direct links of each class's representative
     counted in vectors (rep, n), and a spanning forest (a, b) of the classes' links."""
@@ -69,8 +84,10 @@ def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: i
     reps = written(classes.withColumn("dim", F.size("e")), "vectors")
     members = v.select("vec_id", "l", "h").join(reps.select("l", "h", "rep", "n"), ["l", "h"]).select("vec_id", "rep", F.col("n").alias("n_equal"))
 
-    sample = reps.select("dim", "e").orderBy(F.xxhash64("h"), "l").limit(n_pivots).collect()
-    pivots = {d: np.array([r.e for r in sample if r.dim == d]) for d in {r.dim for r in sample}}
+    drawn: dict[int, list] = {}
+    for r in reps.select("dim", "e").orderBy(F.xxhash64("h"), "l").limit(SAMPLE * n_pivots).collect():
+        drawn.setdefault(r.dim, []).append(r.e)
+    pivots = {d: spread(np.array(x), n_pivots) for d, x in drawn.items()}
     posted = depth - share + 1
 
     def describe(batches):
@@ -92,7 +109,7 @@ def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: i
     ordered = ordered.groupBy("l", "dim", "rep").agg(F.sort_array(F.collect_list(F.struct("c", "pivot"))).alias("near"))  # at most depth rows a vector
     rows = described.select("l", "dim", "rep", "n", "e").join(ordered, ["l", "dim", "rep"])
     rows = rows.withColumn("near", F.expr(f"transform(near, x -> x.c * {n_pivots} + x.pivot)"))
-    post = rows.select("*", F.explode(F.slice("near", 1, posted)).alias("list")).withColumn("c", F.floor(F.col("list") / n_pivots)).where("c > 1")
+    post = rows.select("*", F.explode(F.expr(f"slice(near, 1, if(size(near) = {depth}, {posted}, 1))")).alias("list")).withColumn("c", F.floor(F.col("list") / n_pivots)).where("c > 1")
     blocks = post.withColumn("blocks", F.ceil(F.col("c") / F.lit(block)).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # each pair of blocks (i <= j) of a list is a group; a block goes to every pair that it is in
     sent = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
@@ -105,19 +122,15 @@ def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: i
         has = np.zeros((len(pdf), len(used)), np.float32)
         has[np.repeat(np.arange(len(pdf)), near.shape[1]), place.ravel()] = 1
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        p, q = np.nonzero(has[left] @ has[right].T >= share)
+        least_shared = share if near.shape[1] == depth else near.shape[1]
+        # the list that counts a pair is the first that both are posted in
+        before = has[:, used < key]
+        hit = (has[left] @ has[right].T >= least_shared) & (before[left] @ before[right].T == 0)
+        hit &= e[left] @ e[right].T >= least
+        p, q = np.nonzero(hit)
         p, q = left[p], right[q]
         keep = rep[p] < rep[q] if i == j else np.ones(len(p), bool)
         p, q = p[keep], q[keep]
-        found = np.zeros(len(p), bool)
-        for k in range(0, len(p), 1 << 16):
-            s = slice(k, k + (1 << 16))
-            found[s] = np.einsum("ij,ij->i", e[p[s]], e[q[s]]) >= least
-        p, q = p[found], q[found]
-        # the list that counts a pair is the first that both are posted in
-        both = (has[p] * has[q]) > 0
-        first = used[both.argmax(1)] == key if len(p) else np.zeros(0, bool)
-        p, q = p[first], q[first]
         total = np.bincount(p, n[q], len(pdf)) + np.bincount(q, n[p], len(pdf))
         a, b = forest(np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q]))
         k = np.flatnonzero(total)

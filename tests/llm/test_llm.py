@@ -180,6 +180,22 @@ def test_embedding_dedup_recall(spark):
     assert embedding_dedup.near_dedup(v.limit(0)).count() == 0
 
 
+def _near(x, labels):
+    same = (x @ x.T >= 0.98) & (labels[:, None] == labels[None, :])
+    return same.sum(1) - 1
+
+
+def test_embedding_dedup_dense_group(spark):
+    """A third of the vectors is one group of near-equal, not identical, vectors."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=64) + rng.normal(size=(500, 64)) * 0.12, rng.normal(size=(1000, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = _near(x, np.zeros(len(x)))
+    v = spark.createDataFrame([(i, 0, e.tolist()) for i, e in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_dedup(v).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want.tolist())) and sum(got.values()) >= 0.9 * want.sum() > 100_000
+
+
 def test_html_extraction(spark):
     page = (
         "<!doctype html><html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Site</a></header><nav><ul><li><a href=/a>A</a></ul></nav>"
