@@ -1,7 +1,8 @@
 """Embedding near-dedup on a pivot-permutation index.
 
-Pivots are vectors of the table: up to ``n_pivots`` of a sample of ``SAMPLE``
-times as many, those of smallest hash, each with a cosine below ``APART`` to those before it.  So a
+Pivots are drawn for each vector length that more than ``block`` vectors
+have: up to ``n_pivots`` of a sample of about ``SAMPLE`` times as many,
+picked by hash, each with a cosine below ``APART`` to those before it.  So a
 dense group has few pivots, however many of the vectors it holds, and the
 order of its members' nearest pivots does not hang on small differences.
 Every vector is described by its ``depth``
@@ -11,7 +12,8 @@ more of their ``depth`` nearest pivots meet in a list (posted = depth -
 share + 1).  A list counts the shared pivots of its pairs, and cosines of
 pairs with ``share`` or more decide, in double precision.  A pair is
 counted in one list only, that of the rarest pivot they share.  Vectors
-of a length with fewer than ``depth`` pivots are in one list for each label, and all their pairs are compared.
+of a length with fewer than ``depth`` pivots (one, a zero, where none are
+drawn) are in one list for each label, and all their pairs are compared.
 
 Equal vectors of a label are one vector with a count.  Lists over
 ``block`` vectors are cut into blocks, and the work goes out by pairs of
@@ -84,8 +86,10 @@ def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: i
     reps = written(classes.withColumn("dim", F.size("e")), "vectors")
     members = v.select("vec_id", "l", "h").join(reps.select("l", "h", "rep", "n"), ["l", "h"]).select("vec_id", "rep", F.col("n").alias("n_equal"))
 
+    held = reps.groupBy("dim").agg(F.count("*").alias("held")).where(F.col("held") > block)  # a row a length
+    sample = reps.select("dim", "e", F.xxhash64("h").alias("at")).join(F.broadcast(held), "dim").where(F.pmod("at", "held") < SAMPLE * n_pivots)
     drawn: dict[int, list] = {}
-    for r in reps.select("dim", "e").orderBy(F.xxhash64("h"), "l").limit(SAMPLE * n_pivots).collect():
+    for r in sorted(sample.select("dim", "e", "at").collect(), key=lambda r: r["at"]):
         drawn.setdefault(r.dim, []).append(r.e)
     pivots = {d: spread(np.array(x), n_pivots) for d, x in drawn.items()}
     posted = depth - share + 1

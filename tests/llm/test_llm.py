@@ -196,6 +196,24 @@ def test_embedding_dedup_dense_group(spark):
     assert all(got[i] <= n for i, n in enumerate(want.tolist())) and sum(got.values()) >= 0.9 * want.sum() > 100_000
 
 
+def test_embedding_dedup_rare_lengths(spark):
+    """Tables of two or three vectors, and lengths that few vectors of a large table have, lose no link."""
+    rng = np.random.default_rng(6)
+
+    def group(n, size):
+        x = rng.normal(size=size) + rng.normal(size=(n, size)) * 0.02
+        return [(e / np.linalg.norm(e)).tolist() for e in x]
+
+    for n in (2, 3):
+        v = spark.createDataFrame([(i, 0, e) for i, e in enumerate(group(n, 8))], "vec_id long, label int, embedding array<double>")
+        got = embedding_dedup.near_dedup(v).collect()
+        assert [r.n_links for r in got] == [n - 1] * n and {r.component_id for r in got} == {0}
+    rows = [e.tolist() for e in rng.normal(size=(1000, 16))] + group(5, 8) + group(3, 32)
+    v = spark.createDataFrame([(i, 0, e) for i, e in enumerate(rows)], "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_dedup(v).collect()}
+    assert [got[i] for i in range(1000, 1008)] == [4] * 5 + [2] * 3
+
+
 def test_html_extraction(spark):
     page = (
         "<!doctype html><html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Site</a></header><nav><ul><li><a href=/a>A</a></ul></nav>"
