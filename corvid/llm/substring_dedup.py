@@ -1,10 +1,14 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into units: sentences (ending in . ! ? or a line's end), and
-pieces of those over ``piece_words`` words.  A piece ends where the hash of
-the words on both sides says so (once in CUT_EVERY words), at ``piece_words``
-words at the latest: a passage has the same pieces wherever in a sentence it
-begins, but for its ends.  From each unit starts a
+pieces of those over ``piece_words`` words.  Of any ``piece_words`` places
+between words in a row, a piece ends at the one of smallest hash (of the
+words on both sides; the last of equals).  So no unit is longer than that,
+and the units of a shared passage are the same in every document from its
+first ``piece_words`` words at most to its last ``piece_words`` at most,
+wherever in a sentence it begins and ends: with 12, any passage of 51 words
+has 27 words, or more, of equal units in a row, which hold a span.  From each
+unit starts a
 span: ``run`` consecutive units, and more until it has ``least_words``
 words.  Spans are compared without regard to case and white space, by a
 128-bit hash, over all documents; the first of equal spans (smallest
@@ -29,10 +33,28 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import bounded_batches, text_key, written
 
-RUN, LEAST_WORDS, PIECE_WORDS, CUT_EVERY = 3, 24, 16, 8
+RUN, LEAST_WORDS, PIECE_WORDS = 3, 24, 12
 _WORD = re.compile(r"\S+\s*")
 
 
+def _places(words: list[str], window: int) -> list[int]:
+    """The places (words before them) where a long sentence is cut."""
+    h = [xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])]
+    out, at = [], -1
+    for end in range(window - 1, len(h)):
+        start = end - window + 1
+        if at < start:
+            held = h[start : end + 1]
+            held.reverse()
+            at = end - held.index(min(held))
+        elif h[end] <= h[at]:
+            at = end
+        else:
+            continue
+        out.append(at + 1)
+    return out
+
+
 def units(text: str, piece_words: int = PIECE_WORDS) -> list[tuple[int, int, list[str]]]:
     """(start, end, words in lower case) of each unit that has words; each unit owns the white space after it."""
     cuts, at = [], 0
@@ -49,11 +71,9 @@ def units(text: str, piece_words: int = PIECE_WORDS) -> list[tuple[int, int, lis
             continue
         ends = [m.end() for m in _WORD.finditer(text, a, b)]
         start, first = a, 0
-        for k in range(1, len(words) + 1):
-            own = k - first
-            if k == len(words) or own == piece_words or own > 1 and xxhash.xxh3_64_intdigest(f"{words[k - 1]} {words[k]}") % CUT_EVERY == 0:
-                out.append((start, ends[k - 1], words[first:k]))
-                start, first = ends[k - 1], k
+        for k in [*_places(words, piece_words), len(words)]:
+            out.append((start, ends[k - 1], words[first:k]))
+            start, first = ends[k - 1], k
     return out
 
 

@@ -126,6 +126,28 @@ def test_substring_dedup_inside_sentences(spark, stop):
     assert sum(n < 260 for n in left) >= 47 and min(left) >= 200 and sum(260 - n for n in left) >= 0.65 * 60 * 50
 
 
+@pytest.mark.parametrize("low,high", [(12, 16), (14, 16), (16, 16), (10, 20), (25, 35), (1, 30), (400, 400)])
+def test_substring_spans_of_51_words(low, high):
+    """Any 51 words that two documents share hold a shared span, whatever the sentences around and in them."""
+    rng = random.Random(low * high)
+
+    def words(n):
+        out, left = [], rng.randint(0, high)
+        for _ in range(n):
+            left -= 1
+            out.append("".join(rng.choice("abcdefgh") for _ in range(5)) + ("." if left <= 0 else ""))
+            left = left if left > 0 else rng.randint(low, high)
+        return out
+
+    for _ in range(200):
+        passage, found = words(51), []
+        for _ in range(2):
+            at, own = rng.randrange(1, 99), words(100)
+            # a stop before or after the passage is no part of it
+            found.append({s[2:] for s in substring_dedup.spans(" ".join(own[:at] + passage + own[at:]))})
+        assert found[0] & found[1]
+
+
 def test_decontamination(spark):
     item = "Which of the rivers in this list is the longest one, and through how many countries does it flow?"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "short"), (4, "A wholly different question about mountains and lakes.")], "item_id long, text string")
