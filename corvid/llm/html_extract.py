@@ -16,7 +16,9 @@ space; white space is one space.
 Defined cases: a null or empty html, and a page without text, give an
 empty text; broken mark-up is read as far as it goes: unknown end tags are
 ignored and open elements end with their parent; text outside a body
-element belongs to the body.
+element belongs to the body; a head without an end tag ends at the body
+or at the first text or element that cannot be in a head; a nav, aside,
+header, footer or form that has no end tag ends where main or article begins.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ _BAD = set(
     " masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social"
     " related recommended widget comment comments disqus reply replies pagination pager toolbar complementary contentinfo search dialog".split()
 )
+_IN_HEAD = set("base link meta noscript script style template title".split())  # all void or raw, so an open head is the innermost element
+_SECTIONS = {"nav", "aside", "header", "footer", "form"}
 _HEADER = {"header", "masthead", "banner"}
 
 
@@ -71,6 +75,31 @@ def _attributes(raw: str) -> tuple[set[str], bool]:
     return names, hidden
 
 
+def _outside(top: _Node, page: str, at: int, tag: str) -> _Node:
+    """The parent of the outermost open section that a main or article at this place ends, or ``top``."""
+    opened: dict[str, list[_Node]] = {}
+    ends: set[int] = set()
+    n = top
+    while n.parent:
+        if n.tag in _SECTIONS:
+            opened.setdefault(n.tag, []).append(n)
+        n = n.parent
+    for t, nodes in opened.items():
+        left = low = len(nodes)
+        for m in re.compile(rf"<(/?){t}[\s>]", re.I).finditer(page, at):
+            left += -1 if m[1] else 1
+            low = min(low, left)
+            if not low:
+                break
+        if low or tag == "main" and t != "form":  # HTML allows main in none but a form
+            ends.add(id(nodes[-1]))
+    n = top
+    while n.parent:
+        top = n.parent if id(n) in ends else top
+        n = n.parent
+    return top
+
+
 def _tree(page: str) -> _Node:
     root = top = _Node("body", None, set(), False)
     at = 0
@@ -78,11 +107,17 @@ def _tree(page: str) -> _Node:
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
         if end > at:
+            if top.tag == "head" and not page[at:end].isspace():
+                top = top.parent
             top.parts.append(_html.unescape(page[at:end]))
         if not m:
             break
         at = m.end()
-        if not (tag := (m[2] or "").lower()) or tag in ("html", "body"):
+        if not (tag := (m[2] or "").lower()) or tag == "html":
+            continue
+        if not m[1] and tag not in _IN_HEAD:
+            top = top.parent if top.tag == "head" else top
+        if tag == "body":
             continue
         if m[1]:
             node = top
@@ -91,6 +126,8 @@ def _tree(page: str) -> _Node:
             if node is not root:
                 top = node.parent
             continue
+        if tag in ("main", "article"):
+            top = _outside(top, page, at, tag)
         if tag in _CLOSES_P or tag in _ENDS:
             ends, scope = ({"p"}, _CLOSES_P - {"p"} | {"li", "td", "th", "dd", "body"}) if tag in _CLOSES_P else (_ENDS[tag], _SCOPE[tag])
             node, last = top, None

@@ -252,6 +252,24 @@ def test_html_extraction(spark):
     assert got[:2] == [("", 0), ("", 0)] and got[3] == ("x", 1)
 
 
+def test_html_left_out_end_tags():
+    """Pages without </head>, and with a nav, aside or form that nothing ends, keep their article."""
+    art = "<article><h1>Head</h1><p>Some text here.</p></article>"
+    for page in (
+        f"<html><head><title>T</title><meta charset=utf-8><body>{art}</body></html>",
+        f"<html><head><title>T</title>{art}",
+        f"<head><script>x</script><div>{art}</div>",
+        f"<body><nav><a href=/>A</a>{art}<nav><a href=/b>B</a></nav>",
+        f"<body><aside><p>Side{art}",
+        f"<body><form><input>{art}",
+        f"<body><nav><a href=/>A</a><main>{art}</main><nav>B</nav>",
+    ):
+        assert html_extract.main_text(page) == "Head Some text here.", page
+    assert html_extract.main_text("<head><title>T</title>Only text") == "Only text"
+    teaser = "<aside><article><h1>Teaser</h1><p>Read this too.</p></article></aside>"
+    assert html_extract.main_text(f"<body>{art}{teaser}</body>") == "Head Some text here."
+
+
 def _read(spark, name):
     return spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
 
