@@ -7,8 +7,10 @@ largest sum holds the article.  The smallest density on the path from the
 body to it is the threshold: other subtrees, off that path, whose density
 reaches it are content too.  Where the path goes through an ``article`` or
 ``main`` element, that element is the subtree.  Menus, headers, footers,
-sidebars, notices, adverts, forms and comments that say so by tag, class,
-id or role are taken out of the tree first.
+sidebars, notices, adverts, forms and comments that say so by tag, or by a
+whole word of class, id or role, are taken out of the tree first; not so one
+that holds most of the page's characters outside links and its h1, or a form
+that holds most of them or an article, unless an article or main is elsewhere.
 
 Character references are decoded; text of block elements is joined by one
 space; white space is one space.
@@ -52,7 +54,15 @@ _BAD = set(
 )
 _IN_HEAD = set("base link meta noscript script style template title".split())  # all void or raw, so an open head is the innermost element
 _SECTIONS = {"nav", "aside", "header", "footer", "form"}
-_HEADER = {"header", "masthead", "banner"}
+# Compounds that are names of such parts in full.
+_BAD |= {f"{a}-{b}" for a in "site page global main top primary secondary".split() for b in "nav navbar navigation menu footer sidebar".split()}
+_BAD |= {f"{a}-{b}" for a in "ad ads advert sponsored".split() for b in "container wrapper box block slot unit banner".split()}
+_BAD |= {f"{a}-{b}" for a in "cookie cookies consent gdpr".split() for b in "notice banner bar consent popup modal overlay message".split()}
+_BAD |= {f"related-{x}" for x in "posts articles stories links news content".split()} | {f"{a}-{b}" for a in "share social sharing".split() for b in "buttons links icons bar share sharing media".split()}
+_BAD |= {f"{a}-{b}" for a in "newsletter subscribe search login signup".split() for b in "form box signup popup modal".split()} | {"nav-bar", "nav-menu", "menu-bar", "side-bar", "breadcrumb-nav", "skip-link"}
+_COMMENT = {"comment", "comments", "reply", "replies", "disqus", "comment-list", "comment-body", "comment-item", "comments-area", "comments-section", "comment-section", "comment-form", "disqus-thread"}
+_BAD |= _COMMENT
+_HEADER = {"header", "masthead", "banner", "site-header", "page-header", "global-header", "main-header", "top-header", "top-banner", "site-masthead"}
 
 
 class _Node:
@@ -71,7 +81,8 @@ def _attributes(raw: str) -> tuple[set[str], bool]:
         if k == "hidden" or k == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
         elif k in ("class", "id", "role"):
-            names |= set(re.split(r"[^a-z]+", value))
+            # whole words, without a number at the end: sidebar-2, comment_123, ad300x250
+            names |= {re.sub(r"-*\d[\dx]*$", "", w.replace("_", "-")) for w in value.split()}
     return names, hidden
 
 
@@ -159,8 +170,14 @@ def _walk(root: _Node) -> list[_Node]:
 def _prune(root: _Node) -> None:
     """Take out what is no article by its own account."""
     nodes = _walk(root)
-    holds = {id(n) for n in nodes if n.tag in ("article", "main") and not n.names & {"comment", "comments", "reply"}}
+    holds = {id(n) for n in nodes if n.tag in ("article", "main") and not n.names & _COMMENT}
     heads = {id(n) for n in nodes if n.tag == "h1"}
+    # characters outside links, and articles, in each subtree
+    plain, named = {}, {}
+    for n in reversed(nodes):
+        gone = n.hidden or n.tag in _RAW or n.tag in ("a", "head")
+        plain[id(n)] = 0 if gone else sum(len("".join(x.split())) for x in n.parts if isinstance(x, str)) + sum(plain[id(c)] for c in n.children)
+        named[id(n)] = (id(n) in holds) + sum(named[id(c)] for c in n.children)
     for n in reversed(nodes):
         if n.parent and id(n) in holds:
             holds.add(id(n.parent))
@@ -176,7 +193,11 @@ def _prune(root: _Node) -> None:
         bad = n.hidden or n.tag in _DROP or bool(n.names & _BAD)
         if n.tag == "header" or n.names & _HEADER:
             bad = bad or not (id(n) in inside and id(n) in heads)
-        if bad and (n.tag in _DROP or id(n) not in holds):
+        only = not n.hidden and not n.names & _COMMENT and named[id(n)] == named[id(root)]  # no article or main elsewhere
+        most = only and 2 * plain[id(n)] > plain[id(root)]
+        wraps = most and id(n) in heads and (n.tag in _SECTIONS or n.tag not in _DROP)
+        wraps = wraps or n.tag == "form" and (most or only and id(n) in holds)
+        if bad and not wraps and (n.tag in _DROP or id(n) not in holds):
             n.parent.children.remove(n)
             n.parent.parts[n.parent.parts.index(n)] = " "
 

@@ -270,6 +270,23 @@ def test_html_left_out_end_tags():
     assert html_extract.main_text(f"<body>{art}{teaser}</body>") == "Head Some text here."
 
 
+def test_html_names_are_whole_words():
+    """Layout names that contain a menu's or a sidebar's name, and parts that hold the page, lose nothing."""
+    long = "This sentence has a good many words in it, as an article would have. " * 6
+    want = "Head line " + " ".join((long * 3).split())
+    body = f"<h1>Head line</h1><p>{long}</p><p>{long}</p><p>{long}</p>"
+    tail = "<div class='sidebar'><p>Side text</p></div><div id='comment-12' class='comment_list'><p>Nice!</p></div><div class='ad-300x250'>Buy</div><footer>x</footer>"
+    for name in ("class='content no-sidebar'", "class='layout right-sidebar'", "class=has-footer", "id='search-results'", "class=page-with-nav", "class=widget", "role=search"):
+        assert html_extract.main_text(f"<body><div {name}>{body}</div>{tail}</body>") == want, name
+    assert html_extract.main_text(f"<body><form id=aspnet>{body}<input></form>{tail}</body>") == want
+    assert html_extract.main_text(f"<body><nav><a href=/>A</a><div>{body}</div>").endswith(want)
+    inner = "<p class='related-work'>Work.</p><p class=share-price>Price.</p><div class='notice-text'>Text.</div><div class='cookie-banner'>Cookies</div><p class=share>Share</p>"
+    assert html_extract.main_text(f"<body><article><h1>Head</h1>{inner}</article>{tail}") == "Head Work. Price. Text."
+    # comments longer than the article go all the same, and so does a form that is only a part
+    assert html_extract.main_text(f"<body><div><h1>Head</h1><p>{long}</p></div><div class=comments>{body}</div>") == "Head " + " ".join(long.split())
+    assert html_extract.main_text(f"<body><article>{body}</article><form><p>{long * 9}</p></form>") == want
+
+
 def _read(spark, name):
     return spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
 
