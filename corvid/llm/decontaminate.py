@@ -8,8 +8,8 @@ wide and k + 1 apart, so every such occurrence lies in one band whole.
 Bands that reach the bound are verified by a banded edit distance.  k is
 ``rate`` of the item's length.
 
-Texts are compared as UTF-8 bytes, A to Z in lower case and each run of
-white space as one space.  The benchmark goes out to the tasks in blocks
+Texts are compared as UTF-8 bytes, without regard to case (Unicode's folding)
+and composed (NFC), and each run of white space as one space.  The benchmark goes out to the tasks in blocks
 of at most about ``block_bytes``; every block is matched with all texts.
 
 Defined cases: null and empty texts match nothing; null items and items
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,8 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 def normal(text: str) -> bytes:
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).casefold())
     return _SPACE.sub(b" ", text.encode("utf-8", "surrogatepass").translate(_LOWER)).strip()
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -161,6 +162,13 @@ def test_decontamination(spark):
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_folds_case_and_form(spark):
+    item = "¿Cuál río ñandú está más allá? Où était l'été à l'île, où naît l'âme ?"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "x " + item.upper() + " y"), (2, unicodedata.normalize("NFD", item)), (3, unicodedata.normalize("NFD", item.upper()))]
+    assert {(r.doc_id, r.edits) for r in decontaminate.matches(docs(spark, rows), bench).collect()} == {(1, 0), (2, 0), (3, 0)}
+
+
 def test_alignment_is_least():
     rng = random.Random(1)
     for _ in range(100):
