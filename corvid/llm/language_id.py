@@ -27,6 +27,8 @@ from corvid.llm.common import bounded_batches, slices
 #: Places of a vector, and the symbols: 0 is "no letter", a to z have a
 #: symbol of their own, other letters share the rest by code point.
 DIM, SYMBOLS, SEED = 1024, 128, 20
+#: Texts of fewer letters are not judged by their cosine.
+SHORT = 24
 
 
 @cache
@@ -155,8 +157,12 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a cosine of ``least`` or more."""
+    """The rows of ``docs`` whose language is known with a cosine of ``least`` or more.
+
+    A text under SHORT letters has too few trigrams for the cosine to tell
+    a language from noise (1 / sqrt(DIM)); only those without a language go.
+    """
     bounded_batches(docs.sparkSession)
     classify = predict(learn(docs.where(~held_out("doc_id", 4, 2))))
     p = "__language_id"
-    return docs.withColumn(p, classify("text")).where(f"{p}.lang_pred <> 'und' and {p}.score >= {least}").drop(p)
+    return docs.withColumn(p, classify("text")).where((F.col(f"{p}.lang_pred") != "und") & ((F.col(f"{p}.score") >= least) | (F.char_length(F.regexp_replace("text", r"\P{L}+", "")) < SHORT))).drop(p)

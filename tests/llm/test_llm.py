@@ -308,6 +308,14 @@ def test_language_id(spark):
     assert language_id.identify(docs(spark, [])).count() == 0
 
 
+def test_short_texts_of_a_learned_language_stay(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choice("bcdfgh") + rng.choice("aeiou") for _ in range(3)) for _ in range(40))) for i in range(200)]
+    short = [(1000, "Avec."), (1001, "A."), (1002, "Tz"), (1003, "Wow!")]
+    kept = {r.doc_id for r in language_id.keep_identified(docs(spark, rows + short + [(1004, "123 ..."), (1005, None), (1006, "")])).collect()}
+    assert {i for i, _ in rows + short} <= kept and not kept & {1004, 1005, 1006}
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
