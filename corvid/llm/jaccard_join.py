@@ -249,10 +249,10 @@ def _scanned(docs: DataFrame, classes: DataFrame, least: int, words: int, percen
     groups = written(groups.select(F.col("rep").alias("i0"), F.col("k").alias("k0"), "to"), "verify")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_key(F.col("text")).alias("k"), F.col("text").alias("t"))
     # by exchange at any size: the candidates grow with the documents
-    texts = texts.join(groups.hint("merge"), (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "t", F.explode("to").alias("x")).select("rep", "t", "x.*")
+    texts = texts.join(groups.hint("merge"), (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "k", "t", F.explode("to").alias("x")).select("rep", "k", "t", "x.*")
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["rep", "side"])
+        pdf = pdf.drop_duplicates(["rep", "k", "side"])  # texts that share a doc_id are all compared
         one = int(pdf["j"].iat[0]) == -1 or pdf["side"].max() == 0
         a, b = _links([x.encode() for x in pdf["t"]], pdf["rep"].tolist(), pdf["component"].to_numpy(), None if one else pdf["side"].to_numpy(), words, percent)
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")

@@ -399,6 +399,19 @@ def test_jaccard_join(spark, monkeypatch, words, percent, block, short):
     assert got == _components(rows, words, percent)
 
 
+def test_jaccard_texts_that_share_a_doc_id(spark):
+    """Each of a doc_id's texts has its links."""
+    rng = random.Random(8)
+
+    def near(text):
+        return " ".join([*text.split()[:-1], "other"])
+
+    a, b = ([" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)) for _ in range(20)] for _ in range(2))
+    rows = [(100 + i, t) for i in range(20) for t in (a[i], b[i])] + [(200 + i, near(a[i])) for i in range(20)] + [(300 + i, near(b[i])) for i in range(20)]
+    got = {(r.doc_id, r.component_id) for r in jaccard_join.join(docs(spark, rows)).collect()}
+    assert got == {(d + i, 100 + i) for i in range(20) for d in (100, 200, 300)}
+
+
 def test_one_of_each(spark):
     rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, "z"), (3, "z"), (None, "a b c d e f"), (4, None)]
     got = jaccard_join.one_of_each(docs(spark, rows))
