@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, packing, quality, substring_dedup, suffix_dedup, warc
+from corvid.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, packing, quality, substring_dedup, suffix_dedup, token_counts, vector_codes, warc
+from corvid.llm.oracles import ORACLES as ORACLES
 from corvid.llm.common import read_table
 
 
-def _tokenizer() -> str:
+def _tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read_table(spark, sf_dir, "documents")).drop("k")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -70,20 +83,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_quality,
         op10_jaccard_join,
+        op11_vector_codes,
+        op12_conversation_repair,
+        op13_token_counts,
     )
 }
-
-_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-
-ORACLES: dict[str, str] = {
-    # base32 by groups of 20 bits: five hex digits are four letters
-    "op2_warc": f"""
-        WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
-             g AS (SELECT s, max(page_id) AS last FROM p GROUP BY s)
-        SELECT p.page_id, strlen(h)::BIGINT AS payload_bytes,
-               list_aggregate(list_transform(range(32), lambda i: substr('{_BASE32}',
-                   ((('0x' || substr(p.s, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT + 1, 1)), 'string_agg', '') AS payload_digest,
-               CASE WHEN p.page_id = g.last THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN p.page_id = g.last THEN NULL ELSE g.last END AS refers_to
-        FROM p JOIN g USING (s)""",
-}
