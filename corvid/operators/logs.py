@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.logfmt import clf_columns, host_country, positional_columns
+from corvid.operators.heavy import DEPTH, WIDTH, heavy_hitters
 from corvid.operators.topk import add_rest_bucket, arg_max, top_n
 
 # Fixed value: the countries of the reports (top-level DNS labels).
@@ -67,6 +68,19 @@ def write_parsed(
     return path
 
 
+def store_bucketed(parsed: DataFrame, table: str, path: str, buckets: int = 256, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
+    """Store the listed countries' rows as a table in buckets by (country, host), sorted by them.
+
+    Counts by host (C2, C3) and by host and hour (C4) then need no exchange
+    of rows: equal hosts lie in one bucket, and a hot country in all of them.
+    ``path`` is the table's folder; the session's catalog holds its name.
+    Rows are dealt by the buckets' key first, so a bucket is one file.
+    """
+    rows = by_country(parsed, countries).repartition(buckets, "country", "host")
+    rows.write.option("path", path).bucketBy(buckets, "country", "host").sortBy("country", "host").saveAsTable(table)
+    return parsed.sparkSession.table(table)
+
+
 def by_country(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES) -> DataFrame:
     """Rows whose host ends in one of the country labels (classified once)."""
     return parsed.filter(F.col("country").isin(list(countries)))
@@ -146,6 +160,51 @@ def top_host(
     return arg_max(host_counts(parsed, countries, counts_col=counts_col), ["country"], "requests", "host")
 
 
+def top_hosts_sketch(
+    parsed: DataFrame,
+    n: int = 9,
+    countries: Sequence[str] = DEFAULT_COUNTRIES,
+    counts_col: str | None = None,
+    width: int = WIDTH,
+    depth: int = DEPTH,
+) -> DataFrame:
+    """:func:`top_hosts`, by a frequency sketch: only hosts that may be among the first n are counted.
+
+    For logs of many hosts; ``parsed`` is read three times, so it should be
+    a stored table rather than text.
+    """
+    rows = by_country(parsed, countries)
+    return heavy_hitters(rows, n, ["country"], "host", "requests", counts_col, width, depth)
+
+
+#: Nominal entries of a host sketch, as a power of 2: up to so many hosts its count is exact.
+SKETCH_LG = 16
+
+
+def host_sketches(parsed: DataFrame, countries: Sequence[str] = DEFAULT_COUNTRIES, lg_entries: int = SKETCH_LG) -> DataFrame:
+    """(country, day, hour, hosts): a theta sketch of the distinct hosts of every hour, to be stored.
+
+    Up to ``2 ** lg_entries`` distinct hosts a union counts exactly; beyond,
+    its relative standard error is about ``2 ** (-lg_entries / 2)``.
+    """
+    rows = by_country(parsed, countries).where(F.col("day").isNotNull() & F.col("hour").isNotNull())
+    return rows.groupBy("country", "day", "hour").agg(F.theta_sketch_agg("host", lg_entries).alias("hosts"))
+
+
+def unique_hosts_in_ranges(sketches: DataFrame, ranges: DataFrame, lg_entries: int = SKETCH_LG) -> DataFrame:
+    """(country, first_day, last_day, unique_hosts) from stored sketches, without the log.
+
+    ``ranges`` has a row (first_day, last_day) for each report.  A day meets
+    the ranges that hold it; a country's hours are at most 31 x 24 sketches,
+    united by partial aggregates.
+    """
+    days = sketches.groupBy("country", "day").agg(F.theta_union_agg("hosts", lg_entries).alias("hosts"))
+    # (country, day) is 31 rows a country, ranges are the caller's list: the join is by range of days
+    in_range = days.join(ranges, (F.col("day") >= F.col("first_day")) & (F.col("day") <= F.col("last_day")))
+    united = in_range.groupBy("country", "first_day", "last_day").agg(F.theta_union_agg("hosts", lg_entries).alias("hosts"))
+    return united.select("country", "first_day", "last_day", F.theta_sketch_estimate("hosts").cast("long").alias("unique_hosts"))
+
+
 def _scope(
     parsed: DataFrame, countries: Sequence[str], by: str, counts_col: str | None = None
 ) -> tuple[DataFrame, list[str]]:

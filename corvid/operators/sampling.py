@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.hashing import MD5_SPACE, hash_key, hash_value, salted  # noqa: F401  (re-exported)
-from corvid.operators import selection
+from corvid.operators import cuts, selection, setops
 from corvid.session import cut_lineage
 
 
@@ -225,8 +225,10 @@ def chrono_split(
     """Mark the first ``int(f * n)`` rows in (time, tie-break...) order, per fraction.
 
     Adds one boolean column per fraction (``train_40`` for 0.4).  Exact and
-    sort-free (see :mod:`corvid.operators.selection`); the order columns
-    should make the order total, the remaining ties are identical rows.
+    sort-free; all cuts are found in one search, whose passes do not grow
+    with the number of fractions (see :mod:`corvid.operators.cuts`).  The
+    order columns should make the order total, the remaining ties are
+    identical rows.
 
     ``persist_keys`` caches the order columns for the search rounds.  For a
     source partitioned or clustered by time, ``False`` is cheaper at scale:
@@ -236,17 +238,14 @@ def chrono_split(
     keyed = selection.key_frame(df, order_cols)
     if persist_keys:
         keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-    memo: dict = {}
     try:
-        n = selection.row_count(keyed, memo)
-        out = df
-        for f in fractions:
-            name = flag_name(f, prefix)
-            out = selection.mark_head(out, order_cols, selection.head_count(n, f), name, keyed=keyed, memo=memo)
+        n = keyed.count()
+        ranks = {flag_name(f, prefix): selection.head_count(n, f) for f in fractions}
+        _, found = cuts.search(keyed, list(ranks.values()))
     finally:
         if persist_keys:
             keyed.unpersist()
-    return out
+    return cuts.mark_cuts(df, order_cols, ranks, n, found)
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -254,6 +253,11 @@ def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.subtract(right)
 
 
+def except_digest(left: DataFrame, right: DataFrame) -> DataFrame:
+    """:func:`except_distinct` by row digests: whole rows are compared only where a digest occurs on both sides."""
+    return setops.except_digest(left, right)
+
+
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name."""
     out = parts[0]

@@ -664,3 +664,77 @@ ORACLES["csv_headerless_scan"] = "SELECT CAST(label % 2 AS DOUBLE) AS label, " +
 ) + " FROM embeddings"
 
 ORACLES["csv_header_scan"] = _with(RATINGS_CTE) + "SELECT userId, movieId, rating, timestamp FROM ratings"
+
+# ------------------------------------------- the same results by other means
+
+for _key in ("top_hosts_sketch", "top_hosts_bucketed", "published_reports"):
+    ORACLES[_key] = ORACLES["top_hosts"]
+ORACLES["gzip_ranges"] = ORACLES["log_parse"]
+ORACLES["except_digest"] = ORACLES["except_distinct"]
+
+ORACLES["unique_hosts_by_range"] = _with(LOG_CTE) + """
+SELECT country, first_day, last_day, COUNT(DISTINCT host) AS unique_hosts
+FROM clog JOIN (VALUES (1, 7), (8, 14), (15, 31), (1, 31)) AS r(first_day, last_day) ON day BETWEEN first_day AND last_day
+GROUP BY country, first_day, last_day
+"""
+
+ORACLES["heatmap_empty"] = _with(LOG_CTE) + """
+SELECT country, day, hour, COUNT(*) AS visits FROM plog WHERE country = 'xx' GROUP BY country, day, hour
+"""
+
+ORACLES["chrono_cuts_many"] = _with(RATINGS_CTE) + _RANKED + (
+    "SELECT userId, movieId, rating, timestamp, "
+    + ", ".join(f"rn <= floor(CAST({f / 10} AS DOUBLE) * n) AS train_{f * 10}" for f in range(1, 10))
+    + " FROM ranked"
+)
+
+ORACLES["ordered_export"] = _with(RATINGS_CTE) + """
+SELECT userId, movieId, rating, timestamp, row_number() OVER (ORDER BY rating, userId, movieId, timestamp) - 1 AS position FROM ratings
+"""
+
+ORACLES["auc_by_group"] = """
+WITH scores AS (
+  SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS label, unnest(['l_discount', 'l_quantity', 'l_extendedprice']) AS model,
+         unnest([CAST(l_discount AS DOUBLE), CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE)]) AS score
+  FROM lineitem
+), s AS (
+  SELECT model, score, SUM(label) AS pos, SUM(1 - label) AS neg FROM scores GROUP BY model, score
+), c AS (
+  SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before
+  FROM s
+)
+SELECT model, round(SUM(pos * (neg_before + 0.5 * neg)) / (SUM(pos) * SUM(neg)), 9) AS auc,
+       CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
+FROM c GROUP BY model
+"""
+
+ORACLES["metric_override"] = _with(RATINGS_CTE) + _BASELINE + f"""
+, rep AS ({_reg("movie_mean")})
+SELECT 'rmse' AS metric, rmse AS value FROM rep UNION ALL SELECT 'mse', mse FROM rep UNION ALL SELECT 'mae', mae FROM rep
+"""
+
+_DICT = ["o_orderkey", "c_mktsegment", "ClaimNb"]
+ORACLES["dictionary_index"] = (
+    _with(CLAIMS_CTE, *[_index_cte(c, "claims") for c in _DICT])
+    + "SELECT o_orderkey, "
+    + ", ".join(f"CAST(idx_{c}.i AS BIGINT) AS {c}_index" for c in _DICT)
+    + " FROM claims "
+    + " ".join(f"JOIN idx_{c} ON claims.{c} = idx_{c}.v" for c in _DICT)
+)
+
+_DAMAGED = """
+, damaged AS (
+  SELECT *, CASE WHEN userId % 29 = 0 THEN 'rating' WHEN userId % 31 = 0 OR userId % 37 = 0 THEN 'fields' END AS reason FROM ratings
+)
+"""
+
+ORACLES["csv_rejects"] = _with(RATINGS_CTE) + _DAMAGED + """
+SELECT reason, CASE WHEN userId % 29 = 0 THEN concat_ws(',', userId, movieId, 'bad', timestamp)
+                    WHEN userId % 31 = 0 THEN concat_ws(',', userId, movieId, rating)
+                    ELSE concat_ws(',', userId, movieId, rating, timestamp, 'x') END AS line
+FROM damaged WHERE reason IS NOT NULL
+"""
+
+ORACLES["csv_good_rows"] = _with(RATINGS_CTE) + _DAMAGED + """
+SELECT userId, movieId, rating, CASE WHEN userId % 41 <> 0 THEN timestamp END AS timestamp FROM damaged WHERE reason IS NULL
+"""

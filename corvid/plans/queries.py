@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.timefmt import clean_round, epoch_to_ts, round6
-from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
+from corvid.operators import clustering, dictionary, features, logs, metrics, models, recommend, sampling, tuning
 from corvid.plans import jobs
 from corvid.session import persisted, scratch_path
-from corvid.sources import fixtures
-from corvid.sources.readers import MOVIES_SCHEMA, RATINGS_SCHEMA, read_csv, read_headerless_csv, read_text_lines
+from corvid.sources import fixtures, gzip_index, sinks
+from corvid.sources.readers import MOVIES_SCHEMA, RATINGS_SCHEMA, read_csv, read_csv_checked, read_headerless_csv, read_text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -81,6 +81,59 @@ def q_top_hosts(spark, sf_dir):
     return logs.top_hosts(_parsed_log(spark, sf_dir), n=9)
 
 
+@register("top_hosts_sketch")
+def q_top_hosts_sketch(spark, sf_dir):
+    """T2 by a frequency sketch over the stored log: only hosts that may be among the first are counted."""
+    path = logs.write_parsed(_parsed_log(spark, sf_dir), scratch_path(spark, "parsed-log"))
+    return logs.top_hosts_sketch(spark.read.parquet(path), n=9)
+
+
+@register("top_hosts_bucketed")
+def q_top_hosts_bucketed(spark, sf_dir):
+    """The parsed log stored in buckets by (country, host), counted without an exchange of rows."""
+    path = scratch_path(spark, "bucketed-log")
+    table = "corvid_log_" + path.rsplit("-", 1)[-1]
+    return logs.top_hosts(logs.store_bucketed(_parsed_log(spark, sf_dir), table, path, buckets=16), n=9)
+
+
+@register("gzip_ranges")
+def q_gzip_ranges(spark, sf_dir):
+    """The log as one gzip file, indexed once, then inflated and parsed from several access points."""
+    path, index = scratch_path(spark, "access-log-one"), scratch_path(spark, "access-log-index")
+    fixtures.access_log_lines(spark, sf_dir).coalesce(1).write.option("compression", "gzip").text(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path").collect()
+    points = gzip_index.build(spark, [r.path for r in files], index, span=64 << 10)
+    return logs.parse(gzip_index.read_lines(points))
+
+
+#: (first day, last day) of the reports from stored sketches.
+DAY_RANGES = [(1, 7), (8, 14), (15, 31), (1, 31)]
+
+
+@register("unique_hosts_by_range")
+def q_unique_hosts_by_range(spark, sf_dir):
+    """A2 from stored sketches of each hour: any range of days, without the log."""
+    path = scratch_path(spark, "host-sketches")
+    logs.host_sketches(_parsed_log(spark, sf_dir)).write.parquet(path)
+    ranges = spark.createDataFrame(DAY_RANGES, "first_day int, last_day int")
+    return logs.unique_hosts_in_ranges(spark.read.parquet(path), ranges)
+
+
+@register("published_reports")
+def q_published_reports(spark, sf_dir):
+    """K7: the reports written to a snapshot that a manifest makes current, read back from there."""
+    path = scratch_path(spark, "reports")
+    parsed = _parsed_log(spark, sf_dir)
+    sinks.publish({"top_hosts": logs.top_hosts(parsed, n=9), "requests": logs.country_requests(parsed)}, path)
+    return sinks.read_published(spark, path, "top_hosts")
+
+
+@register("heatmap_empty")
+def q_heatmap_empty(spark, sf_dir):
+    """a country without a host has an empty grid, and no error."""
+    return logs.heatmap(_hourly(spark, sf_dir), countries=("xx",), dense=True, counts_col="requests")
+
+
 @register("top_hosts_dedup")
 def q_top_hosts_dedup(spark, sf_dir):
     return logs.top_hosts(_parsed_log(spark, sf_dir), n=9, dedup=True)
@@ -220,6 +273,27 @@ def q_chrono_split(spark, sf_dir):
     return sampling.chrono_split(_ratings(spark, sf_dir), RATING_ORDER, [0.4, 0.6, 0.8])
 
 
+@register("chrono_cuts_many")
+def q_chrono_cuts_many(spark, sf_dir):
+    """B1 with nine cuts, found in one search."""
+    return sampling.chrono_split(_ratings(spark, sf_dir), RATING_ORDER, [f / 10 for f in range(1, 10)])
+
+
+@register("except_digest")
+def q_except_digest(spark, sf_dir):
+    """U2 by row digests."""
+    r = _ratings(spark, sf_dir)
+    marked = sampling.chrono_split(r, RATING_ORDER, [0.4])
+    return sampling.except_digest(r, marked.filter("train_40").drop("train_40"))
+
+
+@register("ordered_export")
+def q_ordered_export(spark, sf_dir):
+    """Ratings in files that are globally in order; their first column has ten values, so every key is hot."""
+    path = sinks.write_ordered(_ratings(spark, sf_dir), scratch_path(spark, "ordered"), ["rating", "userId", "movieId", "timestamp"], files=8)
+    return sinks.read_positions(spark, path)
+
+
 @register("except_distinct")
 def q_except_distinct(spark, sf_dir):
     r = _ratings(spark, sf_dir)
@@ -241,6 +315,8 @@ def q_epoch_to_ts(spark, sf_dir):
 
 # ----------------------------------------------------------------- metrics
 
+AUC_SCORES = ["l_discount", "l_quantity", "l_extendedprice"]
+
 
 def _baseline_predictions(spark, sf_dir):
     """Ratings scored by two deterministic baselines: movie mean and user mean."""
@@ -292,6 +368,24 @@ def q_auc_near_unique(spark, sf_dir):
     return a.select(clean_round("auc", 9).alias("auc"), "positives", "negatives")
 
 
+@register("auc_by_group")
+def q_auc_by_group(spark, sf_dir):
+    """W4 of several scores of the same rows at once, one with ten values, one with nearly as many as rows."""
+    li = fixtures.read_table(spark, sf_dir, "lineitem")
+    li = li.select((F.col("l_returnflag") == "R").cast("double").alias("label"), *(F.col(c).cast("double").alias(c) for c in AUC_SCORES))
+    stacked = li.unpivot(["label"], AUC_SCORES, "model", "score")
+    a = metrics.auc_by_group(stacked, ["model"])
+    return a.select("model", clean_round("auc", 9).alias("auc"), "positives", "negatives")
+
+
+@register("metric_override")
+def q_metric_override(spark, sf_dir):
+    """One metric a call, each asked for by name."""
+    p = _baseline_predictions(spark, sf_dir)
+    m = metrics.metric_table([metrics.regression_metric(p, name, "rating", "movie_mean") for name in ("rmse", "mse", "mae")])
+    return m.select("metric", clean_round("value", 8).alias("value"))
+
+
 def _hard_predictions(spark, sf_dir):
     s = fixtures.lineitem_scores(spark, sf_dir)
     return s.withColumn("prediction", (F.col("score") > 25).cast("double"))
@@ -417,6 +511,14 @@ def q_string_index(spark, sf_dir):
     return out.select("o_orderkey", *[F.col(f"{x}_index").cast("int").alias(f"{x}_index") for x in cats])
 
 
+@register("dictionary_index")
+def q_dictionary_index(spark, sf_dir):
+    """E4/E5 with dictionaries as tables: one column with a value for each row, one with five values, one numeric."""
+    c = _claims(spark, sf_dir).select("o_orderkey", "c_mktsegment", "ClaimNb")
+    out = dictionary.fit_apply(c, ["o_orderkey", "c_mktsegment", "ClaimNb"])
+    return out.select("o_orderkey", "o_orderkey_index", "c_mktsegment_index", "ClaimNb_index")
+
+
 @register("one_hot")
 def q_one_hot(spark, sf_dir):
     c = _claims(spark, sf_dir)
@@ -735,3 +837,32 @@ def q_csv_header_scan(spark, sf_dir):
     path = scratch_path(spark, "ratings-csv")
     _ratings(spark, sf_dir).write.option("header", True).csv(path)
     return read_csv(spark, path, RATINGS_SCHEMA, header=True)
+
+
+def _damaged_ratings(spark, sf_dir):
+    """Ratings as CSV text, some lines with a word for a number, a field too few or too many."""
+    path = scratch_path(spark, "damaged-csv")
+    fields = [F.col(c).cast("string") for c in ("userId", "movieId", "rating", "timestamp")]
+    line = (
+        F.when(F.col("userId") % 29 == 0, F.concat_ws(",", *fields[:2], F.lit("bad"), fields[3]))
+        .when(F.col("userId") % 31 == 0, F.concat_ws(",", *fields[:3]))
+        .when(F.col("userId") % 37 == 0, F.concat_ws(",", *fields, F.lit("x")))
+        .when(F.col("userId") % 41 == 0, F.concat_ws(",", *fields[:3], F.lit("")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    _ratings(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_csv_checked(spark, path, RATINGS_SCHEMA)
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf_dir):
+    """The lines of a damaged CSV that do not fit the schema, with reasons."""
+    _, rejects = _damaged_ratings(spark, sf_dir)
+    return rejects.select("line", "reason")
+
+
+@register("csv_good_rows")
+def q_csv_good_rows(spark, sf_dir):
+    """The rows of a damaged CSV that do fit."""
+    good, _ = _damaged_ratings(spark, sf_dir)
+    return good
