@@ -29,8 +29,13 @@ a null component.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +48,28 @@ def _dense(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 1))
 
 
+def normalized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(vec_id, l, h, e): the SHA-256 of each vector's components, and the vector at length 1.
+
+    In one pass over the components: divided by the largest first, so that
+    no square overflows or vanishes.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        e = batch.column("e")
+        lens = pc.list_value_length(e).to_numpy(zero_copy_only=False)
+        flat = e.flatten().to_numpy(zero_copy_only=False) + 0.0  # -0.0 is 0.0
+        ends = np.cumsum(lens)
+        starts = ends - lens
+        raw = flat.tobytes()
+        digests = [hashlib.sha256(raw[8 * a : 8 * b]).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+        flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), starts), lens)
+        flat /= np.repeat(np.sqrt(np.add.reduceat(flat * flat, starts)), lens)
+        whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("l"), pa.array(digests, pa.binary()), whole], ["vec_id", "l", "h", "e"])
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     """A spanning forest of the pairs (a, b)."""
     up: dict[int, int] = {}
@@ -77,11 +104,8 @@ def links(vectors: DataFrame, least: float = 0.98, n_pivots: int = 256, depth: i
     bounded_batches(spark)
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("l"), F.col("embedding").cast("array<double>").alias("e"))
     sound = F.expr("e is not null and l is not null and vec_id is not null and size(e) > 0 and forall(e, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(e, x -> x <> 0)")
-    peak = F.array_max(F.transform("e", F.abs))
-    scaled = F.transform("e", lambda x: x / peak)  # so that no square overflows or vanishes
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    v = v.where(sound).withColumn("e", F.transform("e", lambda x: x + 0.0))  # -0.0 is 0.0
-    v = v.select("vec_id", "l", F.sha2(F.array_join(F.transform("e", lambda x: x.cast("string")), ","), 256).alias("h"), F.transform(scaled, lambda x: x / norm).alias("e"))
+    v = v.where(sound)
+    v = v.mapInArrow(normalized, f"vec_id long, l {v.schema['l'].dataType.simpleString()}, h binary, e array<double>")
     classes = v.groupBy("l", "h").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("e").alias("e"))
     reps = written(classes.withColumn("dim", F.size("e")), "vectors")
     members = v.select("vec_id", "l", "h").join(reps.select("l", "h", "rep", "n"), ["l", "h"]).select("vec_id", "rep", F.col("n").alias("n_equal"))
