@@ -738,3 +738,41 @@ FROM damaged WHERE reason IS NOT NULL
 ORACLES["csv_good_rows"] = _with(RATINGS_CTE) + _DAMAGED + """
 SELECT userId, movieId, rating, CASE WHEN userId % 41 <> 0 THEN timestamp END AS timestamp FROM damaged WHERE reason IS NULL
 """
+
+# ------------------------------------------------ models with known results
+
+ORACLES["logistic_l2_optimum"] = _with(CLAIMS_CTE) + f"""
+SELECT CAST(unnest(range({len(_NUM)} + {" + ".join(f"count(DISTINCT {c})" for c in _CAT)})) AS INTEGER) AS slot, TRUE AS stationary, TRUE AS not_zero
+FROM claims
+"""
+
+ORACLES["compare_networks"] = """
+SELECT 'mlp' AS model, unnest(['best layers', 'balanced_accuracy', 'auc']) AS metric, unnest(['[1, 8, 2]', '1', '1']) AS value
+"""
+
+ORACLES["claims_models_rates"] = _with(CLAIMS_CTE) + f"""
+, split AS (
+  SELECT *, rn <= floor(CAST(0.7 AS DOUBLE) * n) AS train FROM (
+    SELECT *, row_number() OVER (PARTITION BY hasClaim ORDER BY {hash_sql('o_orderkey')}, o_orderkey) AS rn,
+           COUNT(*) OVER (PARTITION BY hasClaim) AS n
+    FROM claims)
+), rates AS (
+  SELECT o_orderstatus, SUM(ClaimNb) / SUM(Exposure) AS per_exposure, avg(hasClaim) AS p FROM split WHERE train GROUP BY o_orderstatus
+), scored AS (
+  SELECT s.*, per_exposure, p FROM split s JOIN rates USING (o_orderstatus) WHERE NOT train
+), groups AS (
+  SELECT p, SUM(hasClaim) AS pos, SUM(1 - hasClaim) AS neg FROM scored GROUP BY p
+), below AS (
+  SELECT *, COALESCE(SUM(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM groups
+), found AS (
+  SELECT 'poisson' AS kind, 'rmse' AS metric, sqrt(avg((Exposure * per_exposure - ClaimNb) * (Exposure * per_exposure - ClaimNb))) AS value FROM scored
+  UNION ALL SELECT 'logistic', 'auc', SUM(pos * (neg_before + 0.5 * neg)) / (SUM(pos) * SUM(neg)) FROM below
+  UNION ALL SELECT 'logistic', 'accuracy', avg(CAST((p > 0.5)::INT = hasClaim AS INT)) FROM scored
+)
+SELECT model, metric, round(value, 3) + 0.0 AS value
+FROM found JOIN (VALUES ('poisson', 'poisson'), ('logistic', 'logistic_l1'), ('logistic', 'logistic_l2')) AS m(kind, model) USING (kind)
+"""
+
+ORACLES["als_reconstruction"] = _with(RATINGS_CTE) + """
+SELECT userId % 3 AS leaning, COUNT(*) AS n, TRUE AS given_back FROM ratings GROUP BY userId % 3
+"""

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -627,6 +628,27 @@ def q_logistic_l2(spark, sf_dir):
     return _penalised(spark, sf_dir, "l2", 1e5)
 
 
+@register("logistic_l2_optimum")
+def q_logistic_l2_optimum(spark, sf_dir):
+    """M4 at a moderate penalty: the gradient of loss plus penalty is zero in every slot.
+
+    MLlib penalises the coefficients of features scaled to a standard
+    deviation of one, so slot j must have avg((p - y) x_j) = -reg * b_j * sd_j^2;
+    another penalty, or another strength, leaves a residual.
+    """
+    reg = 0.02
+    c = _claims(spark, sf_dir)
+    design = features.feature_pipeline(NUMERIC, CATEGORICAL).fit(c).transform(c)
+    with persisted(design.select("hasClaim", "features")) as d:
+        fit = models.logistic("hasClaim", penalty="l2", regParam=reg, tol=1e-12, maxIter=500).fit(d)
+        x = vector_to_array(F.col("features"))
+        rows = models.positive_probability(fit.transform(d)).select((F.col("p1") - F.col("hasClaim")).alias("r"), F.posexplode(x).alias("slot", "x"))
+        got = rows.groupBy("slot").agg(F.avg(F.col("r") * F.col("x")).alias("g"), F.var_samp("x").alias("v"), F.max(F.abs("x")).alias("top")).collect()  # a row a slot
+    b = fit.coefficients.toArray()
+    out = [(r["slot"], bool(abs(r["g"] + reg * b[r["slot"]] * r["v"]) < 1e-6), bool(abs(b[r["slot"]]) > 0)) for r in got]
+    return spark.createDataFrame(out, "slot int, stationary boolean, not_zero boolean")
+
+
 SEPARABLE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -724,6 +746,30 @@ def q_compare_classifiers(spark, sf_dir):
     return out["metrics"].select("model", "metric", clean_round("value", 6).alias("value"))
 
 
+@register("compare_networks")
+def q_compare_networks(spark, sf_dir):
+    """C6 with the network's layers as an axis: the classes are an interval and its outside, which no network without a hidden layer tells apart."""
+    rows = fixtures.particles_separable(spark, sf_dir)
+    inside = F.col("l_quantity").between(16, 35)
+    rows = rows.withColumn("label", inside.cast("double")).withColumn("x", (F.col("l_quantity") - 25.5) / 15.0)
+    network = models.mlp("label", [1, 2], maxIter=400, tol=1e-10, seed=SEED)
+    out = jobs.compare_classifiers(rows, SEPARABLE_KEY, "label", ["x"], {"mlp": (network, {"layers": [[1, 2], [1, 8, 2]]})}, sample_fraction=0.3, folds=2, seed=SEED)
+    best = out["cv"].filter("is_best").select("model", F.concat(F.lit("best "), "param").alias("metric"), F.col("value").cast("string").alias("value"))
+    scores = out["metrics"].select("model", "metric", F.when(clean_round("value", 3) == 1.0, "1").otherwise(F.col("value").cast("string")).alias("value"))
+    return best.unionByName(scores)
+
+
+@register("claims_models_rates")
+def q_claims_models_rates(spark, sf_dir):
+    """C5 without a penalty on one category: the models must give each category's rates of the training part.
+
+    Poisson with the exposure as offset predicts exposure times claims per
+    exposure; another family, or no offset, predicts something else.
+    """
+    out = jobs.claims_models(_claims(spark, sf_dir), "o_orderkey", [], ["o_orderstatus"], reg_grid=[0.0], folds=2, seed=SEED, exposure_offset="Exposure")
+    return out["metrics"].select("model", "metric", clean_round("value", 3).alias("value"))
+
+
 @register("claims_models")
 def q_claims_models(spark, sf_dir):
     """C5 with a penalty that leaves the base rate: every L1 score is the same, on the whole exact test part."""
@@ -790,6 +836,20 @@ def q_als_quality(spark, sf_dir):
     )
 
 
+@register("als_reconstruction")
+def q_als_reconstruction(spark, sf_dir):
+    """The factors of users and films give back planted ratings of rank one, for users of each leaning."""
+    ratings = _planted_ratings(spark, sf_dir).select("userId", "movieId", "rating")
+    with persisted(ratings) as cached:
+        model = recommend.als(seed=SEED, rank=2, regParam=0.001, maxIter=20).fit(cached)
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
+    films = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("f"))
+    dot = F.aggregate(F.zip_with("u", "f", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
+    pairs = ratings.join(users, "userId").join(films, "movieId")
+    scored = pairs.groupBy(F.pmod("userId", F.lit(3)).alias("leaning")).agg(F.count("*").alias("n"), F.sqrt(F.avg((dot - F.col("rating")) ** 2)).alias("rmse"))
+    return scored.select("leaning", "n", (F.col("rmse") < 0.05).alias("given_back"))
+
+
 @register("als_scored_counts")
 def q_als_scored_counts(spark, sf_dir):
     """C7 row keys: test rows scored per split and setting (cold-start rows dropped)."""
