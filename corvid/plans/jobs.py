@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators import clustering, features, logs, metrics, models, recommend, sampling, tuning
-from corvid.session import cut_lineage
+from corvid.session import cut_lineage, persisted
 
 # ------------------------------------------------------------------ C1-C4
 
@@ -72,7 +72,6 @@ def claims_models(
         claims = claims.withColumn("_log_exposure", F.log(F.col(exposure_offset)))
     split = sampling.stratified_split(claims, key, binary_label, [train_fraction, 1 - train_fraction], seed=seed, exact=True)
     train = sampling.kfold(split.filter(F.col("split") == "train"), key, folds, seed=seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = split.filter(F.col("split") == "test")
     design = features.design_stages(numeric, categorical)
     specs = {
@@ -92,28 +91,30 @@ def claims_models(
             True,
         ),
     }
-    cv_rows, metric_rows, coef_rows = [], [], []
+    cv_rows, metric_rows, coef_rows, soft = [], [], [], []
     spark = claims.sparkSession
-    for name, (est, ev, higher) in specs.items():
-        pipe = Pipeline(stages=design + [est])
-        grid = tuning.param_grid(est, {"regParam": list(reg_grid)})
-        cvm = tuning.cross_validate(pipe, grid, ev, train, folds=folds, fold_col="fold")
-        cv_rows.append(tuning.cv_report(spark, cvm, grid, higher).withColumn("model", F.lit(name)))
-        best = tuning.best_params(cvm, ["regParam"])
-        fitted = Pipeline(stages=design + [est.copy({est.regParam: best["regParam"]})]).fit(train)
-        scored = fitted.transform(test)
-        final = fitted.stages[-1]
-        names = features.feature_names(scored, "features")
-        coef_rows.append(models.coefficient_table(spark, final, names).withColumn("model", F.lit(name)))
-        if name == "poisson":
-            reg = metrics.regression_metrics(scored, count_label, "prediction")
-            parts = [metrics.metric_long(reg, [], ["rmse"])]
-        else:
-            auc = metrics.auc_exact(models.positive_probability(scored), binary_label, "p1")
-            acc = metrics.accuracy(scored, binary_label, "prediction")
-            parts = [metrics.metric_long(auc, [], ["auc"]), metrics.metric_long(acc, [], ["accuracy"])]
-        metric_rows += [p.select(F.lit(name).alias("model"), "metric", "value") for p in parts]
-    train.unpersist()
+    with persisted(train) as cached:
+        for name, (est, ev, higher) in specs.items():
+            pipe = Pipeline(stages=design + [est])
+            grid = tuning.param_grid(est, {"regParam": list(reg_grid)})
+            cvm = tuning.cross_validate(pipe, grid, ev, cached, folds=folds, fold_col="fold")
+            cv_rows.append(tuning.cv_report(spark, cvm, grid, higher).withColumn("model", F.lit(name)))
+            best = tuning.best_params(cvm, ["regParam"])
+            fitted = Pipeline(stages=design + [est.copy({est.regParam: best["regParam"]})]).fit(cached)
+            scored = fitted.transform(test)
+            final = fitted.stages[-1]
+            names = features.feature_names(scored, "features")
+            coef_rows.append(models.coefficient_table(spark, final, names).withColumn("model", F.lit(name)))
+            if name == "poisson":
+                reg = metrics.regression_metrics(scored, count_label, "prediction")
+                parts = [metrics.metric_long(reg, [], ["rmse"])]
+            else:
+                soft.append(models.positive_probability(scored).select(F.lit(name).alias("model"), binary_label, "p1"))
+                parts = [metrics.metric_long(metrics.accuracy(scored, binary_label, "prediction"), [], ["accuracy"])]
+            metric_rows += [p.select(F.lit(name).alias("model"), "metric", "value") for p in parts]
+    # both classifiers at once
+    auc = metrics.auc_by_group(metrics.metric_table(soft), ["model"], binary_label, "p1")
+    metric_rows.append(metrics.metric_long(auc, ["model"], ["auc"]))
     return {
         "cv": metrics.metric_table(cv_rows),
         "metrics": metrics.metric_table(metric_rows),
@@ -149,18 +150,20 @@ def compare_classifiers(
     # Equal keep-rates for every class: a plain hash sample keeps the class mix.
     sample = sampling.kfold(sampling.hash_sample(train, key, sample_fraction, seed=seed), key, folds, seed=seed)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction", numBins=0)
-    cv_rows, metric_rows = [], []
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    for name, (est, axes) in estimators.items():
-        grid = tuning.param_grid(est, axes)
-        cvm = tuning.cross_validate(est, grid, ev, sample, folds=folds, fold_col="fold")
-        cv_rows.append(tuning.cv_report(spark, cvm, grid).withColumn("model", F.lit(name)))
-        model = tuning.refit_best(est, tuning.best_params(cvm, list(axes)), train)
-        scored = models.positive_probability(model.transform(test))
-        hard = metrics.metric_long(metrics.balanced_accuracy(scored, label, "prediction"), [], ["balanced_accuracy"])
-        soft = metrics.metric_long(metrics.auc_exact(scored, label, "p1"), [], ["auc"])
-        metric_rows += [p.select(F.lit(name).alias("model"), "metric", "value") for p in (hard, soft)]
-    train.unpersist()
+    cv_rows, metric_rows, scores = [], [], []
+    with persisted(train) as cached:
+        for name, (est, axes) in estimators.items():
+            grid = tuning.param_grid(est, axes)
+            cvm = tuning.cross_validate(est, grid, ev, sample, folds=folds, fold_col="fold")
+            cv_rows.append(tuning.cv_report(spark, cvm, grid).withColumn("model", F.lit(name)))
+            model = tuning.refit_best(est, tuning.best_params(cvm, list(axes)), cached)
+            scored = models.positive_probability(model.transform(test))
+            scores.append(scored.select(F.lit(name).alias("model"), label, "p1"))
+            hard = metrics.metric_long(metrics.balanced_accuracy(scored, label, "prediction"), [], ["balanced_accuracy"])
+            metric_rows.append(hard.select(F.lit(name).alias("model"), "metric", "value"))
+    # every model's AUC at once
+    auc = metrics.auc_by_group(metrics.metric_table(scores), ["model"], label, "p1")
+    metric_rows.append(metrics.metric_long(auc, ["model"], ["auc"]))
     return {"cv": metrics.metric_table(cv_rows), "metrics": metrics.metric_table(metric_rows)}
 
 

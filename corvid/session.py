@@ -73,7 +73,13 @@ def spread_scan(scan: DataFrame) -> DataFrame:
 
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Cache ``df`` for the multi-pass work inside the block (model fits), then release it."""
+    """Cache ``df`` for the multi-pass work inside the block (model fits), then release it.
+
+    A frame that its caller has cached stays cached.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
     cached = df.persist(level)
     try:
         yield cached

@@ -3,7 +3,8 @@
 Schema inference costs an extra pass over the input, so every CSV source
 here takes a ``StructType``.  Gzip text is not splittable: one task per
 file, so callers reading a few large ``.gz`` files should pass
-``min_partitions`` to spread the parse (and everything after it) out.
+``min_partitions`` to spread the parse (and everything after it) out, or
+index them once (:mod:`corvid.sources.gzip_index`) and read them in ranges.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ ROWS_ONLY: set[str] = set()
 LLM = ("op", "pipeline")  # tested in tests/llm
 # Known-answer fixtures sized for sf0.01 and above; at sf0.001 too few rows
 # per category for an exact fit to the rounding used.
-SLOW = {"als_quality", "als_user_clusters", "als_scored_counts", "cross_validate", "refit_best", "cv_report", "cv_pipeline", "compare_classifiers", "claims_models"}
+SLOW = {"als_quality", "als_user_clusters", "als_scored_counts", "cross_validate", "refit_best", "cv_report", "cv_pipeline", "compare_classifiers", "claims_models", "compare_networks", "claims_models_rates"}
 
 
 def test_entry_smoke(spark):
