@@ -33,18 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import bounded_batches, scratch_dir, written
+from corvid.sources.files import arrow_filesystem, qualified
 
 INDEX = "file string, offset long, size long, page_id long, url string, payload_digest string, record_type string, refers_to long"
 #: Ranges with a smaller gap become one read, up to so many bytes.
 GAP, READ = 64 << 10, 4 << 20
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -100,7 +95,7 @@ def write(pages: DataFrame, least_bytes: int = 0, when: str = "2024-01-01T00:00:
     """Archives of all pages; their index, written."""
     spark = pages.sparkSession
     bounded_batches(spark)
-    folder = scratch_dir(spark, "warc")
+    folder = qualified(spark, scratch_dir(spark, "warc"))
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, at, own = None, 0, ""
@@ -108,7 +103,7 @@ def write(pages: DataFrame, least_bytes: int = 0, when: str = "2024-01-01T00:00:
             for pdf in batches:
                 if out is None:
                     own = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-                    files, path = _filesystem(own)
+                    files, path = arrow_filesystem(own)
                     files.create_dir(path.rpartition("/")[0], recursive=True)
                     out = files.open_output_stream(path, compression=None)
                 rows = []
@@ -146,7 +141,7 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
                         spans[-1][2].append((start, size))
                     else:
                         spans.append([start, start + size, [(start, size)]])
-                files, path = _filesystem(own)
+                files, path = arrow_filesystem(own)
                 with files.open_input_file(path) as f:
                     for start, end, held in spans:
                         f.seek(start)
