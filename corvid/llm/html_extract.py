@@ -15,6 +15,11 @@ that holds most of them or an article, unless an article or main is elsewhere.
 Character references are decoded; text of block elements is joined by one
 space; white space is one space.
 
+Formulas (MathML) are text, but for their annotations; the text of an xmp
+element is taken as it stands.  Text that a page does not show goes:
+noscript, template, svg, iframe, and elements that are hidden by attribute
+or style.
+
 Defined cases: a null or empty html, and a page without text, give an
 empty text; broken mark-up is read as far as it goes: unknown end tags are
 ignored and open elements end with their parent; text outside a body
@@ -28,7 +33,9 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,12 +48,14 @@ _ATTR = re.compile(r"(class|id|role|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^'
 
 # Element names of HTML by kind.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea title noscript iframe template svg math xmp".split())
-_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+_RAW = set("script style textarea title noscript iframe template svg".split())
+_MATH = set("math maction merror mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()) | _MATH
 _CLOSES_P = set("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
-_DROP = set("head nav footer aside form button select dialog menu object audio video canvas map".split()) | _RAW
+# a formula's annotations are its source in another notation, which no reader sees
+_DROP = set("head nav footer aside form button select dialog menu object audio video canvas map annotation annotation-xml".split()) | _RAW
 _BAD = set(
     "ad ads adv advert adverts advertisement advertising promo promotion sponsor sponsored banner sidebar sidebars nav navbar navigation menu breadcrumb breadcrumbs"
     " masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social"
@@ -86,7 +95,33 @@ def _attributes(raw: str) -> tuple[set[str], bool]:
     return names, hidden
 
 
-def _outside(top: _Node, page: str, at: int, tag: str) -> _Node:
+class _Ends:
+    """Which open sections of a kind are ended by a tag of their own, somewhere after a place in the page.
+
+    The tags of a kind are read once: with the running sum of starts and ends
+    and its least value from each tag on, a place is looked up by bisection.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.marks: dict[str, tuple[list[int], list[int], list[int]]] = {}
+
+    def low(self, tag: str, at: int, opened: int) -> int:
+        """The fewest of ``opened`` sections that stay open at any place from ``at`` on."""
+        if tag not in self.marks:
+            places, sums, total = [], [0], 0
+            for m in re.compile(rf"<(/?){tag}[\s>]", re.I).finditer(self.page):
+                total += -1 if m[1] else 1
+                places.append(m.start())
+                sums.append(total)
+            least = list(accumulate(reversed(sums), min))[::-1]
+            self.marks[tag] = places, sums, least
+        places, sums, least = self.marks[tag]
+        k = bisect_left(places, at)
+        return max(0, opened + least[k] - sums[k])
+
+
+def _outside(top: _Node, known: _Ends, at: int, tag: str) -> _Node:
     """The parent of the outermost open section that a main or article at this place ends, or ``top``."""
     opened: dict[str, list[_Node]] = {}
     ends: set[int] = set()
@@ -96,13 +131,7 @@ def _outside(top: _Node, page: str, at: int, tag: str) -> _Node:
             opened.setdefault(n.tag, []).append(n)
         n = n.parent
     for t, nodes in opened.items():
-        left = low = len(nodes)
-        for m in re.compile(rf"<(/?){t}[\s>]", re.I).finditer(page, at):
-            left += -1 if m[1] else 1
-            low = min(low, left)
-            if not low:
-                break
-        if low or tag == "main" and t != "form":  # HTML allows main in none but a form
+        if known.low(t, at, len(nodes)) or tag == "main" and t != "form":  # HTML allows main in none but a form
             ends.add(id(nodes[-1]))
     n = top
     while n.parent:
@@ -113,7 +142,7 @@ def _outside(top: _Node, page: str, at: int, tag: str) -> _Node:
 
 def _tree(page: str) -> _Node:
     root = top = _Node("body", None, set(), False)
-    at = 0
+    at, known = 0, _Ends(page)
     while at < len(page):
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
@@ -138,7 +167,7 @@ def _tree(page: str) -> _Node:
                 top = node.parent
             continue
         if tag in ("main", "article"):
-            top = _outside(top, page, at, tag)
+            top = _outside(top, known, at, tag)
         if tag in _CLOSES_P or tag in _ENDS:
             ends, scope = ({"p"}, _CLOSES_P - {"p"} | {"li", "td", "th", "dd", "body"}) if tag in _CLOSES_P else (_ENDS[tag], _SCOPE[tag])
             node, last = top, None
@@ -149,8 +178,10 @@ def _tree(page: str) -> _Node:
         node = _Node(tag, top, *_attributes(m[3]))
         top.children.append(node)
         top.parts.append(node)
-        if tag in _RAW:
+        if tag in _RAW or tag == "xmp":
             close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if tag == "xmp":  # its text is as it stands
+                node.parts.append(page[at : close.start() if close else len(page)])
             at = close.end() if close else len(page)
         elif tag not in _VOID and not m[3].endswith("/"):
             top = node
