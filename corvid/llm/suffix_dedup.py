@@ -42,6 +42,10 @@ LENGTH, GRAM = 200, 32
 #: Spans of an anchor that one shard takes, bytes of a shard, and the
 #: longest stretch of a text that is scanned at once.
 SHARD_SPANS, SHARD_BYTES, STRETCH = 2000, 2 << 20, 4 << 20
+#: Most windows of a span.
+SPAN = 1024
+#: Bits of a place in what is scanned at once (a stretch, or texts of half as much), below those of an anchor's hash.
+PLACE_BITS = 23
 _ODD = np.random.default_rng(1).integers(1 << 62, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -69,7 +73,10 @@ def anchors(b: np.ndarray, starts: np.ndarray, lens: np.ndarray, length: int) ->
     if not windows.any():
         return none, none, none, none.astype(np.uint64), none
     code = _gram_codes(b)
-    bits = np.uint64(max(1, int(len(b)).bit_length()))
+    # a fixed number of bits: equal windows have equal anchors whatever the length of what they are scanned with
+    bits = np.uint64(PLACE_BITS)
+    if len(b) >> PLACE_BITS:
+        raise ValueError("scanned bytes are more than places")
     low = code >> bits << bits | np.arange(len(code), dtype=np.uint64)  # of equal hashes the first
     width, n = length - GRAM + 1, 1
     while 2 * n <= width:
@@ -80,9 +87,17 @@ def anchors(b: np.ndarray, starts: np.ndarray, lens: np.ndarray, length: int) ->
     at = ranges(starts, windows)
     doc = np.repeat(np.arange(len(starts)), windows)
     place = (low[at] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    head = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])]))
+    own = code[place]
+    new = np.concatenate([[True], (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])])
+    # Runs of one byte, or of a few, have one anchor at many places: one span of up to SPAN windows.
+    # As such a span may repeat itself, its first window is one of its own: then the anchor occurs twice.
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    size = last - first + 1
+    run = np.arange(len(at)) - np.repeat(first, size)
+    head = np.flatnonzero((run % SPAN == 0) | (run == 1) & np.repeat(place[last] != place[first], size))
     count = np.diff(np.append(head, len(at)))
-    return doc[head], at[head], count, code[place[head]], place[head]
+    return doc[head], at[head], count, own[head], place[head]
 
 
 def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
@@ -281,8 +296,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard_spans: int = SHA
     probe = F.struct("at", "n", "g", "s", "c", F.ceil(F.col("m") / F.lit(shard_spans)).alias("salts"))
     lists = whole.select("k1", "k2", F.struct("at", "n").alias("w"), F.lit(None).cast("struct<at:bigint,n:bigint,g:bigint,s:bigint,c:bigint,salts:bigint>").alias("p"))
     lists = lists.union(probes.select("k1", "k2", F.lit(None).cast("struct<at:bigint,n:bigint>"), probe))
-    # both lists of a text are bounded by its own length
-    lists = written(lists.groupBy("k1", "k2").agg(F.collect_list("w").alias("w"), F.collect_list("p").alias("p")), "marks")
+    # both sets of a text are bounded by its own length, also where many rows are equal
+    lists = written(lists.groupBy("k1", "k2").agg(F.collect_set("w").alias("w"), F.collect_set("p").alias("p")), "marks")
     held = rows.join(lists, ["k1", "k2"], "left").select(
         "doc_id", "k1", "k2", "w", "p", F.octet_length("t").cast("long").alias("n_bytes"),
         F.when(F.col("w").isNull(), F.sha2("t", 256)).alias("sha"), F.when(F.col("w").isNotNull(), F.col("t").cast("binary")).alias("b"),
