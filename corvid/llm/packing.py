@@ -3,10 +3,10 @@
 Texts become token ids plus an end id.  Documents over the capacity are
 cut into full pieces and a rest.  Packing works on the number of pieces of
 each length (at most ``capacity`` numbers, at any input size): for the
-longest length left, an index by length, by sums of two and by sums of
-three lengths gives lengths that fill its gap exactly, which are used as
-often as their counts allow; when no length has an exact complement, the
-longest one is filled by best fit (the longest that still fits).  The plan
+longest length left, an index by length and by sums of two lengths, kept as
+counts fall, and sums of three made of these, gives lengths that fill its
+gap exactly, which are used as often as their counts allow; lengths without
+an exact complement are filled by best fit (the longest that still fits).  The plan
 is a short table of patterns; each pattern serves many sequences, so the
 pieces only need their rank within their length to find their place.
 
@@ -31,7 +31,7 @@ from corvid.llm.common import bounded_batches, ranges, slices, written
 
 CAPACITY, END = 4096, 1
 #: Words whose ids a task remembers.
-_WORDS_KEPT = 1_600_000
+_WORDS_KEPT = 800_000
 #: Arrow's (and Python's) white space, but not the tokenizer's.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -170,67 +170,90 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths, longest first, and how often each is used."""
-    have = np.zeros(capacity + 1, np.int64)
-    for k, n in counts.items():
-        have[k] = n
-    out: list[tuple[tuple[int, ...], int]] = []
+    index = _Sums(counts, capacity)
+    have, out = index.have, []
 
     def use(pattern: tuple[int, ...]) -> None:
         own, n = np.unique(pattern, return_counts=True)
         times = int((have[own] // n).min())
-        have[own] -= n * times
+        for x, k in zip(own.tolist(), n.tolist(), strict=True):
+            index.add(x, -k * times)
         out.append((pattern, times))
 
-    def pair(gap: int) -> tuple[int, int] | None:
-        """Two lengths left that sum to ``gap``, the first as long as can be."""
-        low = np.arange(1, gap // 2 + 1)
-        ok = (have[low] > 0) & (have[gap - low] > 0)
-        if gap % 2 == 0 and gap:
-            ok[-1] = have[gap // 2] > 1
-        return (gap - int(low[ok.argmax()]), int(low[ok.argmax()])) if ok.any() else None
-
-    def exact(gap: int) -> tuple[int, ...] | None:
-        if have[gap] > 0:
-            return (gap,)
-        if two := pair(gap):
-            return two
-        held = (have > 0).astype(np.float64)
-        size = 1 << (2 * gap + 1).bit_length()
-        sums = np.fft.irfft(np.fft.rfft(held[: gap + 1], size) ** 2, size)[: gap + 1] > 0.5  # lengths that are a sum of two
-        for a in np.flatnonzero((have[: gap + 1] > 0) & sums[gap - np.arange(gap + 1)])[::-1].tolist():
-            have[a] -= 1
-            two = pair(gap - a)
-            have[a] += 1
-            if two:
-                return (a, *two)
-        return None
-
     if have[capacity]:
         use((capacity,))
-    stuck: list[int] = []
     for longest in range(capacity - 1, 0, -1):
         while have[longest] > 0:
-            have[longest] -= 1
-            found = exact(capacity - longest)
-            have[longest] += 1
+            index.add(longest, -1)
+            found = index.exact(capacity - longest)
+            index.add(longest, 1)
             if not found:
-                stuck.append(longest)
-                break
+                break  # no exact complement: by best fit below
             use((longest, *found))
     for longest in range(capacity - 1, 0, -1):
         while have[longest] > 0:
-            have[longest] -= 1
+            index.add(longest, -1)
             pattern, gap = [longest], capacity - longest
             while gap and (fit := np.flatnonzero(have[1 : gap + 1])).size:
                 pattern.append(int(fit[-1]) + 1)
-                have[pattern[-1]] -= 1
+                index.add(pattern[-1], -1)
                 gap -= pattern[-1]
             for x in pattern:
-                have[x] += 1
+                index.add(x, 1)
             use(tuple(pattern))
     return out
 
 
+class _Sums:
+    """Lengths by how many are left, and the sums that one or two of them make.
+
+    ``pairs[s]`` is the number of different pairs of lengths left that sum to
+    ``s``.  It is kept up to date: only a length that runs out, or comes back,
+    or is left once, changes the pairs it is in.  Sums of three are a length
+    and a pair sum.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.have, self.pairs = np.zeros(capacity + 1, np.int64), np.zeros(2 * capacity + 1, np.int64)
+        for k, n in counts.items():
+            self.add(k, n)
+
+    def add(self, length: int, n: int) -> None:
+        before, after = int(self.have[length]), int(self.have[length]) + n
+        self.have[length] = after
+        if (before > 0) != (after > 0):
+            other = np.flatnonzero(self.have)
+            other = other[other != length]
+            self.pairs[other + length] += 1 if after > 0 else -1
+        self.pairs[2 * length] += (after > 1) - (before > 1)
+
+    def pair(self, gap: int) -> tuple[int, int] | None:
+        """Two lengths left that sum to ``gap``, the first as long as can be."""
+        if not self.pairs[gap]:
+            return None
+        low = np.arange(1, gap // 2 + 1)
+        ok = (self.have[low] > 0) & (self.have[gap - low] > 0)
+        if gap % 2 == 0:
+            ok[-1] = self.have[gap // 2] > 1
+        first = int(low[ok.argmax()])
+        return gap - first, first
+
+    def exact(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three lengths left that sum to ``gap``; the longest first of three."""
+        if self.have[gap] > 0:
+            return (gap,)
+        if two := self.pair(gap):
+            return two
+        own = np.arange(1, gap)
+        for a in own[(self.have[own] > 0) & (self.pairs[gap - own] > 0)][::-1].tolist():
+            self.add(a, -1)
+            two = self.pair(gap - a)
+            self.add(a, 1)
+            if two:
+                return (a, *two)
+        return None
+
+
 def _places(patterns: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     """Rows (length, first rank, first sequence, offset), in order: the ranks of a length go to the patterns in turn."""
     rank: dict[int, int] = {}
@@ -247,13 +270,14 @@ def _places(patterns: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece."""
-    cut = written(pieces(docs, tokenizer, capacity), "pieces")
+    # the salt deals rows that are equal in all to several parts of their length
+    cut = written(pieces(docs, tokenizer, capacity).withColumn("salt", F.floor(F.rand(5) * (1 << 20))), "pieces")
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     table = _places(plan(counts, capacity))
     starts = table[:, 0] << 40 | table[:, 1]
     # A hot length is ranked in parts: rank = rows of earlier parts + rank in the part.
     parts = max(16, max(counts.values(), default=0) // 50_000)
-    salted = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(parts)))
+    salted = cut.withColumn("part", F.pmod("salt", F.lit(parts)))
     before = F.expr("coalesce(sum(n) over (partition by length order by part rows between unbounded preceding and 1 preceding), 0)")
     offsets = salted.groupBy("length", "part").agg(F.count("*").alias("n")).select("length", "part", before.alias("before"))
     ranked = salted.withColumn("r", F.expr("row_number() over (partition by length, part order by doc_id, key, piece)")).join(offsets, ["length", "part"])
