@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.session import scratch_path
+from corvid.sources import readers
 
 #: Bytes of one Arrow batch between Spark and Python, so that long texts
 #: make batches of fewer rows.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -23,27 +25,51 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.read_table(spark, sf_dir, name)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared scratch folder, removed when the session's JVM ends."""
     path = scratch_path(spark, name)
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the scratch folders made inside the block when it ends; those taken out of the list stay.
+
+    For tables whose last reader is a table that was written in the block.
+    """
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        for path in _scopes.pop():
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: Rows that a task writes at least, where their number is known, and the fewest tasks.
+ROWS_A_TASK, FEWEST_TASKS = 250_000, 8
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation,
     and both sides of a later join are plain exchanges that adaptive
-    execution can split when a key is hot.
+    execution can split when a key is hot.  ``rows``, a bound of the rows,
+    keeps small tables from a file for every shuffle partition.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(FEWEST_TASKS, -(-rows // ROWS_A_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -53,7 +79,7 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def slices(texts: list[bytes] | list[str], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(texts: list[bytes] | list[str], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Index ranges of at most ``most`` bytes (or characters) together, one text at least."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -82,23 +108,24 @@ def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(np.asarray(starts, np.int64) - (ends - lens), lens) + np.arange(total)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc", rows: int | None = None) -> DataFrame:
     """(node, component) for every node of an undirected edge table of longs.
 
     The component is the smallest node reachable.  Each round takes the
     smallest label among the neighbours and then the label's own label
     (pointer jumping), in written tables; rounds end when no label changes.
-    Rows with a null end and loops are ignored.
+    Rows with a null end and loops are ignored.  ``rows`` may bound the edges.
     """
     pairs = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
-    pairs = written(pairs, f"{name}-edges")
+    pairs = written(pairs, f"{name}-edges", rows)
     both = pairs.union(pairs.select("b", "a"))
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), f"{name}-0")
+    n = 2 * pairs.count()  # nodes at most
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), f"{name}-0", n)
     for step in range(1, 200):
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
-        low = written(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c")), f"{name}-{step}a")
+        low = written(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c")), f"{name}-{step}a", n)
         parent = low.select(F.col("node").alias("c"), F.col("c").alias("up"))
-        labels = written(low.join(parent, "c", "left").select("node", F.coalesce("up", "c").alias("component"), "old"), f"{name}-{step}b")
+        labels = written(low.join(parent, "c", "left").select("node", F.coalesce("up", "c").alias("component"), "old"), f"{name}-{step}b", n)
         if labels.where("component <> old").isEmpty():
             break
         labels = labels.drop("old")

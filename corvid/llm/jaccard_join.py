@@ -16,9 +16,13 @@ sets are one class; a class's representative is its smallest doc_id.
 
 The boundary between the two is chosen by cost, of those where one element
 less is enough.  Candidates that meet in lists are grouped into connected
-components, in blocks of bounded size where a component is large, and the
-pairs within a block, and of two blocks that share a list, are verified
-with the whole sets.  Blocks return a spanning forest of the links.
+components; small ones are verified whole, in packs of bounded size.  In a
+large one each member is first verified against the head it shares most
+lists with, and what that links is contracted.  What is left apart goes in
+blocks of bounded documents and shingles, and only blocks that share a list
+and are not of one linked group are verified with each other, with the whole
+sets.  So a group of near copies costs its size, not its square.  Blocks
+return a spanning forest of the links.
 
 Defined cases: a null text, or one without words, has an empty set and
 links with nothing; a text with fewer than n words has one element, all its
@@ -37,14 +41,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, connected_components, joined, slices, text_key, written
+from corvid.llm.common import bounded_batches, connected_components, joined, scratch_scope, slices, text_key, written
 from corvid.llm.embedding_dedup import forest
+from corvid.operators.ranks import ranked
 
 WORDS, PERCENT = 3, 90
 #: Documents of a block, and counters of the frequency sketch (a power of 2).
 BLOCK, SKETCH = 256, 1 << 19
 #: Lists up to this length give their pairs; longer ones give stars.
 SHORT = 32
+#: Shingles of a block's documents on average: a block is bounded by both.
+SHINGLES = 1 << 10
 #: Cost of verifying a candidate, in posted rows.
 VERIFY = 40
 _ODD = np.random.default_rng(3).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -200,64 +207,109 @@ def _overlap(n: Column, percent: int) -> Column:
     return F.floor(F.floor(n * (100 - percent) / 100) / 2) + 1
 
 
-def _repeated(posts: DataFrame) -> DataFrame:
-    return written(posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "lists")
+def _repeated(posts: DataFrame, rows: int) -> DataFrame:
+    return written(posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "lists", rows)
+
+
+def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(rep, k, t) of the candidates: fetched by exchange at any size, as they grow with the documents."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_key(F.col("text")).alias("k"), F.col("text").alias("t"))
+    return texts.join(members.select("rep", "k").hint("merge"), ["rep", "k"], "left_semi")
+
+
+def _verified(texts: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) within groups (rep, k, group, i, j, side), a task for each (i, j), between the two sides if there are two."""
+    to = groups.groupBy("rep", "k").agg(F.collect_list(F.struct("group", "i", "j", "side")).alias("to"))  # at most the blocks a block meets
+    to = written(to.select(F.col("rep").alias("i0"), F.col("k").alias("k0"), "to"), "verify")
+    texts = texts.join(to.hint("merge"), (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "k", "t", F.explode("to").alias("x")).select("rep", "k", "t", "x.*")
+
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["rep", "k", "side"])  # texts that share a doc_id are all compared
+        one = pdf["side"].max() == 0
+        a, b = _links([x.encode() for x in pdf["t"]], pdf["rep"].tolist(), pdf["group"].to_numpy(), None if one else pdf["side"].to_numpy(), words, percent)
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return texts.groupBy("i", "j").applyInPandas(verify, "a long, b long")
+
+
+def _parts(block: int) -> Column:
+    """How many blocks of bounded documents and bounded shingles a group of rows with ``n`` shingles makes."""
+    return F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / (block * SHINGLES))).cast("long")
+
+
+def _stars(members: DataFrame, met: DataFrame, block: int) -> DataFrame:
+    """Groups of each member with the head it shares most lists with, cut where a head has many."""
+    best = met.groupBy("rep", "head").agg(F.count("*").alias("c")).groupBy("rep").agg(F.max(F.struct("c", "head")).alias("x"))
+    own = members.join(best.select("rep", F.col("x.head").alias("head")), "rep")
+    parts = own.groupBy("head").agg(_parts(block).alias("parts"))
+    parts = written(parts, "stars")
+    sent = own.join(parts, "head").select("rep", "k", F.col("head").alias("group"), F.pmod(F.xxhash64("rep"), "parts").alias("j"), F.lit(0).alias("side"))
+    heads = parts.join(members.select("rep", "k"), F.col("head") == F.col("rep")).select("rep", "k", F.col("head").alias("group"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("j"), F.lit(1).alias("side"))
+    return sent.union(heads).select("rep", "k", "group", F.xxhash64(F.lit("star"), "group").alias("i"), "j", "side")
 
 
 def _scanned(docs: DataFrame, classes: DataFrame, least: int, words: int, percent: int, block: int) -> DataFrame:
     """Links (a, b) among the sets of ``least`` elements and more."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100 - 1e-9))).cast("int")
     posts = classes.where(F.col("n") >= least).select("rep", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
-    hot = written(posts.join(_repeated(posts), "token"), "postings")
+    size = classes.where(F.col("n") >= least).agg(F.sum(F.size("prefix")).alias("c")).collect()[0].c or 0
+    hot = written(posts.join(_repeated(posts, size), "token"), "postings", size)
     for step in range(2):  # documents with too few shared elements, for any partner, go; then lists of one
+        size = hot.count()
         enough = hot.groupBy("rep", "n").agg(F.count("*").alias("c")).where(F.col("c") >= _overlap(F.ceil(F.col("n") * percent / 100), percent)).select("rep")
-        left = written(hot.join(written(enough, f"enough-{step}"), "rep"), f"left-{step}")
-        hot = written(left.join(_repeated(left), "token"), f"postings-{step}")
-    sized = hot.join(written(hot.groupBy("token").agg(F.count("*").alias("c")), "list-sizes"), "token")
+        left = written(hot.join(written(enough, f"enough-{step}", size), "rep"), f"left-{step}", size)
+        hot = written(left.join(_repeated(left, size), "token"), f"postings-{step}", size)
+    size = hot.count()
+    sized = hot.join(written(hot.groupBy("token").agg(F.count("*").alias("c")), "list-sizes", size), "token")
     # short lists: pairs that share enough of their first elements
-    short = written(sized.where(F.col("c") <= SHORT).select("token", "rep", "n"), "short")
+    short = written(sized.where(F.col("c") <= SHORT).select("token", "rep", "n"), "short", size)
     other = short.select("token", F.col("rep").alias("b"), F.col("n").alias("n2"))
     pairs = short.withColumnRenamed("rep", "a").join(other, "token").where(f"a < b and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
     pairs = pairs.groupBy("a", "b", "n", "n2").agg(F.count("*").alias("c")).where(F.col("c") >= _overlap(F.least("n", "n2"), percent)).select("a", "b")
     # long lists: a star in each band of sizes, and their heads in neighbouring bands
-    hot = written(sized.where(F.col("c") > SHORT).select("token", "rep", "n").withColumn("band", band), "long")
-    heads = written(hot.groupBy("token", "band").agg(F.min("rep").alias("head"), F.count("*").alias("c")), "heads")
-    stars = hot.join(heads.where("c > 1").select("token", "band", "head"), ["token", "band"]).select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    long_ = written(sized.where(F.col("c") > SHORT).select("token", "rep", "n").withColumn("band", band), "long", size)
+    heads = written(long_.groupBy("token", "band").agg(F.min("rep").alias("head"), F.count("*").alias("c")), "heads", size)
+    stars = long_.join(heads.where("c > 1").select("token", "band", "head"), ["token", "band"])
     above = heads.select("token", (F.col("band") - 1).alias("band"), F.col("head").alias("b"))
     near = heads.select("token", "band", F.col("head").alias("a")).join(above, ["token", "band"]).select("a", "b")
-    component = connected_components(pairs.union(stars).union(near), name="candidates")
+    component = connected_components(pairs.union(stars.select("rep", "head")).union(near), name="candidates", rows=size * SHORT)
 
     members = classes.select("rep", "k", "n").join(component.withColumnRenamed("node", "rep"), "rep").withColumn("band", band)
-    members = written(members, "candidates")
-    sizes = written(members.groupBy("component").agg(F.count("*").alias("c")), "component-sizes")
-    total = sizes.agg(F.sum("c").alias("c")).collect()[0].c or 0
-    packs = max(1, math.ceil(total / block))
-    light = members.join(sizes.where(F.col("c") <= block), "component").select("rep", "k", "component", F.pmod(F.xxhash64("component"), F.lit(packs)).alias("i"), F.lit(-1).cast("long").alias("j"), F.lit(0).alias("side"))
-    # a large component is cut into blocks by band of size and hash; blocks meet if they share a list
-    heavy = members.join(sizes.where(F.col("c") > block).select("component"), "component")
-    cut = heavy.groupBy("component", "band").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
-    heavy = heavy.join(cut, ["component", "band"]).withColumn("u", F.xxhash64("component", "band", F.pmod(F.xxhash64("rep"), "parts")))
-    heavy = written(heavy.select("rep", "k", "component", "band", "u"), "blocks")
-    touched = sized.select("token", "rep").join(heavy.select("rep", "band", "u"), "rep").select("token", "band", "u").distinct()
-    touched = written(touched, "touched")
-    other = touched.select("token", F.col("band").alias("band2"), F.col("u").alias("j"))
-    met = touched.withColumnRenamed("u", "i").join(other, "token").where("(band2 = band and i <= j) or band2 = band + 1").select("i", "j").distinct()
-    met = written(met, "block-pairs")
-    sides = met.select(F.col("i").alias("u"), "i", "j", F.lit(0).alias("side")).union(met.where("i <> j").select(F.col("j").alias("u"), "i", "j", F.lit(1).alias("side")))
-    sent = heavy.join(sides, "u").select("rep", "k", "component", "i", "j", "side")
-    groups = light.union(sent).groupBy("rep", "k").agg(F.collect_list(F.struct("component", "i", "j", "side")).alias("to"))  # at most the blocks a block meets
-    groups = written(groups.select(F.col("rep").alias("i0"), F.col("k").alias("k0"), "to"), "verify")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_key(F.col("text")).alias("k"), F.col("text").alias("t"))
-    # by exchange at any size: the candidates grow with the documents
-    texts = texts.join(groups.hint("merge"), (F.col("rep") == F.col("i0")) & (F.col("k") == F.col("k0"))).select("rep", "k", "t", F.explode("to").alias("x")).select("rep", "k", "t", "x.*")
-
-    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["rep", "k", "side"])  # texts that share a doc_id are all compared
-        one = int(pdf["j"].iat[0]) == -1 or pdf["side"].max() == 0
-        a, b = _links([x.encode() for x in pdf["t"]], pdf["rep"].tolist(), pdf["component"].to_numpy(), None if one else pdf["side"].to_numpy(), words, percent)
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
-
-    return texts.groupBy("i", "j").applyInPandas(verify, "a long, b long")
+    members = written(members, "candidates", size)
+    sizes = written(members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s"), _parts(block).alias("parts")), "component-sizes", size)
+    total = sizes.agg(F.sum("s").alias("s")).collect()[0].s or 0
+    packs = max(1, math.ceil(total / (block * SHINGLES)))
+    light = members.join(sizes.where("parts = 1").select("component"), "component")
+    light = light.select("rep", "k", F.col("component").alias("group"), F.pmod(F.xxhash64("component"), F.lit(packs)).alias("i"), F.lit(-1).cast("long").alias("j"), F.lit(0).alias("side"))
+    if sizes.where("parts > 1").isEmpty():
+        return _verified(_texts(docs, members), light, words, percent)
+
+    texts = written(_texts(docs, members), "texts")  # of candidates only; read by both passes
+    # Large components.  First each member against one head; what that links is one from here on.
+    heavy = written(members.join(sizes.where("parts > 1").select("component"), "component"), "heavy", size)
+    met = stars.where("rep <> head").select("rep", "head").join(heavy.select("rep"), "rep")
+    first = written(_verified(texts, light.union(_stars(heavy.select("rep", "k", "n"), met, block)), words, percent), "star-links")
+    linked = connected_components(first, name="stars").withColumnRenamed("node", "rep").withColumnRenamed("component", "one")
+    heavy = heavy.join(linked, "rep", "left").withColumn("one", F.coalesce("one", "rep"))
+    # A group that is linked already and fills blocks has blocks of its own, which do not meet each other; the rest are mixed.
+    big = heavy.groupBy("one").agg(_parts(block).alias("own")).where("own > 1").select(F.col("one").alias("big"))
+    heavy = written(heavy.join(big, F.col("one") == F.col("big"), "left").select("rep", "k", "n", "component", "band", "big"), "contracted", size)
+    cut = heavy.groupBy("component", "band", "big").agg(_parts(block).alias("parts"))
+    cut = cut.select(F.col("component").alias("c0"), F.col("band").alias("b0"), F.col("big").alias("g0"), "parts")
+    blocks = heavy.join(cut, (F.col("component") == F.col("c0")) & (F.col("band") == F.col("b0")) & F.col("big").eqNullSafe(F.col("g0")))
+    blocks = blocks.withColumn("u", F.xxhash64("component", "band", "big", F.pmod(F.xxhash64("rep"), "parts")))
+    blocks = written(blocks.select("rep", "k", "component", "band", "big", "u"), "blocks", size)
+    touched = sized.select("token", "rep").join(blocks.select("rep", "band", "big", "u"), "rep").select("token", "band", "big", "u").distinct()
+    touched = written(touched, "touched", size)
+    # lists whose members are all of one linked group have nothing left to find
+    open_ = written(touched.groupBy("token").agg(F.min(F.coalesce("big", F.lit(0))).alias("x"), F.max(F.coalesce("big", F.lit(0))).alias("y"), F.count_if(F.col("big").isNull()).alias("z")).where("x <> y or z > 0").select("token"), "open-lists", size)
+    touched = touched.join(open_, "token")
+    other = touched.select("token", F.col("band").alias("band2"), F.col("big").alias("big2"), F.col("u").alias("j"))
+    pair = touched.withColumnRenamed("u", "i").join(other, "token").where("(band2 = band and i <= j) or band2 = band + 1")
+    pair = written(pair.where("big is null or big2 is null or big <> big2").select("i", "j").distinct(), "block-pairs")
+    sides = pair.select(F.col("i").alias("u"), "i", "j", F.lit(0).alias("side")).union(pair.where("i <> j").select(F.col("j").alias("u"), "i", "j", F.lit(1).alias("side")))
+    sent = blocks.join(sides, "u").select("rep", "k", F.col("component").alias("group"), "i", "j", "side")
+    return first.union(_verified(texts, sent, words, percent))
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, sketch: int = SKETCH) -> DataFrame:
@@ -307,22 +359,41 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("i"), text_key(F.col("text")).alias("k"), F.col("text").cast("binary").alias("b"))
     posted = texts.mapInPandas(post, "h1 long, h2 long, i long, k long, n long, prefix array<long>, s1 array<long>, s2 array<long>, size array<int>")
     one = posted.groupBy("h1", "h2", "n").agg(F.min(F.struct("i", "k")).alias("r"), *(F.first(c).alias(c) for c in ("prefix", "s1", "s2", "size")))
-    classes = written(one.select(F.col("r.i").alias("rep"), F.col("r.k").alias("k"), "n", "prefix", "s1", "s2", "size"), "posted")
-    edges = _scanned(docs, classes, least, words, percent, block).union(_enumerated(classes, edge, percent))
-    component = connected_components(edges, name="links")
-    of = named.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
-    of = written(of, "components")
+    with scratch_scope(spark) as made:  # postings and candidates are large, and of no use when the components are written
+        classes = written(one.select(F.col("r.i").alias("rep"), F.col("r.k").alias("k"), "n", "prefix", "s1", "s2", "size"), "posted")
+        edges = _scanned(docs, classes, least, words, percent, block).union(_enumerated(classes, edge, percent))
+        component = connected_components(edges, name="links")
+        of = named.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
+        of = written(of, "components")
+        made.pop()  # the table just written
     got = rows.join(of, ["h1", "h2"], "left")
     got = got.select(F.col("i").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("i")).alias("component_id"), "k")
     got = got.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return got
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``__doc``: the doc_id, or a number of its own for every further text of a doc_id."""
+    keyed = docs.withColumn("__key", text_key(F.col("text")))
+    pairs = keyed.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("d"), F.col("__key").alias("t")).distinct()
+    several = pairs.groupBy("d").agg(F.count("*").alias("c"), F.min("t").alias("first")).where("c > 1")
+    extra = written(pairs.join(several, "d").where("t <> first").select("d", "t"), "further-texts")
+    if extra.isEmpty():
+        return keyed.withColumn("__doc", F.col("doc_id").cast("long"))
+    top = docs.agg(F.max(F.col("doc_id").cast("long"))).collect()[0][0]
+    numbered = ranked(extra, ["d", "t"], "r").select(F.col("d").alias("__d"), F.col("t").alias("__t"), (F.lit(top) + 1 + F.col("r")).alias("__n"))
+    got = keyed.join(numbered, (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__key") == F.col("__t")), "left")
+    return got.withColumn("__doc", F.coalesce("__n", F.col("doc_id").cast("long"))).drop("__d", "__t", "__n")
+
+
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group: the row of its smallest doc_id; rows with a null doc_id stay."""
-    keep = written(join(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__first_id"), F.col("k").alias("__first_key")).distinct(), "kept")
-    first = keep.groupBy("__first_id").agg(F.min("__first_key").alias("__first_key"))  # rows that share a doc_id are one document
-    rows = docs.withColumn("__own_key", text_key(F.col("text")))
-    named = rows.where("doc_id is not null").join(first, (F.col("doc_id").cast("long") == F.col("__first_id")) & (F.col("__own_key") == F.col("__first_key")))
-    named = named.drop("__first_id", "__first_key").dropDuplicates(["doc_id", "__own_key"])
-    return named.union(rows.where("doc_id is null")).drop("__own_key")
+    """``docs`` with one row of each group of linked texts, that of the smallest doc_id.
+
+    Rows with a null doc_id stay.  Different texts of one doc_id are
+    documents of their own, so an unrelated one stays; of equal rows one does.
+    """
+    rows = _told_apart(docs)
+    own = rows.select(F.col("__doc").alias("doc_id"), "text")
+    keep = written(join(own, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct(), "kept")
+    named = rows.where("doc_id is not null").join(keep, F.col("__doc") == F.col("__first")).drop("__first").dropDuplicates(["__doc"])
+    return named.union(rows.where("doc_id is null")).drop("__doc", "__key")
