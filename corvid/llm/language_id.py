@@ -89,7 +89,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 def vectors(texts: list[str]) -> Iterator[np.ndarray]:
     """Unit vectors of the texts, in blocks of bounded size."""
-    for a, b in slices(texts, 1 << 20):
+    for a, b in slices(texts, 1 << 18):
         yield _unit(_bundles(texts[a:b]))
 
 

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from corvid.llm.common import bounded_batches, ranges, slices, written
 
 CAPACITY, END = 4096, 1
-#: Words whose ids a task remembers.
-_WORDS_KEPT = 800_000
+#: Words whose ids a worker remembers; beyond that it forgets those it saw in one slice only.
+_WORDS_KEPT = 300_000
 #: Arrow's (and Python's) white space, but not the tokenizer's.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -63,7 +63,23 @@ class _Words:
         self.part: dict[str, int] = {"": 0}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.n = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
-        self.parts = np.zeros((1 << 15, 2), np.int32)
+        self.parts, self.seen = np.zeros((1 << 15, 2), np.int32), np.zeros(1 << 15, np.int32)
+
+    def forget(self) -> None:
+        """Keep the words seen in several slices, half of the room at most, with their parts' ids."""
+        words, names = list(self.at), list(self.part)  # in the order of their numbers
+        seen = self.seen[: len(words)]
+        often = np.argsort(-seen, kind="stable")[: _WORDS_KEPT // 2]
+        keep = np.sort(often[seen[often] > 1])
+        used = np.unique(np.append(self.parts[keep].ravel(), 0))
+        number = np.zeros(len(names), np.int32)
+        number[used] = np.arange(len(used))
+        n, flat, parts = self.n[used], self.ids[ranges(self.start[used], self.n[used])], number[self.parts[keep]]
+        self.clear()
+        self.part, self.at = {names[i]: j for j, i in enumerate(used.tolist())}, {words[i]: j for j, i in enumerate(keep.tolist())}
+        self.ids, self.used = np.concatenate([flat, self.ids]), len(flat)
+        self.start, self.n = (np.concatenate([x, own]) for x, own in ((np.cumsum(n) - n, self.start), (n, self.n)))
+        self.parts, self.seen = np.concatenate([parts, self.parts]), np.concatenate([seen[keep] // 2, self.seen])
 
     def _store(self, parts: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
         k, need = len(self.part), self.used + len(flat)
@@ -114,7 +130,8 @@ class _Words:
         self._singly([x for x in odd.keys() | set(tails) if x not in self.part])
         k = len(self.at)
         while k + len(words) > len(self.parts):
-            self.parts = np.concatenate([self.parts, self.parts])
+            self.parts, self.seen = np.concatenate([self.parts, self.parts]), np.concatenate([self.seen, np.zeros_like(self.seen)])
+        self.seen[k : k + len(words)] = 0
         for side, own in enumerate((heads, tails)):
             self.parts[k : k + len(words), side] = np.fromiter(map(self.part.__getitem__, own), np.int32, len(own))
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
@@ -127,10 +144,12 @@ class _Words:
         words = coded.dictionary.to_pylist()
         if new := [w for w in words if w not in self.at]:
             if len(self.at) + len(new) > _WORDS_KEPT:
-                self.clear()
-                new = words
+                self.forget()
+                new = [w for w in words if w not in self.at]
             self.add(new)
-        k = self.parts[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
+        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        self.seen[at] += 1
+        k = self.parts[at]
         own, lens = self.ids[ranges(self.start[k].ravel(), self.n[k].ravel())], self.n[k].sum(1)
         at = coded.indices.to_numpy()
         n = lens[at]
