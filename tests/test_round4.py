@@ -34,3 +34,11 @@ def test_fits_over_splits_are_checkpointed(spark, monkeypatch):
     assert table.count() == len(fitted) == 4
     assert [kw["checkpointInterval"] for kw in made] and {kw["checkpointInterval"] for kw in made} == {2, recommend.ROUNDS_KEPT}
     assert {kw["blocks"] for kw in made} == {recommend.BLOCKS}
+
+
+def test_single_fits_have_fewer_blocks(spark, monkeypatch):
+    made = _record_als(monkeypatch)
+    monkeypatch.setattr(queries, "_ratings", lambda s, d: _rating_rows(s))
+    assert queries.q_als_factors(spark, None).count() == 10
+    assert queries.q_als_known_pairs(spark, None).count() == 4  # of the users rated before
+    assert [kw["blocks"] for kw in made] == [recommend.BLOCKS] * 2
