@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import cut_lineage
+from corvid.session import cut_lineage, persisted
 
 #: Bits of the filter for each digest, and words (of 64 bits) at most: such a table is a few MB.
 BITS, MOST_WORDS, SET_BITS = 16, 1 << 18, 3
@@ -55,21 +55,22 @@ def may_match(rows: DataFrame, table: DataFrame, words: int) -> DataFrame:
 def except_digest(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` not in ``right``, deduplicated: the same rows as ``left.subtract(right)``.
 
-    Columns go by position, as in SQL.  Each side is read twice; ``left``'s
-    distinct rows without a partner are shuffled once, by digest, after
-    map-side deduplication, and ``right``'s rows only where a digest occurs
-    in both.
+    Columns go by position, as in SQL.  Each side is read once for its
+    distinct digests, which are kept until the shared ones are known; then
+    ``left`` is read twice and ``right`` once.  ``left``'s distinct rows
+    without a partner are shuffled once, by digest, after map-side
+    deduplication, and ``right``'s rows only where a digest occurs in both.
     """
     names = left.columns
     right = right.toDF(*names)
     a, b = (d.select(*names, *row_digest(names)) for d in (left, right))
     pair = ["_h1", "_h2"]
-    own, other = (d.select(*pair).distinct() for d in (a, b))
-    n_own, n_other = own.count(), other.count()
-    words = max(1, min(MOST_WORDS, min(n_own, n_other) * BITS // 64 + 1))
-    small, large = (own, other) if n_own <= n_other else (other, own)
-    passed = may_match(large, bloom(small, words), words)
-    shared = cut_lineage(passed.join(small, pair, "left_semi").withColumnRenamed("_h1", "_s1").withColumnRenamed("_h2", "_s2"))
+    with persisted(a.select(*pair).distinct()) as own, persisted(b.select(*pair).distinct()) as other:
+        n_own, n_other = own.count(), other.count()
+        words = max(1, min(MOST_WORDS, min(n_own, n_other) * BITS // 64 + 1))
+        small, large = (own, other) if n_own <= n_other else (other, own)
+        passed = may_match(large, bloom(small, words), words)
+        shared = cut_lineage(passed.join(small, pair, "left_semi").withColumnRenamed("_h1", "_s1").withColumnRenamed("_h2", "_s2"))
     is_shared = (F.col("_h1") == F.col("_s1")) & (F.col("_h2") == F.col("_s2"))
     # equal rows have equal digests: rows of digests that only one side has need no partner
     alone = a.join(shared, is_shared, "left_anti").dropDuplicates(names).select(*names)
