@@ -58,3 +58,14 @@ def test_except_digest_reads_each_side_few_times(spark):
     got = setops.except_digest(rows, other).collect()
     assert sorted(r.y for r in got) == list(range(100, 300))
     assert read.value <= 3 * 300
+
+
+def test_dealt_scan_has_parts_by_size(spark, tmp_path, monkeypatch):
+    spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    cores = spark.sparkContext.defaultParallelism
+    assert session.spread_scan(scan).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(session, "PART_BYTES", 4000)
+    dealt = session.spread_scan(scan)
+    assert dealt.rdd.getNumPartitions() > cores
+    assert dealt.agg(F.sum("id")).first()[0] == sum(range(20_000))
