@@ -69,3 +69,30 @@ def test_dealt_scan_has_parts_by_size(spark, tmp_path, monkeypatch):
     dealt = session.spread_scan(scan)
     assert dealt.rdd.getNumPartitions() > cores
     assert dealt.agg(F.sum("id")).first()[0] == sum(range(20_000))
+
+
+def _folds(spark):
+    rows = spark.range(240).select(F.col("id").cast("double").alias("x"), (F.col("id") % 240 > 150).cast("double").alias("label"), (F.col("id") % 3).cast("int").alias("fold"))
+    return features.assemble(rows, ["x"], "features")
+
+
+def test_given_folds_keep_no_copies(spark, monkeypatch):
+    tree = models.decision_tree("label", maxBins=8)
+    grid = tuning.param_grid(tree, {"maxDepth": [0, 2]})
+    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    rows = _folds(spark)
+    want = CrossValidator(estimator=tree, estimatorParamMaps=grid, evaluator=ev, numFolds=3, foldCol="fold").fit(rows)
+    kept = []
+    real = type(rows).persist
+    monkeypatch.setattr(type(rows), "persist", lambda self, *a: kept.append(1) or real(self, *a))
+    got = tuning.cross_validate(tree, grid, ev, rows, folds=3, fold_col="fold")
+    assert len(kept) == 1
+    assert got.avgMetrics == pytest.approx(list(want.avgMetrics)) and got.stdMetrics == pytest.approx(list(want.stdMetrics))
+    assert got.bestModel.depth == want.bestModel.depth == 1
+
+
+@pytest.mark.parametrize("fold", ["3", "CAST(NULL AS INT)", "0", "fold % 2"])
+def test_given_folds_are_checked(spark, fold):
+    tree = models.decision_tree("label")
+    with pytest.raises(ValueError):
+        tuning.cross_validate(tree, [{}], MulticlassClassificationEvaluator(labelCol="label"), _folds(spark).withColumn("fold", F.expr(fold)), folds=3, fold_col="fold")
