@@ -96,3 +96,17 @@ def test_given_folds_are_checked(spark, fold):
     tree = models.decision_tree("label")
     with pytest.raises(ValueError):
         tuning.cross_validate(tree, [{}], MulticlassClassificationEvaluator(labelCol="label"), _folds(spark).withColumn("fold", F.expr(fold)), folds=3, fold_col="fold")
+
+
+def test_claims_models_keep_both_parts(spark):
+    """The rows are read for the training part and the test part, not again for each model's scores."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows = spark.range(400).select("id", (F.col("id") % 3).alias("n"), (F.col("id") % 3 >= 1).cast("int").alias("c"), F.udf(seen, "double")((F.col("id") % 7).cast("double")).alias("x"))
+    out = jobs.claims_models(rows, "id", ["x"], [], count_label="n", binary_label="c", reg_grid=[10.0], folds=2, seed=1)
+    assert len(out["metrics"].collect()) == 5
+    assert read.value <= 3 * 400
