@@ -17,8 +17,12 @@ packed each; a null doc_id is packed like any other.
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pandas as pd
@@ -30,18 +34,37 @@ from pyspark.sql import functions as F
 from corvid.llm.common import bounded_batches, ranges, slices, written
 
 CAPACITY, END = 4096, 1
-#: Words whose ids a worker remembers; beyond that it forgets those it saw in one slice only.
-_WORDS_KEPT = 300_000
+#: Parts of words whose ids a worker remembers; beyond that it forgets those it saw in one slice only.
+_PARTS_KEPT = 300_000
+#: Characters whose different words are looked up together, and of which the ids are gathered together.
+_LOOKED_UP, _GATHERED = 1 << 21, 1 << 18
 #: Arrow's (and Python's) white space, but not the tokenizer's.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist
+
+
+#: Letters that the tokenizer's normalization makes a letter and a mark, which joins a sign after it.
+_TO_MARKS = "".join(c for c in map(chr, range(0x30000)) if c == "\u0130" or not c.isascii() and c.isalpha() and not unicodedata.normalize("NFC", c).isalpha())
+
+
+def _of_letters(words: pa.Array) -> pa.Array:
+    """Whether a word is letters only, before and after normalization."""
+    other = pc.invert(pc.string_is_ascii(words))
+    own = words.filter(other)
+    return pc.replace_with_mask(pc.utf8_is_alpha(words), other, pc.and_not(pc.utf8_is_alpha(own), pc.match_substring_regex(own, f"[{_TO_MARKS}]")))
+
+
 class _Words:
-    """Token ids of words, by their parts: the tokenizer never joins across white space, nor letters with a stop.
+    """Token ids of words, by their parts: the tokenizer never joins across white space, nor letters with signs.
 
-    A word of letters, and full stops or commas after it, is two parts: the
-    letters in lower case, which are tokenized many at a time, and the rest.
-    Any other word is one part, tokenized by itself.
+    A word of letters, and ASCII signs after it, is two parts: the letters
+    (A-Z in lower case), which are tokenized many at a time, and the signs.
+    Any other word is one part, tokenized by itself.  Arrow finds the
+    different words of a slice and their parts; only these parts, far fewer
+    than the words, become Python strings.
     """
 
     def __init__(self, path: str):
@@ -59,34 +82,29 @@ class _Words:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
         self.part: dict[str, int] = {"": 0}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.n = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
-        self.parts, self.seen = np.zeros((1 << 15, 2), np.int32), np.zeros(1 << 15, np.int32)
+        self.start, self.n, self.seen = (np.zeros(1 << 15, t) for t in (np.int64, np.int64, np.int32))
 
     def forget(self) -> None:
-        """Keep the words seen in several slices, half of the room at most, with their parts' ids."""
-        words, names = list(self.at), list(self.part)  # in the order of their numbers
-        seen = self.seen[: len(words)]
-        often = np.argsort(-seen, kind="stable")[: _WORDS_KEPT // 2]
-        keep = np.sort(often[seen[often] > 1])
-        used = np.unique(np.append(self.parts[keep].ravel(), 0))
-        number = np.zeros(len(names), np.int32)
-        number[used] = np.arange(len(used))
-        n, flat, parts = self.n[used], self.ids[ranges(self.start[used], self.n[used])], number[self.parts[keep]]
+        """Keep the parts seen in several slices, half of the room at most."""
+        names = list(self.part)  # in the order of their numbers
+        seen = self.seen[: len(names)]
+        seen[0] = 2  # the empty part stays, as the first
+        often = np.argsort(-seen[1:], kind="stable")[: _PARTS_KEPT // 2] + 1
+        keep = np.append(0, np.sort(often[seen[often] > 1]))
+        n, flat = self.n[keep], self.ids[ranges(self.start[keep], self.n[keep])]
         self.clear()
-        self.part, self.at = {names[i]: j for j, i in enumerate(used.tolist())}, {words[i]: j for j, i in enumerate(keep.tolist())}
+        self.part = {names[i]: j for j, i in enumerate(keep.tolist())}
         self.ids, self.used = np.concatenate([flat, self.ids]), len(flat)
-        self.start, self.n = (np.concatenate([x, own]) for x, own in ((np.cumsum(n) - n, self.start), (n, self.n)))
-        self.parts, self.seen = np.concatenate([parts, self.parts]), np.concatenate([seen[keep] // 2, self.seen])
+        self.start, self.n, self.seen = (np.concatenate([x, own]) for x, own in ((np.cumsum(n) - n, self.start), (n, self.n), (seen[keep] // 2, self.seen)))
 
     def _store(self, parts: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
         k, need = len(self.part), self.used + len(flat)
         while need > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while k + len(parts) > len(self.n):
-            self.start, self.n = np.concatenate([self.start, self.start]), np.concatenate([self.n, self.n])
+            self.start, self.n, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.n, self.seen))
         self.ids[self.used : need] = flat
         self.start[k : k + len(parts)] = self.used + np.cumsum(lens) - lens
         self.n[k : k + len(parts)] = lens
@@ -94,68 +112,75 @@ class _Words:
         self.part.update(zip(parts, range(k, k + len(parts)), strict=True))
 
     def _singly(self, parts: list[str]) -> None:
-        got = [e.ids for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        self._store(parts, np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum())), lens)
+        for k in range(0, len(parts), 1000):
+            own = parts[k : k + 1000]
+            got = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(own, add_special_tokens=False)]
+            self._store(own, np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got)))
 
-    def _together(self, parts: list[str], tok) -> None:
-        """Parts of letters only: each is a run of tokens up to one that ends a word."""
+    def _together(self, parts: list[str], tok, texts: list[str]) -> None:
+        """Parts of letters only, and these as ``tok`` is to see them: each is a run of tokens up to one that ends a word."""
         for k in range(0, len(parts), 1000):
             own = parts[k : k + 1000]
-            flat = np.array(tok.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.uint32)
+            flat = np.array(tok.encode_batch_fast([" ".join(texts[k : k + 1000])], add_special_tokens=False)[0].ids, np.uint32)
             last = np.flatnonzero(self.ends[flat])
             if len(last) == len(own):
                 self._store(own, flat, np.diff(last, prepend=-1))
             else:
                 self._singly(own)
 
-    def add(self, words: list[str]) -> None:
-        heads, tails, letters, odd = [], [], {}, {}
-        for w in words:
-            low = w.lower()
-            head = low.rstrip(".,")
-            # these two letters depend on their place, or become two, in lower case
-            if head.isalpha() and "\u0130" not in w and "\u03a3" not in w:
-                letters[head] = None
-                heads.append(head)
-                tails.append(low[len(head) :])
-            else:
-                odd[w] = None
-                heads.append(w)
-                tails.append("")
-        new = [x for x in letters if x not in self.part]
-        # letters below U+0180 are composed, and in lower case by now
-        self._together([x for x in new if x.isascii() or max(x) < "\u0180"], self.plain)
-        self._together([x for x in new if not x.isascii() and max(x) >= "\u0180"], self.tok)
-        self._singly([x for x in odd.keys() | set(tails) if x not in self.part])
-        k = len(self.at)
-        while k + len(words) > len(self.parts):
-            self.parts, self.seen = np.concatenate([self.parts, self.parts]), np.concatenate([self.seen, np.zeros_like(self.seen)])
-        self.seen[k : k + len(words)] = 0
-        for side, own in enumerate((heads, tails)):
-            self.parts[k : k + len(words), side] = np.fromiter(map(self.part.__getitem__, own), np.int32, len(own))
-        self.at.update(zip(words, range(k, k + len(words)), strict=True))
+    def add(self, letters: list[str], odd: list[str]) -> None:
+        """Tokenize new parts: those of letters only, and others."""
+        latin, other = [], []
+        for x in letters:
+            (latin if x.isascii() or max(x) < "\u0180" else other).append(x)
+        # letters below U+0180 are composed
+        self._together(latin, self.plain, [x if x.isascii() else x.lower() for x in latin])
+        self._together(other, self.tok, other)
+        self._singly(odd)
+
+    def parts(self, words: pa.Array) -> np.ndarray:
+        """The numbers of each word's two parts."""
+        heads = pc.utf8_rtrim(words, characters=string.punctuation)
+        of_letters = _of_letters(heads)
+        heads = pc.if_else(of_letters, pc.ascii_lower(heads), words).dictionary_encode()
+        signed = np.flatnonzero(pc.and_(of_letters, pc.greater(pc.binary_length(words), pc.binary_length(heads.dictionary.take(heads.indices)))).to_numpy(zero_copy_only=False))
+        names = _strings(heads.dictionary)
+        at = heads.indices.to_numpy()
+        tails = [w[len(names[i]) :] for w, i in zip(_strings(words.take(pa.array(signed))), at[signed].tolist(), strict=True)]
+
+        def new() -> tuple[list[str], list[str]]:
+            own = [x for x in names if x not in self.part]
+            alpha = _of_letters(pa.array(own, pa.large_string())).to_numpy(zero_copy_only=False).tolist()
+            odd = dict.fromkeys([*compress(own, map(not_, alpha)), *(x for x in set(tails) if x not in self.part)])
+            return list(compress(own, alpha)), list(odd)
+
+        letters, odd = new()
+        if len(self.part) + len(letters) + len(odd) > _PARTS_KEPT:
+            self.forget()
+            letters, odd = new()
+        self.add(letters, odd)
+        own = np.fromiter(map(self.part.__getitem__, names), np.int64, len(names))
+        self.seen[own] += 1
+        out = np.zeros((len(words), 2), np.int64)
+        out[:, 0] = own[at]
+        out[signed, 1] = np.fromiter(map(self.part.__getitem__, tails), np.int64, len(tails))
+        self.seen[out[signed, 1]] += 1
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; each different word of all is looked up once."""
         whole = [any(c in t for c in _NOT_SPACE) for t in texts]
         split = pc.utf8_split_whitespace(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()))
         coded = split.flatten().dictionary_encode()  # white space at a text's ends gives an empty word, which has no ids
-        words = coded.dictionary.to_pylist()
-        if new := [w for w in words if w not in self.at]:
-            if len(self.at) + len(new) > _WORDS_KEPT:
-                self.forget()
-                new = [w for w in words if w not in self.at]
-            self.add(new)
-        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        self.seen[at] += 1
-        k = self.parts[at]
-        own, lens = self.ids[ranges(self.start[k].ravel(), self.n[k].ravel())], self.n[k].sum(1)
-        at = coded.indices.to_numpy()
-        n = lens[at]
-        flat = own[ranges((np.cumsum(lens) - lens)[at], n)]
-        ends = np.concatenate([[0], np.cumsum(n)])[split.offsets.to_numpy()]
-        out = [flat[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        k = self.parts(coded.dictionary)
+        ids, lens = self.ids[ranges(self.start[k].ravel(), self.n[k].ravel())], self.n[k].sum(1)
+        starts, words, ends = np.cumsum(lens) - lens, coded.indices.to_numpy(), split.offsets.to_numpy()
+        out = []
+        for a, b in slices(texts, _GATHERED):
+            at = words[ends[a] : ends[b]]
+            flat = ids[ranges(starts[at], lens[at])]
+            own = np.concatenate([[0], np.cumsum(lens[at])])[ends[a : b + 1] - ends[a]].tolist()
+            out += [flat[p:q] for p, q in zip(own[:-1], own[1:], strict=True)]
         for i, t in enumerate(texts):
             if whole[i]:
                 out[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
@@ -176,7 +201,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         for pdf in batches:
             out = []
             texts = pdf["t"].tolist()
-            encoded = (x for a, b in slices(texts, 1 << 20) for x in words.encode(texts[a:b]))
+            encoded = (x for a, b in slices(texts, _LOOKED_UP) for x in words.encode(texts[a:b]))
             for i, k, own in zip(pdf["i"], pdf["k"], encoded, strict=True):
                 ids = np.append(own, np.uint32(END)).astype("<u4")
                 out += [(i, k, p, s, len(x), zlib.crc32(x.tobytes())) for p, s in enumerate(range(0, len(ids), capacity)) if len(x := ids[s : s + capacity])]

@@ -428,3 +428,27 @@ def test_packing_deals_equal_rows(spark):
     got = packing.pack(rows, queries._tokenizer(), 64).collect()
     places = {(r.sequence_id, r.offset) for r in got}
     assert len(got) == len(places) == 3000 and all(r.offset % got[0].length == 0 for r in got)
+
+
+def test_packing_looks_up_parts_of_words():
+    """A word's case and the signs after it make no new word to tokenize, and no string to look up."""
+    words = packing._Words(queries._tokenizer())
+    heads = ["alpha", "beta", "größe", "дом"]
+    signs = ["", ".", ",", "!?", "$$$", "***", "&&&", ")", "'"]
+    texts = [" ".join(h + s for h in heads for s in signs), " ".join(h.title() + s for h in heads for s in signs)]
+    got = words.encode(texts)
+    assert [x.tolist() for x in got] == [words.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(words.part) == {"", *heads, "Дом", *signs}
+
+
+def test_packing_ids_are_the_tokenizers(monkeypatch):
+    """Letters that become a letter and a mark join the sign after them; also with a memory that is full all the time."""
+    monkeypatch.setattr(packing, "_PARTS_KEPT", 40)
+    words, rng = packing._Words(queries._tokenizer()), random.Random(8)
+    letters = "abcABCéÉßẞİıſŸÅΣσςŽǅÀKक़ख़य़יִあ한ﬁ你µªй"
+    others = [*" \n\t.,'!?-<>|()$%&*#0198", "̀", " ", "　", "\x1c", "\x85", "​", "²", "Ⅷ", "’", "😀", "<|endoftext|>", "don't ", "'s "]
+    texts = [f"{c}, a{c}b!? {c}{c}' Z{c}- {c}̀." for c in letters]
+    texts += ["".join(rng.choice(letters) if rng.random() < 0.6 else rng.choice(others) for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    for k in range(0, len(texts), 50):
+        got = words.encode(texts[k : k + 50])
+        assert [x.tolist() for x in got] == [words.tok.encode(t, add_special_tokens=False).ids for t in texts[k : k + 50]]
