@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,38 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
+def give_back() -> None:
+    """Give the memory that this process has free, but keeps for later use, back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def giving_back(work: Callable) -> Callable:
+    """``work`` on a task's batches, whose worker gives free memory back after each batch and at the end.
+
+    Spark keeps idle workers and uses them in turn, so what each of them
+    has kept from earlier stages counts with every later stage.
+    """
+
+    @wraps(work)
+    def run(batches):
+        def each():
+            for batch in batches:
+                yield batch
+                give_back()
+
+        try:
+            yield from work(each())
+        finally:
+            give_back()
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return readers.read_table(spark, sf_dir, name)

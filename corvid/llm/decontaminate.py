@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, joined, ranges, scratch_dir, slices, text_key, written
+from corvid.llm.common import bounded_batches, giving_back, joined, ranges, scratch_dir, slices, text_key, written
 from corvid.sources.files import arrow_filesystem, qualified
 
 Q, RATE, LEAST, BITS = 12, 0.05, 24, 20
@@ -248,6 +248,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, rate: float, least: int, block
     folder = qualified(spark, folder)
     there = sorted(r.block for r in spark.read.parquet(folder).select("block").distinct().collect()) if size else []
 
+    @giving_back
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def flush() -> pd.DataFrame:
             out = []

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, connected_components, joined, scratch_scope, slices, text_key, written
+from corvid.llm.common import bounded_batches, connected_components, giving_back, joined, scratch_scope, slices, text_key, written
 from corvid.llm.embedding_dedup import forest
 from corvid.operators.ranks import ranked
 
@@ -108,6 +108,7 @@ def _describe(docs: DataFrame, words: int, sketch: int) -> tuple[DataFrame, np.n
     mask = np.uint64(sketch - 1)
     slots = 16
 
+    @giving_back
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros(sketch, np.int64)
         for pdf in batches:
@@ -329,6 +330,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int
     mask = np.uint64(sketch - 1)
     shared = spark.sparkContext.broadcast(frequency)  # sketch counters, 4 bytes each
 
+    @giving_back
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, slices
+from corvid.llm.common import bounded_batches, giving_back, slices
 
 #: Places of a vector, and the symbols: 0 is "no letter", a to z have a
 #: symbol of their own, other letters share the rest by code point.
@@ -101,6 +101,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
     """
     bounded_batches(docs.sparkSession)
 
+    @giving_back
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         for pdf in batches:
@@ -126,6 +127,7 @@ def predict(prototypes: dict[str, np.ndarray]):
     protos = _unit(np.array([*prototypes.values()]).reshape(-1, DIM)).astype(np.float32)
 
     @F.pandas_udf("lang_pred string, score double")
+    @giving_back
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             best, score = [], []

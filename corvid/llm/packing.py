@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, ranges, slices, written
+from corvid.llm.common import bounded_batches, giving_back, ranges, slices, written
 
 CAPACITY, END = 4096, 1
 #: Parts of words whose ids a worker remembers; beyond that it forgets those it saw in one slice only.
@@ -194,6 +194,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """(doc_id, key, piece, start, length, ids_crc32) for every piece of every row."""
     bounded_batches(docs.sparkSession)
 
+    @giving_back
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if tokenizer not in _words:
             _words[tokenizer] = _Words(tokenizer)

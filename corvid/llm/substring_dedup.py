@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bounded_batches, text_key, written
+from corvid.llm.common import bounded_batches, giving_back, text_key, written
 
 RUN, LEAST_WORDS, PIECE_WORDS = 3, 24, 12
 _WORD = re.compile(r"\S+\s*")
@@ -109,6 +109,7 @@ def repeats(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS, pie
     spark = docs.sparkSession
     bounded_batches(spark)
 
+    @giving_back
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(i, k, *s) for i, k, t in zip(pdf["i"], pdf["k"], pdf["t"], strict=True) for s in spans(t, run, least_words, piece_words)]
@@ -141,6 +142,8 @@ def without_repeats(docs: DataFrame, **how: int) -> DataFrame:
                 out.append((cut(t, held, piece_words), len({u for k, n in held for u in range(k, k + n)})))
         return pd.DataFrame(out, columns=["text", "gone"])
 
+    # else a filter on what it returns is pushed below it and calls it again, with workers of its own
+    remove = remove.asNondeterministic()
     marks = written(repeats(docs, **how), "covered")
     own = docs.withColumn("__span_own", text_key(F.col("text")))
     got = own.join(marks, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("__span_own") == F.col("__span_key")), "left")

@@ -14,7 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corvid.llm import decontaminate, html_extract, jaccard_join, packing, queries, substring_dedup, suffix_dedup
+from corvid.llm import common, decontaminate, html_extract, jaccard_join, packing, queries, substring_dedup, suffix_dedup
 from test_llm import _covered, docs
 
 
@@ -452,3 +452,40 @@ def test_packing_ids_are_the_tokenizers(monkeypatch):
     for k in range(0, len(texts), 50):
         got = words.encode(texts[k : k + 50])
         assert [x.tolist() for x in got] == [words.tok.encode(t, add_special_tokens=False).ids for t in texts[k : k + 50]]
+
+
+def test_filter_removes_passages_once(spark):
+    rows = [(i, f"One two three four five six seven. Eight nine ten eleven twelve of {i}. " * 4) for i in range(8)]
+    got = corpus_pipeline.remove_repeated_passages(spark, docs(spark, rows), "")
+    # each Python node of a stage has workers of its own
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def _own_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon:")) / 1024
+
+
+@pytest.mark.skipif(common._trim is None, reason="the system's allocator cannot be trimmed")
+def test_workers_give_memory_back():
+    kept = []
+
+    def hold(batches):
+        for _ in batches:
+            before = _own_mb()
+            held = [bytes(50_000) for _ in range(4000)]
+            kept.append(held[-1])  # above the others, which therefore stay with the process
+            full = _own_mb()
+            del held
+            yield before, full
+
+    for before, full in common.giving_back(hold)(iter([1, 2])):
+        assert full - before > 100
+    assert _own_mb() - before < 40
+
+
+def test_memory_is_given_back_between_batches(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert [len(calls) for _ in common.giving_back(lambda batches: (x for x in batches))(iter("abc"))] == [0, 1, 2]
+    assert len(calls) == 4
