@@ -3,6 +3,7 @@
 import threading
 
 from corvid.operators import recommend
+from corvid.plans import queries
 
 ORDER = ["timestamp", "userId", "movieId"]
 
@@ -71,3 +72,16 @@ def test_models_over_splits_keep_no_caches_of_their_fits(spark):
     model = models[0.8, "own"]
     assert model.rank == 2 and model.userFactors.count() == 10 and model.itemFactors.count() == 8
     assert model.transform(ratings).count() == 80  # cold-start rows are dropped, as set
+
+
+def test_als_quality_has_small_blocks(spark, monkeypatch):
+    made, real = [], recommend.als
+    monkeypatch.setattr(recommend, "als", lambda *args, **kw: made.append(kw) or real(*args, **kw))
+    monkeypatch.setattr(recommend, "FEW_RATINGS", 10, raising=False)
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 7, raising=False)
+    monkeypatch.setattr(queries, "_ratings", lambda s, d: _rating_rows(s))
+    monkeypatch.setattr(queries, "ALS_SETTINGS", {"short": {"maxIter": 2}})
+    rows = queries.q_als_quality(spark, None).orderBy("fraction").collect()
+    assert [(r.fraction, r.setting, r.n) for r in rows] == [(0.4, "short", 2), (0.6, "short", 7), (0.8, "short", 4)]
+    assert rows[2].mse_is_rmse_squared and rows[2].mae_within_rmse
+    assert [kw["blocks"] for kw in made] == [11] * 3
